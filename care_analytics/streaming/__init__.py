@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The reports are batch queries over validity intervals and cut-off dates; the
+source has no watermark, window, state or stream.  A report can be run per
+micro-batch by calling it inside ``foreachBatch`` on tables the batch wrote,
+which needs no code here.
+"""
