@@ -47,3 +47,22 @@ def joined_list(df: DataFrame, keys: list[str], item: str, sep: str,
     repeated = F.flatten(F.transform("_items", lambda e: F.array_repeat(e["v"], e["n"].cast("int"))))
     joined = F.when(F.size("_items") > 0, F.array_join(repeated, sep))
     return grouped.select(*keys, joined.alias(list_name), F.col(count_name))
+
+
+def sum_over_fanout(values: DataFrame, key: str, value: str, branches, name: str) -> DataFrame:
+    """``SUM(value)`` per key as if every 1-n ``branch`` had been left-joined
+    on the key first, without building that product.
+
+    Each branch (a DataFrame with a ``key`` column, one row per joined row)
+    multiplies a key's sum by its row count, or by 1 when it has no rows --
+    exactly what a chain of LEFT JOINs does to a SUM.  Everything is
+    pre-aggregated per key, so neither skew nor the product size matters.
+    """
+    out = values.groupBy(key).agg(F.sum(value).alias(name))
+    factor = F.lit(1)
+    for i, branch in enumerate(branches):
+        n = f"_n{i}"
+        counts = branch.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+        out = out.join(counts, key, "left")
+        factor = factor * F.coalesce(F.col(n), F.lit(1))
+    return out.select(key, (F.col(name) * factor).alias(name))

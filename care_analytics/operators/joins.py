@@ -57,3 +57,20 @@ def attach_summary(df: DataFrame, summary: DataFrame, on, defaults: dict) -> Dat
     for name, value in defaults.items():
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(value)))
     return out
+
+
+def polymorphic_bridge(df: DataFrame, key: str, targets, kind_name: str = "invitee_kind") -> DataFrame:
+    """Resolve a reference that points into one of several tables.
+
+    ``targets`` is a list of ``(kind, target, target_key, extra)`` where
+    ``extra`` maps output names to target columns.  One inner join per
+    target, stacked with ``unionByName`` (missing extras become NULL).
+    """
+    from functools import reduce
+
+    parts = []
+    for kind, target, target_key, extra in targets:
+        joined = df.join(target, df[key] == target[target_key])
+        parts.append(joined.select(*[df[c] for c in df.columns], F.lit(kind).alias(kind_name),
+                                   *[col.alias(name) for name, col in extra.items()]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
