@@ -14,10 +14,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
     The proof is an incremental ``take`` of a constant column (no data
     columns are read).  A larger side is returned unchanged and joined by
-    sort-merge, where AQE may still switch to a broadcast at run time.
+    sort-merge, where AQE may still switch to a broadcast at run time.  The
+    answer is remembered on the DataFrame object, so a table loaded once
+    per session is checked once.
     """
-    n = len(df.select(F.lit(1)).take(max_rows + 1))
-    return F.broadcast(df) if n <= max_rows else df
+    known = getattr(df, "_care_rows_within", None)
+    if known is None or known[0] != max_rows:
+        n = len(df.select(F.lit(1)).take(max_rows + 1))
+        known = (max_rows, n <= max_rows)
+        try:
+            df._care_rows_within = known
+        except AttributeError:  # pragma: no cover - DataFrame without __dict__
+            pass
+    return F.broadcast(df) if known[1] else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
