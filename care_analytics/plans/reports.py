@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from care_analytics.functions import params as P
+from care_analytics.functions import patterns
 from care_analytics.functions import scalars as S
 from care_analytics.operators import aggregates as A
 from care_analytics.operators import filters as FL
@@ -167,28 +168,25 @@ def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -
 # ---------------------------------------------------------------------------
 # R04 one row per filled-in survey with people, cost centres, score, status
 # ---------------------------------------------------------------------------
-def _survey_score_parts(t: Tables, results: DataFrame):
-    """Per survey result: score sum, and the row counts of every 1-n branch
-    the source joins before summing (date answers, time answers)."""
-    sa = t.survey_answers
-    sad = small(t.survey_answer_definitions)
-    scores = (sa.join(sad, sad["objectId"] == sa["answerDefinitionObjectId"], "left")
-              .groupBy(sa["surveyResultObjectId"].alias("_rid"))
-              .agg(F.sum(sad["score"]).alias("_score")))
-    sq = t.survey_questions
-
-    def answers_to(pred) -> DataFrame:
-        qs = FL.where(sq.select("objectId", "text"), pred).select(c("objectId").alias("_qid"))
-        return (sa.filter(sa["text"].isNotNull())
-                .join(small(qs), sa["questionObjectId"] == c("_qid"))
-                .groupBy(sa["surveyResultObjectId"].alias("_rid"))
-                .agg(F.count(F.lit(1)).alias("_n")))
-
-    from care_analytics.functions import patterns
-    dates = answers_to(patterns.like(c("text"), "%Datum%")).withColumnRenamed("_n", "_n_date")
+def _answer_summary(t: Tables) -> DataFrame:
+    """Per survey result, in one pass over the answers: the score sum and the
+    number of date answers and time answers (the two 1-n answer joins the
+    source makes before summing)."""
+    sa = t.survey_answers.alias("sa")
+    sad = small(t.survey_answer_definitions).alias("sad")
+    is_date = patterns.like(c("text"), "%Datum%")
     # the source's LIKE on this label has no wildcard: an equality
-    times = answers_to(FL.ci_eq("text", "&amp;Tijdstip incident&amp;")).withColumnRenamed("_n", "_n_time")
-    return scores, dates, times
+    is_time = FL.ci_eq("text", "&amp;Tijdstip incident&amp;")
+    flagged = (t.survey_questions.select("objectId", "text")
+               .filter(is_date | is_time)
+               .select(c("objectId").alias("_qid"), is_date.alias("_is_date"), is_time.alias("_is_time")))
+    answered = sa["text"].isNotNull()
+    return (sa.join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left")
+            .join(small(flagged), c("_qid") == c("sa.questionObjectId"), "left")
+            .groupBy(c("sa.surveyResultObjectId").alias("_rid"))
+            .agg(F.sum("sad.score").alias("_score"),
+                 F.count(F.when(answered & c("_is_date"), 1)).alias("_n_date"),
+                 F.count(F.when(answered & c("_is_time"), 1)).alias("_n_time")))
 
 
 def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
@@ -238,10 +236,13 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     sr = t.survey_results.alias("sr")
     s = t.surveys.alias("s")
     base = sr.join(s, c("s.objectId") == c("sr.surveyObjectId"), "left")
-    base = FL.where(base, FL.like_any("s.title", vragenlijst, trim=True))
-    results = base.select("sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "sr.createdAt")
+    title = FL.like_any("s.title", vragenlijst, trim=True)
+    base = FL.where(base, title)
+    # without a title filter the chains need no survey join
+    results = (base if title is not None else t.survey_results.alias("sr")).select(
+        "sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "sr.createdAt")
 
-    scores, dates, times = _survey_score_parts(t, results)
+    answers = _answer_summary(t)
     emp_cc = _employee_costcentres(t, results)
     cli_cc = _client_costcentres(t, results)
 
@@ -249,17 +250,17 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     e = t.employees.alias("e")
     df = (base.join(cl, c("c.objectId") == c("sr.clientObjectId"), "left")
           .join(e, c("e.objectId") == c("sr.employeeObjectId"), "left")
-          .join(scores, c("sr.objectId") == scores["_rid"], "left").drop("_rid")
-          .join(dates, c("sr.objectId") == dates["_rid"], "left").drop("_rid")
-          .join(times, c("sr.objectId") == times["_rid"], "left").drop("_rid")
+          .join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
           .join(emp_cc, c("sr.objectId") == emp_cc["_rid"], "left").drop("_rid")
           .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid"))
 
     if dedupe:
         total = c("_score")
     else:
-        fan = (F.coalesce(c("_n_date"), F.lit(1)) * F.coalesce(c("_n_time"), F.lit(1))
-               * F.coalesce(c("_n_m"), F.lit(1)) * F.coalesce(c("_n_c"), F.lit(1)))
+        # a LEFT JOIN without match still yields one row: factor at least 1
+        fan = F.lit(1)
+        for n in ("_n_date", "_n_time", "_n_m", "_n_c"):
+            fan = fan * F.greatest(F.coalesce(c(n), F.lit(0)), F.lit(1))
         total = c("_score") * fan
     filled = F.coalesce(c("sr.completedAt"), c("sr.createdAt"))
     return df.select(
@@ -465,7 +466,6 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
     trajectories = A.joined_list(traj, ["_tc"], "description", " | ",
                                  "actieve_jeugdtrajecten", "aantal_actieve_jeugdtrajecten")
 
-    from care_analytics.functions import patterns
     lg = in_period(leg.alias("l"), "l.").filter(patterns.like(c("l.legitimatie"), legitimation))
     ca = FL.where(t.care_allocations.alias("ca"),
                   T.overlaps("ca.dateBegin", "ca.dateEnd", start, end, end_inclusive=False))

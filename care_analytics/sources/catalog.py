@@ -76,11 +76,20 @@ class Tables:
         return cls(spark, lambda name: spark.table(prefix + name))
 
 
-def materialize(tables: Tables, names, out_root: str, mode: str = "overwrite") -> None:
+def materialize(tables: Tables, names, out_root: str, mode: str = "overwrite",
+                files: int | None = None, min_rows_to_split: int = 10_000) -> None:
     """Write reference tables to ``{out_root}/{name}`` as Parquet.
 
     Used by the benchmark so that reports read stored tables, as they do in
-    production, instead of re-deriving the adapters on every run.
+    production, instead of re-deriving the adapters on every run.  Tables
+    with at least ``min_rows_to_split`` rows are written as ``files`` files
+    (default: the session's parallelism), like a production table made of
+    many files; small code lists stay one file.
     """
+    spark = tables.spark
+    files = files or spark.sparkContext.defaultParallelism
     for name in names:
-        tables[name].write.mode(mode).parquet(os.path.join(out_root, name))
+        df = tables[name]
+        if files > 1 and df.count() >= min_rows_to_split:
+            df = df.repartition(files)
+        df.write.mode(mode).parquet(os.path.join(out_root, name))
