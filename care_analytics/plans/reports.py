@@ -305,17 +305,23 @@ def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
           .join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left")
           .join(sq, c("sq.objectId") == c("sa.questionObjectId"), "left"))
     answer = S.answer_text("sq.answertype", "sa.text", "sad.definition", "sa.booleanAnswer")
-    df = df.withColumn("_answer", answer).filter(c("_answer").isNotNull())
-    df = W.number_within(df, [c("sa.surveyResultObjectId")],
-                         [c("sq.objectId").asc_nulls_first(), c("sa.objectId").asc()], "_seq")
-    return df.select(
-        c("sa.surveyResultObjectId").cast("string").alias("Ingevulde_Vragenlijst"),
-        c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),
+    df = df.withColumn("_answer", answer).filter(c("_answer").isNotNull()).select(
+        c("sa.surveyResultObjectId").alias("_rid"),
+        c("sq.objectId").alias("_qid"),
+        c("sa.objectId").alias("_aid"),
         c("sq.text").alias("Vraag"),
         c("sq.additionalInfo").alias("Aanvullende_Info_Bij_Vraag"),
         c("_answer").alias("Antwoord"),
         S.answer_kind("sq.answertype").alias("Antwoord_Type"),
         c("sad.score").alias("Score_Meerkeuze"),
+    )
+    # a survey result holding a large share of all answers is numbered by
+    # the spread plan (see number_within)
+    df = W.number_within(df, ["_rid"], [c("_qid").asc_nulls_first(), c("_aid").asc()], "_seq")
+    return df.select(
+        c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
+        c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),
+        "Vraag", "Aanvullende_Info_Bij_Vraag", "Antwoord", "Antwoord_Type", "Score_Meerkeuze",
         F.lit("ONS").alias("Bron"),
     )
 

@@ -165,3 +165,25 @@ def test_token_table(spark, spec, expected):  # S4
     from care_analytics.functions.params import split_tokens
     tokens = split_tokens(spec, trim=spec is not None and spec != "", drop_empty=bool(spec))
     assert tokens == expected
+
+
+def test_spread_numbering_matches_window_on_a_hot_key(spark):  # W3 at scale
+    # key 0 holds a third of the rows; NULL keys and NULL order values too
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 100 == 1, F.lit(None))
+         .otherwise(F.col("id") % 97).alias("k"),
+        (F.col("id") % 2).alias("k2"),
+        F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id") % 700).alias("o"),
+        F.col("id").alias("tie"))
+    order = [F.col("o").asc_nulls_first(), F.col("tie").asc()]
+    for keys in (["k"], ["k", "k2"]):
+        spread = W.number_within_spread(df, keys, order, "rn", partitions=6)
+        plain = W.number_within(df, keys, order, "rn", hot_rows=None)
+        a = spread.select("tie", "rn")
+        b = plain.select("tie", "rn")
+        assert a.count() == 30000
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # the adaptive switch takes the spread plan when a group is too large
+    auto = W.number_within(df, ["k"], order, "rn", hot_rows=1000)
+    assert auto.select("tie", "rn").exceptAll(
+        W.number_within(df, ["k"], order, "rn", hot_rows=None).select("tie", "rn")).count() == 0
