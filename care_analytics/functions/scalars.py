@@ -34,6 +34,8 @@ UNIT_CODES = {
 STATUS_LABELS = {0: "Nieuw", 1: "Concept", 2: "Bespreken", 3: "Actueel", 4: "Gearchiveerd"}
 STATUS_UNKNOWN = "Onbekend"
 YES, NO = "Ja", "Nee"
+# Source label written on every survey answer row.
+ANSWER_SOURCE = "ONS"
 # ---------------------------------------------------------------------------
 
 

@@ -34,25 +34,30 @@ def small(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000",
                                 relation="%eerste%,%tweede%") -> DataFrame:
-    ca = t.care_allocations.alias("ca")
+    """Clients with an active care allocation and an open MAIN location on a
+    cost centre, without a relation of the given types.
+
+    The source joins every allocation to every location assignment of the
+    client and removes the copies with a final GROUP BY.  Only the client id
+    of an allocation and the location of an assignment are used, so both are
+    reduced to distinct keys first: same result, but a client with many
+    allocations and assignments never forms their product.
+    """
+    ca = FL.where(t.care_allocations, T.open_after("dateEnd", enddate)).select(
+        c("clientObjectId").alias("_client")).distinct().alias("ca")
+    la = FL.where(t.location_assignments, FL.ci_eq("locationType", "MAIN"), c("endDate").isNull()).select(
+        c("clientObjectId").alias("_la_client"), c("locationObjectId").alias("_loc")).distinct().alias("la")
     cl = t.clients.alias("c")
-    la = t.location_assignments.alias("la")
     cca = t.costcenter_assignments.alias("cca")
     cc = small(t.costcenters).alias("cc")
 
-    base = (ca.join(cl, c("c.objectId") == c("ca.clientObjectId"), "left")
-            .join(la, c("la.clientObjectId") == c("ca.clientObjectId"), "left")
-            .join(cca, c("cca.unitObjectId") == c("la.locationObjectId"), "left")
+    base = (ca.join(cl, c("c.objectId") == c("_client"), "left")
+            .join(la, c("_la_client") == c("_client"))
+            .join(cca, c("cca.unitObjectId") == c("_loc"), "left")
             .join(cc, c("cc.objectId") == c("cca.costcenterObjectId"), "left"))
-    base = FL.where(
-        base,
-        T.open_after("ca.dateEnd", enddate),
-        FL.ci_eq("la.locationType", "MAIN"),
-        c("la.endDate").isNull(),
-        FL.flex_number("cc.identificationNo", costcentre),
-    )
+    base = FL.where(base, FL.flex_number("cc.identificationNo", costcentre))
     table_alle = base.select(
-        c("ca.clientObjectId").alias("clientId"),
+        c("_client").alias("clientId"),
         c("c.identificationNo").alias("clientNo"),
         c("c.name").alias("clientname"),
         c("cc.identificationNo").alias("costcenterNo"),
@@ -322,7 +327,7 @@ def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
         c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
         c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),
         "Vraag", "Aanvullende_Info_Bij_Vraag", "Antwoord", "Antwoord_Type", "Score_Meerkeuze",
-        F.lit("ONS").alias("Bron"),
+        F.lit(S.ANSWER_SOURCE).alias("Bron"),
     )
 
 
@@ -472,9 +477,12 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
     trajectories = A.joined_list(traj, ["_tc"], "description", " | ",
                                  "actieve_jeugdtrajecten", "aantal_actieve_jeugdtrajecten")
 
-    lg = in_period(leg.alias("l"), "l.").filter(patterns.like(c("l.legitimatie"), legitimation))
-    ca = FL.where(t.care_allocations.alias("ca"),
-                  T.overlaps("ca.dateBegin", "ca.dateEnd", start, end, end_inclusive=False))
+    # The output is DISTINCT over a few columns of each side, so each side is
+    # reduced to distinct values of those columns before the per-client join.
+    lg = (in_period(leg, "").filter(patterns.like(c("legitimatie"), legitimation))
+          .select("clientno", "clientObjectId", "client", "geboren", "legitimatie").distinct().alias("l"))
+    ca = (FL.where(t.care_allocations, T.overlaps("dateBegin", "dateEnd", start, end, end_inclusive=False))
+          .select("clientObjectId", "dateBegin", "dateEnd").distinct().alias("ca"))
     df = lg.join(ca, c("ca.clientObjectId") == c("l.clientObjectId"))
     df = J.attach_summary(df, products, c("_pc") == c("l.clientObjectId"),
                           {"aantal_producten": 0, "producten": ""})
