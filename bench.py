@@ -1,7 +1,7 @@
 """Benchmark: the fifteen reports (plus the template query) at one scale.
 
 Environment: ``BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``),
-``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (timed runs per query, default 3).
+``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (timed runs per query, default 5).
 
 1. The reference tables are written once as Parquet from the driver tables
    (the test adapters), as they would be stored in production; that time is
@@ -34,7 +34,7 @@ from care_analytics.sources.catalog import Tables, materialize  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="care-analytics-bench")
 
     shared = spark.conf.get("spark.checkpoint.dir", None)

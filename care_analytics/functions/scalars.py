@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,11 +37,32 @@ ANSWER_SOURCE = "ONS"
 # ---------------------------------------------------------------------------
 
 
+class Text(str):
+    """A literal text part for :func:`concat0` (plain strings are column names)."""
+
+
+SP = Text(" ")
+
+
+def sql_name(name: str) -> str:
+    """``'a.b'`` -> ```a`.`b``` for use inside a SQL expression string."""
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def concat0(*cols) -> Column:
     """CONCAT where NULL counts as the empty string (plain ``concat`` gives NULL).
 
-    Strings are column names; pass separators as ``F.lit(' ')``.
+    Strings are column names; :class:`Text` parts (e.g. :data:`SP`) are
+    literals.  Built as one SQL expression.
     """
+    if all(isinstance(c, str) for c in cols):
+        parts = [sql_text(c) if isinstance(c, Text) else f"coalesce(cast({sql_name(c)} as string), '')"
+                 for c in cols]
+        return F.expr(f"concat({', '.join(parts)})")
     return F.concat(*[F.coalesce(lit_or_col(c).cast("string"), F.lit("")) for c in cols])
 
 
@@ -66,26 +85,31 @@ def time_minute_text(col) -> Column:
     return F.substring(lit_or_col(col), 1, 5)
 
 
+def _minutes_sql(name: str) -> str:
+    n = sql_name(name)
+    return f"(try_cast(substring({n}, 1, 2) as int) * 60 + try_cast(substring({n}, 4, 2) as int))"
+
+
 def minute_of_day(col) -> Column:
     """Minutes since midnight of an ``HH:mm[:ss]`` text; seconds are ignored."""
-    c = lit_or_col(col)
-    return (F.substring(c, 1, 2).try_cast("int") * 60 + F.substring(c, 4, 2).try_cast("int"))
+    if isinstance(col, str):
+        return F.expr(_minutes_sql(col))
+    return F.substring(col, 1, 2).try_cast("int") * 60 + F.substring(col, 4, 2).try_cast("int")
 
 
-def shift_hours(start, stop, break_start, break_stop) -> Column:
-    """Net hours of a shift given as ``HH:mm:ss`` texts.
+def shift_hours(start: str, stop: str, break_start: str, break_stop: str) -> Column:
+    """Net hours of a shift given as ``HH:mm:ss`` texts (column names).
 
     A stop before the start runs past midnight (+24 h); so does a break whose
     start is after its stop.  No break start means no break; a break start
     without a stop gives NULL.  Whole minutes, one division, 4 decimals.
     """
-    s, e, bs, be = (lit_or_col(c) for c in (start, stop, break_start, break_stop))
-    work = (F.when(e < s, 1440 - minute_of_day(s) + minute_of_day(e))
-            .otherwise(minute_of_day(e) - minute_of_day(s)))
-    pause = (F.when(bs.isNull(), F.lit(0))
-             .when(bs > be, minute_of_day(be) - minute_of_day(bs) + 1440)
-             .otherwise(minute_of_day(be) - minute_of_day(bs)))
-    return F.round((work - pause).cast("double") / F.lit(60.0), 4)
+    s, e, bs, be = (sql_name(c) for c in (start, stop, break_start, break_stop))
+    ms, me, mbs, mbe = (_minutes_sql(c) for c in (start, stop, break_start, break_stop))
+    return F.expr(
+        f"round(cast((CASE WHEN {e} < {s} THEN 1440 - {ms} + {me} ELSE {me} - {ms} END)"
+        f" - (CASE WHEN {bs} IS NULL THEN 0 WHEN {bs} > {be} THEN {mbe} - {mbs} + 1440"
+        f" ELSE {mbe} - {mbs} END) as double) / 60.0, 4)")
 
 
 def date_text(col, fmt: str) -> Column:
@@ -127,44 +151,37 @@ def parse_dutch_date(col) -> Column:
     return F.coalesce(*numeric, *named)
 
 
-def map_codes(col, pairs: dict[str, str], case_sensitive: bool = False) -> Column:
-    """Map a text through ``pairs``; values without a pair pass unchanged."""
-    c = lit_or_col(col)
-    key = c if case_sensitive else F.lower(c)
-    entries = []
-    for k, v in pairs.items():
-        entries += [F.lit(k if case_sensitive else k.lower()), F.lit(v)]
-    mapping = F.create_map(*entries)
-    return F.coalesce(F.try_element_at(mapping, key), c)
+def map_codes(col: str, pairs: dict[str, str], case_sensitive: bool = False) -> Column:
+    """Map a text column through ``pairs``; values without a pair pass unchanged."""
+    c = sql_name(col)
+    key = c if case_sensitive else f"lower({c})"
+    entries = ", ".join(f"{sql_text(k if case_sensitive else k.lower())}, {sql_text(v)}" for k, v in pairs.items())
+    return F.expr(f"coalesce(try_element_at(map({entries}), {key}), {c})")
 
 
-def unit_code(col) -> Column:
+def unit_code(col: str) -> Column:
     return map_codes(col, UNIT_CODES)
 
 
-def status_label(col) -> Column:
-    c = lit_or_col(col)
-    expr = reduce(lambda acc, kv: acc.when(c == kv[0], F.lit(kv[1])),
-                  list(STATUS_LABELS.items())[1:],
-                  F.when(c == list(STATUS_LABELS)[0], F.lit(STATUS_LABELS[0])))
-    return expr.otherwise(F.lit(STATUS_UNKNOWN))
+def status_label(col: str) -> Column:
+    whens = " ".join(f"WHEN {k} THEN {sql_text(v)}" for k, v in STATUS_LABELS.items())
+    return F.expr(f"CASE {sql_name(col)} {whens} ELSE {sql_text(STATUS_UNKNOWN)} END")
 
 
-def yes_no(col) -> Column:
+def yes_no(col: str) -> Column:
     """``'Ja'`` when the flag is 1, otherwise (also NULL) ``'Nee'``."""
-    return F.when(lit_or_col(col) == 1, F.lit(YES)).otherwise(F.lit(NO))
+    return F.expr(f"CASE WHEN {sql_name(col)} = 1 THEN {sql_text(YES)} ELSE {sql_text(NO)} END")
 
 
-def answer_text(answertype, text, definition, boolean_answer) -> Column:
+def answer_text(answertype: str, text: str, definition: str, boolean_answer: str) -> Column:
     """Answer shown for a survey answer: the chosen definition for a
     multiple-choice question without text, 'Ja' for a true boolean, else the
     text."""
-    at, tx, de, ba = (lit_or_col(c) for c in (answertype, text, definition, boolean_answer))
-    return (F.when(at.isin(1, 2) & tx.isNull(), de)
-            .when(ba == 1, F.lit(YES))
-            .otherwise(tx))
+    at, tx, de, ba = (sql_name(c) for c in (answertype, text, definition, boolean_answer))
+    return F.expr(f"CASE WHEN {at} IN (1, 2) AND {tx} IS NULL THEN {de} "
+                  f"WHEN {ba} = 1 THEN {sql_text(YES)} ELSE {tx} END")
 
 
-def answer_kind(answertype) -> Column:
-    return (F.when(lit_or_col(answertype).isin(1, 2), F.lit("Meerkeuze"))
-            .otherwise(F.lit("Open/getal/datum/tijd")))
+def answer_kind(answertype: str) -> Column:
+    return F.expr(f"CASE WHEN {sql_name(answertype)} IN (1, 2) THEN 'Meerkeuze' "
+                  f"ELSE 'Open/getal/datum/tijd' END")

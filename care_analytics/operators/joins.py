@@ -9,15 +9,9 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 20_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The proof is an incremental ``take`` of a constant column (no data
-    columns are read).  A larger side is returned unchanged and joined by
-    sort-merge, where AQE may still switch to a broadcast at run time.  The
-    answer is remembered on the DataFrame object, so a table loaded once
-    per session is checked once.
-    """
+def _rows_within(df: DataFrame, max_rows: int) -> bool:
+    """At most ``max_rows`` rows?  Proven by an incremental ``take`` of a
+    constant column (no data columns are read); remembered on the object."""
     known = getattr(df, "_care_rows_within", None)
     if known is None or known[0] != max_rows:
         n = len(df.select(F.lit(1)).take(max_rows + 1))
@@ -26,7 +20,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
             df._care_rows_within = known
         except AttributeError:  # pragma: no cover - DataFrame without __dict__
             pass
-    return F.broadcast(df) if known[1] else df
+    return known[1]
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       bound_by: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    ``bound_by`` is a table that ``df`` was derived from by filters and
+    projections only: if that table is proven small, so is ``df`` (and the
+    proof of a stored table is made once per session).  A side that is not
+    proven small is returned unchanged and joined by sort-merge, where AQE
+    may still switch to a broadcast from runtime sizes.
+    """
+    if bound_by is not None and _rows_within(bound_by, max_rows):
+        return F.broadcast(df)
+    return F.broadcast(df) if _rows_within(df, max_rows) else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:

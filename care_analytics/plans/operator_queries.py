@@ -291,7 +291,7 @@ SELECT mu.objectId,
 FROM fx_units mu LEFT JOIN fx_units mup ON mup.objectId = mu.parent_unit_id""")
 def parent_fallback(t):
     mu, mup = t.moves_units.alias("mu"), t.moves_units.alias("mup")
-    sp = F.lit(" ")
+    sp = S.SP
     return (mu.join(mup, c("mup.objectId") == c("mu.parent_unit_id"), "left")
             .select(c("mu.objectId").alias("objectId"),
                     J.parent_fallback(S.concat0("mu.code", sp, "mu.name"), S.concat0("mup.code", sp, "mup.name"),
@@ -424,7 +424,7 @@ def _result_scores(t):
 def _date_answers(t):
     sa = t.survey_answers.filter(c("text").isNotNull()).alias("sa")
     sq = t.survey_questions.filter(patterns.like(c("text"), "%Datum%")).select(c("objectId").alias("_q"))
-    return sa.join(J.broadcast_if_small(sq), c("_q") == c("sa.questionObjectId")).select(
+    return sa.join(J.broadcast_if_small(sq, bound_by=t.survey_questions), c("_q") == c("sa.questionObjectId")).select(
         c("sa.surveyResultObjectId").alias("rid"))
 
 
@@ -507,7 +507,7 @@ def answer_text(t):
 @register("concat_null_as_empty", """
 SELECT objectId, concat(identificationNo, ' ', firstName, ' ', name) AS medewerker FROM fx_employees""")
 def concat_null_as_empty(t):
-    sp = F.lit(" ")
+    sp = S.SP
     return t.employees.select("objectId", S.concat0("identificationNo", sp, "firstName", sp, "name").alias("medewerker"))
 
 
@@ -602,7 +602,7 @@ WHERE sq.text ILIKE '%Datum%' AND sa.text IS NOT NULL""")
 def parse_dutch_date(t):
     sa = t.survey_answers.filter(c("text").isNotNull()).alias("sa")
     sq = J.broadcast_if_small(t.survey_questions.filter(patterns.like(c("text"), "%Datum%"))
-                              .select(c("objectId").alias("_q")))
+                              .select(c("objectId").alias("_q")), bound_by=t.survey_questions)
     out = sa.join(sq, c("_q") == c("sa.questionObjectId"))
     return out.select(c("sa.objectId").alias("objectId"), c("sa.text").alias("text"),
                       S.compact_date(S.parse_dutch_date("sa.text")).alias("datum"))

@@ -113,7 +113,7 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
                          "co.beginDate", "co.endDate", end_inclusive=True)
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
 
-    sp = F.lit(" ")
+    sp = S.SP
     own_unit = S.concat0("mu.code", sp, "mu.name")
     return df.select(
         c("msa.objectId").alias("msa_objectid"),
@@ -187,7 +187,8 @@ def _answer_summary(t: Tables) -> DataFrame:
                .select(c("objectId").alias("_qid"), is_date.alias("_is_date"), is_time.alias("_is_time")))
     answered = sa["text"].isNotNull()
     return (sa.join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left")
-            .join(small(flagged), c("_qid") == c("sa.questionObjectId"), "left")
+            .join(J.broadcast_if_small(flagged, bound_by=t.survey_questions),
+                  c("_qid") == c("sa.questionObjectId"), "left")
             .groupBy(c("sa.surveyResultObjectId").alias("_rid"))
             .agg(F.sum("sad.score").alias("_score"),
                  F.count(F.when(answered & c("_is_date"), 1)).alias("_n_date"),
@@ -322,7 +323,8 @@ def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
     )
     # a survey result holding a large share of all answers is numbered by
     # the spread plan (see number_within)
-    df = W.number_within(df, ["_rid"], [c("_qid").asc_nulls_first(), c("_aid").asc()], "_seq")
+    df = W.number_within(df, ["_rid"], [c("_qid").asc_nulls_first(), c("_aid").asc()], "_seq",
+                         sizes_from=t.survey_answers.select(c("surveyResultObjectId").alias("_rid")))
     return df.select(
         c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
         c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),
@@ -655,7 +657,7 @@ def r15_presence_logs(t: Tables, start, end) -> DataFrame:
         c("pl.startDate").alias("startdatum"),
         c("pl.endDate").alias("einddatum"),
         c("e.identificationNo").alias("medewerkernummer"),
-        F.trim(S.concat0("e.lastName", F.lit(", "), "e.initials", F.lit(" "), "e.prefix")).alias("employee_name"),
+        F.trim(S.concat0("e.lastName", S.Text(", "), "e.initials", S.SP, "e.prefix")).alias("employee_name"),
         c("a.description").alias("uursoort_beschrijving"),
         c("a.identificationNo").alias("uursoort_code"),
         c("t.identificationNo").alias("kostenplaatsnummer"),
