@@ -80,16 +80,74 @@ def since_previous_month(col, as_of) -> Column:
     return col_(col) >= F.lit(P.first_of_previous_month(as_of))
 
 
+# Largest key group on the right side of a validity join that one task may
+# handle on its own before the join is split by time bucket (rows).
+HOT_KEY_ROWS = 2_000_000
+TIME_BUCKETS = 16
+
+
+def _largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent ``key`` value (partial count; remembered)."""
+    memo = getattr(df, "_care_largest_group", {})
+    if key not in memo:
+        memo[key] = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        try:
+            df._care_largest_group = memo
+        except AttributeError:  # pragma: no cover
+            pass
+    return memo[key]
+
+
 def validity_join(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
-                  end_inclusive: bool = True, how: str = "left") -> DataFrame:
+                  end_inclusive: bool = True, how: str = "left", right_key: str | None = None,
+                  hot_rows: int | None = HOT_KEY_ROWS, hot_probe: DataFrame | None = None) -> DataFrame:
     """Join each left row to the right versions valid at the left row's date.
 
     Planned as an equi-join on the key with the interval as a residual
-    condition (sort-merge or broadcast hash, never a nested loop).
+    condition (sort-merge or broadcast hash, never a nested loop).  When
+    ``right_key`` is given and one key holds more than ``hot_rows`` right
+    rows, the join is split by time bucket (:func:`validity_join_bucketed`)
+    so that a hot key is compared bucket by bucket in separate tasks.
+    ``hot_probe`` is the table ``right`` was filtered from, measured instead
+    (an upper bound, and remembered per session).
     """
+    probe = hot_probe if hot_probe is not None else right
+    if right_key is not None and hot_rows is not None and _largest_group(probe, right_key) > hot_rows:
+        return validity_join_bucketed(left, right, on, at, begin, end, end_inclusive, how)
     return left.join(right, on & valid_at(begin, end, col_(at), end_inclusive), how)
 
 
+def validity_join_bucketed(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
+                           end_inclusive: bool = True, how: str = "left",
+                           buckets: int = TIME_BUCKETS) -> DataFrame:
+    """Validity join with the time bucket of ``at`` added to the join key.
+
+    The left dates span ``[lo, hi]`` (one small aggregate); that span is cut
+    into ``buckets`` equal buckets.  Each right interval that meets the span
+    is repeated once per bucket it overlaps (at most ``buckets`` copies,
+    open ends clamped to ``hi``); each left row falls in exactly one bucket.
+    A right version valid at ``at`` overlaps ``at``'s bucket, so every match
+    is found exactly once; the interval test stays as the residual.
+    """
+    at_c = col_(at)
+    lo, hi = left.agg(F.min(at_c.cast("date")), F.max(at_c.cast("date"))).first()
+    if lo is None:
+        return left.join(right, on & valid_at(begin, end, at_c, end_inclusive), how)
+    width = max(1, -(-((hi - lo).days + 1) // buckets))  # days per bucket
+    b, e = col_(begin), col_(end)
+
+    def bucket_of(d: Column) -> Column:
+        return F.floor(F.datediff(d, F.lit(lo)) / F.lit(width)).cast("int")
+
+    r = right.filter((b.cast("date") <= F.lit(hi)) & (e.isNull() | (e.cast("date") >= F.lit(lo))))
+    first = F.greatest(bucket_of(b.cast("date")), F.lit(0))
+    last = F.least(bucket_of(F.coalesce(e.cast("date"), F.lit(hi))), F.lit(buckets - 1))
+    r = r.withColumn("_vb_r", F.explode(F.sequence(first, last)))
+    lft = left.withColumn("_vb_l", bucket_of(at_c.cast("date")))
+    cond = on & (F.col("_vb_l") == F.col("_vb_r")) & valid_at(begin, end, at_c, end_inclusive)
+    return lft.join(r, cond, how).drop("_vb_l", "_vb_r")
+
+
 def containment_join(left: DataFrame, right: DataFrame, on: Column, inner_begin, inner_end,
                      outer_begin, outer_end, how: str = "left") -> DataFrame:
     """Join to right rows whose interval contains the left row's interval.

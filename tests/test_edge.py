@@ -187,3 +187,21 @@ def test_spread_numbering_matches_window_on_a_hot_key(spark):  # W3 at scale
     auto = W.number_within(df, ["k"], order, "rn", hot_rows=1000)
     assert auto.select("tie", "rn").exceptAll(
         W.number_within(df, ["k"], order, "rn", hot_rows=None).select("tie", "rn")).count() == 0
+
+
+def test_bucketed_validity_join_matches_plain(spark):  # J3/J4 with a hot key
+    left = spark.range(0, 3000).select((F.col("id") % 5).alias("k"), F.col("id").alias("lid"),
+                                       F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 200).cast("int")).alias("d"))
+    right = spark.range(0, 900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 7).alias("rk"), F.col("id").alias("rid"),
+        F.date_add(F.lit(D(2023, 10, 1)), (F.col("id") % 400).cast("int")).alias("b"),
+        F.when(F.col("id") % 5 == 0, F.lit(None))
+         .otherwise(F.date_add(F.lit(D(2023, 10, 1)), (F.col("id") % 400 + F.col("id") % 40).cast("int"))).alias("e"))
+    on = F.col("k") == F.col("rk")
+    for incl in (True, False):
+        bucketed = T.validity_join_bucketed(left, right, on, F.col("d"), "b", "e", incl, "left").select("lid", "rid")
+        plain = T.validity_join(left, right, on, F.col("d"), "b", "e", incl, "left", hot_rows=None).select("lid", "rid")
+        assert bucketed.count() == plain.count()
+        assert bucketed.exceptAll(plain).count() == 0 and plain.exceptAll(bucketed).count() == 0
+    auto = T.validity_join(left, right, on, F.col("d"), "b", "e", True, "left", right_key="rk", hot_rows=50)
+    assert "_vb_r" in auto._jdf.queryExecution().optimizedPlan().toString()
