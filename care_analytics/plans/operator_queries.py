@@ -228,7 +228,8 @@ FROM fx_shift_assignments msa LEFT JOIN fx_team_assignments ta ON ta.employeeObj
 def validity_join_inclusive(t):
     msa, ta = t.moves_shift_assignments.alias("msa"), t.team_assignments.alias("ta")
     out = T.validity_join(msa, ta, c("ta.employeeObjectId") == c("msa.employee_id"), c("msa.date"),
-                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId")
+                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
+                          hot_probe=t.team_assignments)
     return out.select(c("msa.objectId").alias("objectId"), c("ta.objectId").alias("team_assignment_id"),
                       c("ta.teamObjectId").alias("teamObjectId"))
 
@@ -240,7 +241,8 @@ FROM fx_shift_assignments msa LEFT JOIN fx_shifts ms ON ms.timeline_id = msa.tim
 def validity_join_half_open(t):
     msa, ms = t.moves_shift_assignments.alias("msa"), t.moves_shifts.alias("ms")
     out = T.validity_join(msa, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), c("msa.date"),
-                          "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id")
+                          "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
+                          hot_probe=t.moves_shifts)
     return out.select(c("msa.objectId").alias("objectId"), c("ms.objectId").alias("shift_id"),
                       c("ms.description").alias("description"))
 

@@ -100,17 +100,21 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
           .join(mup, c("mup.objectId") == c("mu.parent_unit_id"), "left"))
     # shift version valid on the day; valid_to is the first day of the next version
     df = T.validity_join(df, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), at,
-                         "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id")
+                         "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
+                         hot_probe=t.moves_shifts)
     df = df.join(mep, c("mep.objectId") == c("ms.expertise_profile_id"), "left")
     df = df.join(e, c("e.objectId") == c("me.external_id"), "left")
     df = T.validity_join(df, ta, c("ta.employeeObjectId") == c("e.objectId"), at,
-                         "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId")
+                         "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
+                         hot_probe=t.team_assignments)
     df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
     df = T.validity_join(df, epa, c("epa.employeeObjectId") == c("e.objectId"), at,
-                         "epa.startTime", "epa.endTime", end_inclusive=True, right_key="employeeObjectId")
+                         "epa.startTime", "epa.endTime", end_inclusive=True, right_key="employeeObjectId",
+                         hot_probe=t.expertise_profile_assignments)
     df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = T.validity_join(df, co, c("co.employeeObjectId") == c("e.objectId"), at,
-                         "co.beginDate", "co.endDate", end_inclusive=True, right_key="employeeObjectId")
+                         "co.beginDate", "co.endDate", end_inclusive=True, right_key="employeeObjectId",
+                         hot_probe=t.contracts)
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
 
     sp = S.SP
@@ -204,7 +208,8 @@ def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
     cca = t.costcenter_assignments.alias("ccam")
     cc = small(t.costcenters).alias("ccm")
     df = T.validity_join(sr, ta, c("ta.employeeObjectId") == c("_emp"), c("_at"),
-                         "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId")
+                         "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
+                         hot_probe=t.team_assignments)
     df = T.containment_join(df, cca, c("ccam.clusterObjectId") == c("ta.teamObjectId"),
                             "ta.beginDate", "ta.endDate", "ccam.beginDate", "ccam.endDate")
     df = T.containment_join(df, cc, c("ccm.objectId") == c("ccam.costcenterObjectId"),
