@@ -48,7 +48,7 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
     la = FL.where(t.location_assignments, FL.ci_eq("locationType", "MAIN"), c("endDate").isNull()).select(
         c("clientObjectId").alias("_la_client"), c("locationObjectId").alias("_loc")).distinct().alias("la")
     cl = t.clients.alias("c")
-    cca = t.costcenter_assignments.alias("cca")
+    cca = small(t.costcenter_assignments).alias("cca")
     cc = small(t.costcenters).alias("cc")
 
     base = (ca.join(cl, c("c.objectId") == c("_client"), "left")
@@ -81,14 +81,14 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     msa = FL.where(t.moves_shift_assignments.alias("msa"),
                    c("msa.discarded_at").isNull(),
                    FL.in_period("msa.date", start, end))
-    mu = t.moves_units.alias("mu")
-    mup = t.moves_units.alias("mup")
-    ms = t.moves_shifts.alias("ms")
+    mu = small(t.moves_units).alias("mu")
+    mup = small(t.moves_units).alias("mup")
+    ms = small(t.moves_shifts).alias("ms")
     mep = small(t.moves_expertise_profiles).alias("mep")
     me = FL.where(t.moves_employees.alias("me"), FL.not_flag("me.dummy", 1))
     e = t.employees.alias("e")
     ta = t.team_assignments.alias("ta")
-    tm = t.teams.alias("t")
+    tm = small(t.teams).alias("t")
     epa = t.expertise_profile_assignments.alias("epa")
     ep = small(t.expertise_profiles).alias("ep")
     co = t.contracts.alias("co")
@@ -103,18 +103,21 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
                          "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
                          hot_probe=t.moves_shifts)
     df = df.join(mep, c("mep.objectId") == c("ms.expertise_profile_id"), "left")
+    # The three validity joins all key on the employee: done back to back so
+    # the rows are shuffled by employee once; each lookup below only reads
+    # columns of the join before it, so left joins may be reordered this way.
     df = df.join(e, c("e.objectId") == c("me.external_id"), "left")
     df = T.validity_join(df, ta, c("ta.employeeObjectId") == c("e.objectId"), at,
                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
                          hot_probe=t.team_assignments)
-    df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
     df = T.validity_join(df, epa, c("epa.employeeObjectId") == c("e.objectId"), at,
                          "epa.startTime", "epa.endTime", end_inclusive=True, right_key="employeeObjectId",
                          hot_probe=t.expertise_profile_assignments)
-    df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = T.validity_join(df, co, c("co.employeeObjectId") == c("e.objectId"), at,
                          "co.beginDate", "co.endDate", end_inclusive=True, right_key="employeeObjectId",
                          hot_probe=t.contracts)
+    df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
+    df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
 
     sp = S.SP
@@ -149,8 +152,8 @@ def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -
     amount counts once per assignment of its cluster."""
     ex = FL.where(t.expenses.alias("exp"), FL.in_period("exp.expenseDate", begin, end))
     empl = t.employees.alias("empl")
-    et = t.expense_types.alias("et")
-    cca = t.costcenter_assignments.alias("cca")
+    et = small(t.expense_types).alias("et")
+    cca = small(t.costcenter_assignments).alias("cca")
     cc = small(t.costcenters).alias("cc")
     df = (ex.join(empl, c("empl.objectId") == c("exp.employeeObjectId"), "left")
           .join(et, c("et.objectId") == c("exp.expenseTypeObjectId"), "left")
@@ -205,7 +208,7 @@ def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
     sr = results.select(c("objectId").alias("_rid"), c("employeeObjectId").alias("_emp"),
                         c("createdAt").alias("_at"))
     ta = t.team_assignments.alias("ta")
-    cca = t.costcenter_assignments.alias("ccam")
+    cca = small(t.costcenter_assignments).alias("ccam")
     cc = small(t.costcenters).alias("ccm")
     df = T.validity_join(sr, ta, c("ta.employeeObjectId") == c("_emp"), c("_at"),
                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
@@ -214,7 +217,10 @@ def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
                             "ta.beginDate", "ta.endDate", "ccam.beginDate", "ccam.endDate")
     df = T.containment_join(df, cc, c("ccm.objectId") == c("ccam.costcenterObjectId"),
                             "ccam.beginDate", "ccam.endDate", "ccm.beginDate", "ccm.endDate")
-    return (df.groupBy("_rid", c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
+    # partitioned by result before counting per label, so the later join on
+    # the result id reuses the partitioning
+    return (df.select("_rid", c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
+            .repartition("_rid").groupBy("_rid", "_m_no", "_m_name")
             .agg(F.count(F.lit(1)).alias("_n_m")))
 
 
@@ -223,7 +229,7 @@ def _client_costcentres(t: Tables, results: DataFrame) -> DataFrame:
     sr = results.select(c("objectId").alias("_rid"), c("clientObjectId").alias("_cli"),
                         c("createdAt").alias("_at"))
     la = FL.where(t.location_assignments.alias("la"), FL.ci_eq("la.locationType", "main"))
-    cca = t.costcenter_assignments.alias("ccac")
+    cca = small(t.costcenter_assignments).alias("ccac")
     cc = small(t.costcenters).alias("ccc")
     df = T.validity_join(sr, la, c("la.clientObjectId") == c("_cli"), c("_at"),
                          "la.beginDate", "la.endDate", end_inclusive=False, right_key="clientObjectId",
@@ -232,7 +238,8 @@ def _client_costcentres(t: Tables, results: DataFrame) -> DataFrame:
                             "la.beginDate", "la.endDate", "ccac.beginDate", "ccac.endDate")
     df = T.containment_join(df, cc, c("ccc.objectId") == c("ccac.costcenterObjectId"),
                             "ccac.beginDate", "ccac.endDate", "ccc.beginDate", "ccc.endDate")
-    return (df.groupBy("_rid", c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
+    return (df.select("_rid", c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
+            .repartition("_rid").groupBy("_rid", "_c_no", "_c_name")
             .agg(F.count(F.lit(1)).alias("_n_c")))
 
 
@@ -246,7 +253,7 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     are multiplied.  ``dedupe=True`` gives the plain score sum instead.
     """
     sr = t.survey_results.alias("sr")
-    s = t.surveys.alias("s")
+    s = small(t.surveys).alias("s")
     base = sr.join(s, c("s.objectId") == c("sr.surveyObjectId"), "left")
     title = FL.like_any("s.title", vragenlijst, trim=True)
     base = FL.where(base, title)
@@ -260,11 +267,13 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
 
     cl = t.clients.alias("c")
     e = t.employees.alias("e")
-    df = (base.join(cl, c("c.objectId") == c("sr.clientObjectId"), "left")
-          .join(e, c("e.objectId") == c("sr.employeeObjectId"), "left")
-          .join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
+    # all per-result branches join on the result id first (one partitioning),
+    # then the client and employee lookups
+    df = (base.join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
           .join(emp_cc, c("sr.objectId") == emp_cc["_rid"], "left").drop("_rid")
-          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid"))
+          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid")
+          .join(cl, c("c.objectId") == c("sr.clientObjectId"), "left")
+          .join(e, c("e.objectId") == c("sr.employeeObjectId"), "left"))
 
     if dedupe:
         total = c("_score")
@@ -358,7 +367,7 @@ def r06_multi_client_events(t: Tables, as_of) -> DataFrame:
 
     ev = FL.where(t.agenda_events.alias("e"),
                   T.end_after("e.validTo", P.parse_moment(as_of), end_inclusive=True))
-    loc = t.locations.alias("l")
+    loc = small(t.locations).alias("l")
     df = (ev.join(counts, c("_evc") == c("e.objectId"), "inner")
           .join(location_invites, c("_ev") == c("e.objectId"), "left")
           .join(loc, c("l.objectId") == c("locationExternalObjectId"), "left"))
@@ -433,7 +442,7 @@ def r09_current_locations(t: Tables, as_of) -> DataFrame:
                   T.valid_at("ca.dateBegin", "ca.dateEnd", as_of, end_inclusive=False, unit="moment"))
     la = FL.where(t.location_assignments.alias("la"),
                   T.valid_at("la.beginDate", "la.endDate", as_of, end_inclusive=True, unit="date"))
-    loc = FL.where(t.locations.alias("l"),
+    loc = FL.where(small(t.locations).alias("l"),
                    T.valid_at("l.beginDate", "l.endDate", as_of, end_inclusive=True, unit="date"))
     df = (cl.join(ca, c("ca.clientObjectId") == c("c.objectId"))
           .join(la, c("la.clientObjectId") == c("c.objectId"))
@@ -547,7 +556,7 @@ def r12_open_location_after_care(t: Tables, eind, begin=None, locatie="Wachtlijs
                   FL.ci_eq("locationType", "MAIN"))
     la = W.latest_open_per_key(la, ["clientObjectId"], "endDate", [c("objectId").desc()]).alias("la")
     cl = t.clients.alias("c")
-    loc = t.locations.alias("l")
+    loc = small(t.locations).alias("l")
     df = (ca.join(la, c("la.clientObjectId") == c("ca.clientObjectId"))
           .join(cl, c("c.objectId") == c("ca.clientObjectId"), "left")
           .join(loc, c("l.objectId") == c("la.locationObjectId"), "left"))
@@ -572,10 +581,10 @@ def r12_open_location_after_care(t: Tables, eind, begin=None, locatie="Wachtlijs
 # ---------------------------------------------------------------------------
 def r13_tariff_export(t: Tables) -> DataFrame:
     dt_ = t.declaration_tariffs.alias("dt")
-    p = t.products.alias("p")
+    p = small(t.products).alias("p")
     ft = small(t.finance_types).alias("ft")
     eu = small(t.lst_export_units).alias("eu")
-    d = t.debtors.alias("d")
+    d = small(t.debtors).alias("d")
     ldt = small(t.lst_debtor_types).alias("ldt")
     u = small(t.uzovis).alias("u")
     df = (dt_.join(p, c("p.objectId") == c("dt.productObjectId"), "left")
@@ -652,7 +661,7 @@ def r15_presence_logs(t: Tables, start, end) -> DataFrame:
     pl = FL.where(t.presence_logs.alias("pl"),
                   T.overlaps("pl.startDate", "pl.endDate", start, end, end_inclusive=True))
     e = t.employees.alias("e")
-    tm = t.teams.alias("t")
+    tm = small(t.teams).alias("t")
     lpt = small(t.lst_pool_types).alias("lpt")
     a = small(t.activities).alias("a")
     df = (pl.join(e, c("e.objectId") == c("pl.employeeId"), "left")
