@@ -20,8 +20,26 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def lit_moment(v: dt.datetime) -> Column:
+    """A wall-clock moment as a ``timestamp_ntz`` literal.
+
+    ``F.lit(datetime)`` would make a time-zone-bound timestamp that depends on
+    the driver's and the session's zone; the data's moments are wall-clock
+    values, so the literal is one too.
+    """
+    return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def lit_value(v) -> Column:
+    if isinstance(v, dt.datetime):
+        return lit_moment(v)
+    return F.lit(v)
+
+
 def _value(v) -> Column:
-    if isinstance(v, (dt.date, dt.datetime)):
+    if isinstance(v, dt.datetime):
+        return lit_moment(v)
+    if isinstance(v, dt.date):
         return F.lit(v)
     if isinstance(v, str):
         return F.lit(P.parse_date(v))
@@ -57,7 +75,7 @@ def valid_at(begin, end, at, end_inclusive: bool = True, unit: str = "moment") -
     """Interval holds at ``at``; ``unit='date'`` compares on the date only."""
     if isinstance(at, (dt.date, dt.datetime, str)):
         at = P.parse_moment(at) if unit == "moment" else P.parse_date(at)
-        at = F.lit(at)
+        at = lit_value(at)
     elif unit == "date":
         at = at.cast("date")
     pred = end_after(end, at, end_inclusive)

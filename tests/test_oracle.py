@@ -38,3 +38,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["r06_multi_client_events", "valid_at_moment", "r15_presence_logs"])
+def test_moment_parameters_ignore_session_time_zone(spark, sf_dir, duck, name):
+    # wall-clock moments: the answer must not move with the session's zone
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        test_query_matches_oracle(spark, sf_dir, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
