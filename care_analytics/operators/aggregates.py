@@ -66,3 +66,19 @@ def sum_over_fanout(values: DataFrame, key: str, value: str, branches, name: str
         out = out.join(counts, key, "left")
         factor = factor * F.coalesce(F.col(n), F.lit(1))
     return out.select(key, (F.col(name) * factor).alias(name))
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent ``key`` value (a partial count per key).
+
+    Remembered on the DataFrame object, so measuring a stored table costs
+    one job per session.
+    """
+    memo = getattr(df, "_care_largest_group", {})
+    if key not in memo:
+        memo[key] = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        try:
+            df._care_largest_group = memo
+        except AttributeError:  # pragma: no cover
+            pass
+    return memo[key]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from care_analytics.functions import params as P
+from care_analytics.operators.aggregates import largest_group
 
 
 def col_(c) -> Column:
@@ -104,18 +105,6 @@ HOT_KEY_ROWS = 2_000_000
 TIME_BUCKETS = 16
 
 
-def _largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent ``key`` value (partial count; remembered)."""
-    memo = getattr(df, "_care_largest_group", {})
-    if key not in memo:
-        memo[key] = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        try:
-            df._care_largest_group = memo
-        except AttributeError:  # pragma: no cover
-            pass
-    return memo[key]
-
-
 def validity_join(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
                   end_inclusive: bool = True, how: str = "left", right_key: str | None = None,
                   hot_rows: int | None = HOT_KEY_ROWS, hot_probe: DataFrame | None = None) -> DataFrame:
@@ -130,7 +119,7 @@ def validity_join(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
     (an upper bound, and remembered per session).
     """
     probe = hot_probe if hot_probe is not None else right
-    if right_key is not None and hot_rows is not None and _largest_group(probe, right_key) > hot_rows:
+    if right_key is not None and hot_rows is not None and largest_group(probe, right_key) > hot_rows:
         return validity_join_bucketed(left, right, on, at, begin, end, end_inclusive, how)
     return left.join(right, on & valid_at(begin, end, col_(at), end_inclusive), how)
 

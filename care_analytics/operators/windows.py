@@ -33,19 +33,24 @@ HOT_GROUP_ROWS = 2_000_000
 
 
 def number_within(df: DataFrame, keys, order, name: str, hot_rows: int | None = HOT_GROUP_ROWS,
-                  sizes_from: DataFrame | None = None) -> DataFrame:
+                  sizes_from: tuple[DataFrame, str] | None = None) -> DataFrame:
     """Running number 1..n per key in ``order`` (apply filters first).
 
-    With ``hot_rows`` set, the largest group is measured first (a partial
-    count per key, on ``sizes_from`` when given: a cheaper DataFrame with the
-    same key columns whose per-key counts bound the group sizes); when some
-    key has more rows than ``hot_rows``, the numbering uses
-    :func:`number_within_spread` so the hot key is split over tasks.
-    ``hot_rows=None`` always uses the plain window.
+    With ``hot_rows`` set, the largest group is measured first: on
+    ``sizes_from = (stored table, key column)`` when given -- its per-key
+    counts bound the group sizes and the measurement is remembered per
+    session -- else on ``df`` itself (single key).  When some key has more
+    rows than ``hot_rows``, the numbering uses :func:`number_within_spread`
+    so the hot key is split over tasks.  ``hot_rows=None`` always uses the
+    plain window.
     """
+    from care_analytics.operators.aggregates import largest_group
+
     if hot_rows is not None and all(isinstance(k, str) for k in keys):
-        probe = sizes_from if sizes_from is not None else df
-        biggest = probe.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if sizes_from is not None:
+            biggest = largest_group(*sizes_from)
+        else:
+            biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         if biggest > hot_rows:
             return number_within_spread(df, list(keys), order, name)
     w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))

@@ -339,7 +339,7 @@ def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
     # a survey result holding a large share of all answers is numbered by
     # the spread plan (see number_within)
     df = W.number_within(df, ["_rid"], [c("_qid").asc_nulls_first(), c("_aid").asc()], "_seq",
-                         sizes_from=t.survey_answers.select(c("surveyResultObjectId").alias("_rid")))
+                         sizes_from=(t.survey_answers, "surveyResultObjectId"))
     return df.select(
         c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
         c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),
