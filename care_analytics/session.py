@@ -13,11 +13,9 @@ from pyspark.sql import SparkSession
 
 # Settings the library relies on.  Applied only when the key is unset.
 DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -43,14 +41,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set library defaults that the running session leaves unset."""
     conf = spark.conf
     for key, value in DEFAULTS.items():
-        if key == "spark.ui.enabled":
-            continue  # static; only settable at build time
         if conf.get(key, None) is None:
             conf.set(key, value)
-    # Reports compare dates with timestamps; pin the zone so the answer does
-    # not depend on the machine.
-    conf.set("spark.sql.session.timeZone", conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
