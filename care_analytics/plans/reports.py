@@ -180,11 +180,16 @@ def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -
 # ---------------------------------------------------------------------------
 # R04 one row per filled-in survey with people, cost centres, score, status
 # ---------------------------------------------------------------------------
-def _answer_summary(t: Tables) -> DataFrame:
+def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFrame:
     """Per survey result, in one pass over the answers: the score sum and the
     number of date answers and time answers (the two 1-n answer joins the
-    source makes before summing)."""
-    sa = t.survey_answers.alias("sa")
+    source makes before summing).  ``restrict_to`` (result ids) keeps only
+    the answers of selected surveys before aggregating."""
+    sa = t.survey_answers
+    if restrict_to is not None:
+        sa = J.with_related(sa, restrict_to.select(c("objectId").alias("_sel")),
+                            c("surveyResultObjectId") == c("_sel"))
+    sa = sa.alias("sa")
     sad = small(t.survey_answer_definitions).alias("sad")
     is_date = patterns.like(c("text"), "%Datum%")
     # the source's LIKE on this label has no wildcard: an equality
@@ -261,7 +266,7 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     results = (base if title is not None else t.survey_results.alias("sr")).select(
         "sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "sr.createdAt")
 
-    answers = _answer_summary(t)
+    answers = _answer_summary(t, restrict_to=results if title is not None else None)
     emp_cc = _employee_costcentres(t, results)
     cli_cc = _client_costcentres(t, results)
 
