@@ -49,3 +49,25 @@ def test_moment_parameters_ignore_session_time_zone(spark, sf_dir, duck, name):
         test_query_matches_oracle(spark, sf_dir, duck, name)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_reports_read_catalog_tables(spark, sf_dir):
+    # the same report over tables registered in the session catalog
+    from care_analytics.plans import reports as R
+    from care_analytics.plans.suite import AS_OF
+    from care_analytics.sources import fixtures
+    from care_analytics.sources.catalog import Tables
+
+    driver = Tables.from_driver(spark, sf_dir)
+    needed = ["clients", "care_allocations", "location_assignments", "locations"]
+    for name in needed:
+        driver[name].createOrReplaceTempView(name)
+    try:
+        via_catalog = R.r09_current_locations(Tables.from_catalog(spark), AS_OF)
+        via_driver = R.r09_current_locations(driver, AS_OF)
+        assert via_catalog.count() == via_driver.count() > 0
+        assert via_catalog.exceptAll(via_driver).count() == 0
+    finally:
+        for name in needed:
+            spark.catalog.dropTempView(name)
+    assert set(needed) <= set(fixtures.REFERENCE_TABLES)
