@@ -71,7 +71,9 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
                .select(c("r.clientObjectId").alias("_cid")))
 
     out = J.without_related(table_alle, related, c("clientId") == c("_cid"))
-    return out.distinct().orderBy("clientId")
+    # extra sort keys after the source's only refine its order; they let the
+    # range partitioning of the sort split a value shared by many rows
+    return out.distinct().orderBy("clientId", "costcenterNo", "costcentreName")
 
 
 # ---------------------------------------------------------------------------
@@ -387,7 +389,7 @@ def r06_multi_client_events(t: Tables, as_of) -> DataFrame:
         c("e.validTo").alias("afspraak_einde"),
         c("e.clientPresent").alias("client_aanwezig"),
         c("aantal_clienten").cast("bigint").alias("aantal_clienten"),
-    ).orderBy("afspraak_start", "eventObjectId"))
+    ).orderBy("afspraak_start", "eventObjectId", "locationObjectId"))
 
 
 # ---------------------------------------------------------------------------
@@ -426,14 +428,15 @@ def r08_recent_guardians(t: Tables, as_of, relation_type="Bewindvoerder") -> Dat
     lst = FL.where(small(t.lst_wlz_cod472s).alias("lst"), FL.ci_eq("lst.description", relation_type))
     df = (r.join(lst, c("lst.code") == c("r.type"))
           .join(cl, c("c.objectId") == c("r.clientObjectId"), "left"))
-    return df.select(
+    # sorted on the source columns (the relation id splits a busy day)
+    return df.orderBy(c("r.updatedAt"), c("r.objectId")).select(
         c("r.clientObjectId").alias("clientObjectId"),
         c("c.identificationNo").alias("identificationNo"),
         c("lst.description").alias("relationType"),
         *[c(f"r.{n}").alias(n) for n in ("firstName", "birthName", "initials", "birthNamePrefix",
                                           "name", "prefix", "organization", "comments",
                                           "createdAt", "updatedAt")],
-    ).orderBy("updatedAt")
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -469,7 +472,8 @@ def r09_current_locations(t: Tables, as_of) -> DataFrame:
         c("la.endDate").alias("locatie_eind"),
         c("ca.dateBegin").alias("zorg_begin"),
         c("ca.dateEnd").alias("zorg_eind"),
-    ).orderBy("locatie_naam", "achternaam", "voornaam")
+    ).orderBy("locatie_naam", "achternaam", "voornaam", "client_id", "locatie_id",
+              "zorg_begin", "locatie_begin")
 
 
 # ---------------------------------------------------------------------------
@@ -522,7 +526,7 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
         c("producten"),
         c("aantal_actieve_jeugdtrajecten").cast("bigint").alias("aantal_actieve_jeugdtrajecten"),
         c("actieve_jeugdtrajecten"),
-    ).distinct().orderBy("client")
+    ).distinct().orderBy("client", "clientObjectId", "startdatum_in_zorg", "einddatum_in_zorg")
 
 
 # ---------------------------------------------------------------------------
@@ -567,7 +571,7 @@ def r12_open_location_after_care(t: Tables, eind, begin=None, locatie="Wachtlijs
           .join(loc, c("l.objectId") == c("la.locationObjectId"), "left"))
     df = FL.where(df, c("ca.dateEnd").isNotNull(), c("la.endDate").isNull(),
                   FL.contains_none("l.name", locatie))
-    return df.orderBy(c("ca.dateEnd").asc()).select(
+    return df.orderBy(c("ca.dateEnd").asc(), c("ca.clientObjectId")).select(
         c("ca.clientObjectId").alias("clientId"),
         c("c.identificationNo").alias("client_nummer"),
         c("c.name").alias("name"),
@@ -698,4 +702,4 @@ def r15_presence_logs(t: Tables, start, end) -> DataFrame:
 def starter_query(df: DataFrame, first: str, second: str) -> DataFrame:
     return (df.filter(c(first).isNotNull())
             .select(c(first).alias("kolom_1"), c(second).alias("kolom_2"))
-            .orderBy("kolom_1"))
+            .orderBy("kolom_1", "kolom_2"))

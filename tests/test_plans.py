@@ -55,3 +55,18 @@ def test_joined_list_aggregates_before_collecting(tables):
     # the list is built from (key, item, n) rows: a partial count comes first
     text = plan_text(REPORTS["r10_youth_act_clients"][0](tables))
     assert "partial_count" in text
+
+
+@pytest.mark.parametrize("name,cols", [
+    ("r01_clients_without_contact", ["clientId"]),
+    ("r06_multi_client_events", ["afspraak_start", "eventObjectId"]),
+    ("r08_recent_guardians", ["updatedAt"]),
+    ("r09_current_locations", ["locatie_naam", "achternaam", "voornaam"]),
+    ("r10_youth_act_clients", ["client"]),
+    ("r12_open_location_after_care", ["legitimatie_eind"]),
+])
+def test_output_follows_the_source_order(tables, name, cols):
+    # extra tie-breakers only refine the order the source asks for
+    rows = [tuple(r[c] for c in cols) for r in REPORTS[name][0](tables).collect()]
+    key = lambda r: tuple((v is not None, v) for v in r)  # noqa: E731  NULL first, as the source
+    assert rows == sorted(rows, key=key)
