@@ -38,26 +38,26 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
     cost centre, without a relation of the given types.
 
     The source joins every allocation to every location assignment of the
-    client and removes the copies with a final GROUP BY.  Only the client id
-    of an allocation and the location of an assignment are used, so both are
-    reduced to distinct keys first: same result, but a client with many
-    allocations and assignments never forms their product.
+    client and removes the copies with a final GROUP BY.  An allocation only
+    contributes "the client has one", so it is a semi join here: same
+    result, but a client with many allocations and assignments never forms
+    their product.
     """
     ca = FL.where(t.care_allocations, T.open_after("dateEnd", enddate)).select(
-        c("clientObjectId").alias("_client")).distinct().alias("ca")
+        c("clientObjectId").alias("_client"))
     la = FL.where(t.location_assignments, FL.ci_eq("locationType", "MAIN"), c("endDate").isNull()).select(
-        c("clientObjectId").alias("_la_client"), c("locationObjectId").alias("_loc")).distinct().alias("la")
+        c("clientObjectId").alias("_la_client"), c("locationObjectId").alias("_loc"))
+    la = J.with_related(la, ca, c("_client") == c("_la_client"))
     cl = t.clients.alias("c")
     cca = small(t.costcenter_assignments).alias("cca")
     cc = small(t.costcenters).alias("cc")
 
-    base = (ca.join(cl, c("c.objectId") == c("_client"), "left")
-            .join(la, c("_la_client") == c("_client"))
+    base = (la.join(cl, c("c.objectId") == c("_la_client"), "left")
             .join(cca, c("cca.unitObjectId") == c("_loc"), "left")
             .join(cc, c("cc.objectId") == c("cca.costcenterObjectId"), "left"))
     base = FL.where(base, FL.flex_number("cc.identificationNo", costcentre))
     table_alle = base.select(
-        c("_client").alias("clientId"),
+        c("_la_client").alias("clientId"),
         c("c.identificationNo").alias("clientNo"),
         c("c.name").alias("clientname"),
         c("cc.identificationNo").alias("costcenterNo"),
