@@ -44,12 +44,13 @@ def split_tokens(spec: str | None, sep: str = ",", trim: bool = False,
 _INT = re.compile(r"^\s*[+-]?\d+\s*$")
 
 
-def try_int(text: str | None) -> int | None:
-    """Integer value of ``text`` or ``None`` (an empty string is ``None``)."""
+def try_int(text: str | None, bits: int = 32) -> int | None:
+    """Integer value of ``text`` that fits ``bits``, or ``None`` (an empty
+    string is ``None``)."""
     if text is None or not _INT.match(text):
         return None
     value = int(text)
-    if not -(2 ** 31) <= value < 2 ** 31:
+    if not -(2 ** (bits - 1)) <= value < 2 ** (bits - 1):
         return None
     return value
 

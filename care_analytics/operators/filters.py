@@ -92,7 +92,8 @@ def in_tokens(col, spec: str | None, numeric: bool = True, strip_spaces: bool =
         return None
     tokens = P.split_tokens(spec, strip_spaces=strip_spaces, drop_empty=drop_empty)
     if numeric:
-        values = [v for v in (P.try_int(t) for t in tokens) if v is not None]
+        # ids are 64-bit; a token that is no such number matches nothing
+        values = [v for v in (P.try_int(t, bits=64) for t in tokens) if v is not None]
     else:
         values = tokens
     if not values:

@@ -69,8 +69,9 @@ def test_flexible_number_filter(spark):  # F8-F10, T11
     assert rows(df.filter(FL.flex_number("n", "1500,4000")), "n") == [("1500",), ("4000",)]
     assert FL.flex_number("n", "") is None and FL.flex_number("n", None) is None
     assert df.filter(FL.flex_number("n", "a-b")).count() == 0               # unparsable bound
-    ids = spark.createDataFrame([(1,), (25,), (3,)], "id long")
+    ids = spark.createDataFrame([(1,), (25,), (3,), (5000000000,)], "id long")
     assert rows(ids.filter(FL.in_tokens("id", " 1 , ,25,x")), "id") == [(1,), (25,)]
+    assert rows(ids.filter(FL.in_tokens("id", "5000000000")), "id") == [(5000000000,)]
     assert ids.filter(FL.in_tokens("id", "x")).count() == 0
 
 

@@ -34,6 +34,7 @@ def test_try_int():
     assert P.try_int("") is None        # '' is no number here (the source gives 0)
     assert P.try_int("x") is None
     assert P.try_int("99999999999") is None
+    assert P.try_int("99999999999", bits=64) == 99999999999
 
 
 def test_dates():
