@@ -27,14 +27,15 @@ def col_(c) -> Column:
 
 
 def ci_eq(col, value: str, case_sensitive: bool = False) -> Column:
-    """Text equality; case-insensitive like the source collation.
+    """Text equality as the source dialect compares text: case-insensitive
+    (its collation) and blind to trailing spaces.
 
     ``case_sensitive=True`` keeps a plain ``=`` that Parquet can push down.
     """
     c = col_(col)
     if case_sensitive:
         return c == F.lit(value)
-    return F.lower(c) == F.lit(value.lower())
+    return F.lower(F.rtrim(c)) == F.lit(value.rstrip(" ").lower())
 
 
 def not_flag(col, flag: int = 1) -> Column:
@@ -120,4 +121,6 @@ def flex_number(col, spec: str | None) -> Column | None:
         return None
     if P.is_range(spec):
         return in_text_range(col, spec)
-    return col_(col).isin(*dict.fromkeys(P.split_tokens(spec)))
+    # text equality ignores trailing spaces in the source dialect
+    tokens = [t.rstrip(" ") for t in P.split_tokens(spec)]
+    return F.rtrim(col_(col)).isin(*dict.fromkeys(tokens))
