@@ -3,6 +3,8 @@
 ``latest_*`` keep row number 1 only; Catalyst plans that as a
 ``WindowGroupLimit`` on both sides of the shuffle, so each map task forwards
 at most one row per key and a hot key cannot overload one task.
+``number_within`` gives full running numbers; when one key holds more rows
+than a task should sort alone it switches to ``number_within_spread``.
 """
 
 from __future__ import annotations
