@@ -97,13 +97,15 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     ct = small(t.contract_types).alias("ct")
 
     at = c("msa.date")
+    # the shift dates lie in the report period: the span of a bucketed join
+    period = (start, end)
     df = (msa.join(me, c("me.objectId") == c("msa.employee_id"), "inner")
           .join(mu, c("mu.objectId") == c("msa.unit_id"), "left")
           .join(mup, c("mup.objectId") == c("mu.parent_unit_id"), "left"))
     # shift version valid on the day; valid_to is the first day of the next version
     df = T.validity_join(df, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), at,
                          "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
-                         hot_probe=t.moves_shifts)
+                         hot_probe=t.moves_shifts, span=period)
     df = df.join(mep, c("mep.objectId") == c("ms.expertise_profile_id"), "left")
     # The three validity joins all key on the employee: done back to back so
     # the rows are shuffled by employee once; each lookup below only reads
@@ -111,13 +113,13 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     df = df.join(e, c("e.objectId") == c("me.external_id"), "left")
     df = T.validity_join(df, ta, c("ta.employeeObjectId") == c("e.objectId"), at,
                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.team_assignments)
+                         hot_probe=t.team_assignments, span=period)
     df = T.validity_join(df, epa, c("epa.employeeObjectId") == c("e.objectId"), at,
                          "epa.startTime", "epa.endTime", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.expertise_profile_assignments)
+                         hot_probe=t.expertise_profile_assignments, span=period)
     df = T.validity_join(df, co, c("co.employeeObjectId") == c("e.objectId"), at,
                          "co.beginDate", "co.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.contracts)
+                         hot_probe=t.contracts, span=period)
     df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
     df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
