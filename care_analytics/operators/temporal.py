@@ -118,8 +118,9 @@ def validity_join(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
     so that a hot key is compared bucket by bucket in separate tasks.
     ``hot_probe`` is the table ``right`` was filtered from, measured instead
     (an upper bound, and remembered per session).  ``span`` = (first, last)
-    date of the left rows when the caller knows it (e.g. the report period),
-    which saves measuring it.
+    date of the left rows when the caller knows it (e.g. the report period
+    the left rows were filtered to; it must cover every left date), which
+    saves measuring it.
     """
     probe = hot_probe if hot_probe is not None else right
     if right_key is not None and hot_rows is not None and largest_group(probe, right_key) > hot_rows:
