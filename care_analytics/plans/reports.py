@@ -79,7 +79,9 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
 # ---------------------------------------------------------------------------
 # R02 rostered shifts with team, expertise, contract and net hours
 # ---------------------------------------------------------------------------
-def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
+def r02_rostered_shifts(t: Tables, start, end, hot_rows: int | None = T.HOT_KEY_ROWS) -> DataFrame:
+    """``hot_rows``: right-side key size above which a validity join is split
+    by time bucket."""
     msa = FL.where(t.moves_shift_assignments.alias("msa"),
                    c("msa.discarded_at").isNull(),
                    FL.in_period("msa.date", start, end))
@@ -105,7 +107,7 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     # shift version valid on the day; valid_to is the first day of the next version
     df = T.validity_join(df, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), at,
                          "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
-                         hot_probe=t.moves_shifts, span=period)
+                         hot_probe=t.moves_shifts, span=period, hot_rows=hot_rows)
     df = df.join(mep, c("mep.objectId") == c("ms.expertise_profile_id"), "left")
     # The three validity joins all key on the employee: done back to back so
     # the rows are shuffled by employee once; each lookup below only reads
@@ -113,13 +115,13 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     df = df.join(e, c("e.objectId") == c("me.external_id"), "left")
     df = T.validity_join(df, ta, c("ta.employeeObjectId") == c("e.objectId"), at,
                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.team_assignments, span=period)
+                         hot_probe=t.team_assignments, span=period, hot_rows=hot_rows)
     df = T.validity_join(df, epa, c("epa.employeeObjectId") == c("e.objectId"), at,
                          "epa.startTime", "epa.endTime", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.expertise_profile_assignments, span=period)
+                         hot_probe=t.expertise_profile_assignments, span=period, hot_rows=hot_rows)
     df = T.validity_join(df, co, c("co.employeeObjectId") == c("e.objectId"), at,
                          "co.beginDate", "co.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.contracts, span=period)
+                         hot_probe=t.contracts, span=period, hot_rows=hot_rows)
     df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
     df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
@@ -321,7 +323,7 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
 # ---------------------------------------------------------------------------
 # R05 questions and answers of filled-in surveys, numbered per survey
 # ---------------------------------------------------------------------------
-def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
+def r05_survey_answers(t: Tables, vragenlijst="", hot_rows: int | None = W.HOT_GROUP_ROWS) -> DataFrame:
     """The id filter applies to the filled-in survey (result) id; '' and NULL
     mean no filter; spaces are removed and empty tokens dropped.  Numbering
     happens after the filters, as the SQL evaluation order implies."""
@@ -348,7 +350,7 @@ def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
     # a survey result holding a large share of all answers is numbered by
     # the spread plan (see number_within)
     df = W.number_within(df, ["_rid"], [c("_qid").asc_nulls_first(), c("_aid").asc()], "_seq",
-                         sizes_from=(t.survey_answers, "surveyResultObjectId"))
+                         hot_rows=hot_rows, sizes_from=(t.survey_answers, "surveyResultObjectId"))
     return df.select(
         c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
         c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),

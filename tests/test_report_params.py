@@ -67,6 +67,9 @@ CASES = {
     "r12_two_names": (
         lambda t: R.r12_open_location_after_care(t, eind="1998-09-01", locatie="Wachtlijst, Supplier#000000001"),
         _swap(O.R12, "(VALUES ('Wachtlijst'))", "(VALUES ('Wachtlijst'), (' Supplier#000000001'))")),
+    # skew paths forced on: spread numbering and time-bucketed validity joins
+    "r05_spread_numbering": (lambda t: R.r05_survey_answers(t, vragenlijst="", hot_rows=0), O.R05),
+    "r02_bucketed_validity": (lambda t: R.r02_rostered_shifts(t, "2024-01-01", "2024-01-31", hot_rows=0), O.R02),
     "r11_other_period": (
         lambda t: R.r11_trajectories_by_referrer(t, dt.date(1996, 1, 1), dt.date(1996, 12, 31), "geen VERWIJZER"),
         _swap(_swap(O.R11, "DATE '1998-09-01'", "DATE '1996-12-31'"), "DATE '1998-03-01'", "DATE '1996-01-01'")),
