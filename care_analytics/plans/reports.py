@@ -330,7 +330,7 @@ def r05_survey_answers(t: Tables, vragenlijst="", hot_rows: int | None = W.HOT_G
     sr = t.survey_results.select(c("objectId").alias("_rid"))
     sa = t.survey_answers.alias("sa")
     sad = small(t.survey_answer_definitions).alias("sad")
-    sq = t.survey_questions.alias("sq")
+    sq = small(t.survey_questions).alias("sq")
     ids = FL.in_tokens("sa.surveyResultObjectId", vragenlijst, numeric=True)
     sa = FL.where(sa, ids)
     df = (J.with_related(sa, sr, c("sa.surveyResultObjectId") == c("_rid"))
