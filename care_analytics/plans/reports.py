@@ -366,8 +366,8 @@ def r06_multi_client_events(t: Tables, as_of) -> DataFrame:
     """Follows the source code: events without a location stay (LEFT JOIN),
     and an event with several locations gives several rows."""
     inv = t.agenda_invitations.alias("i")
-    ol = t.onsagenda_locations.alias("ol")
-    oc = t.onsagenda_clients.alias("oc")
+    ol = small(t.onsagenda_locations).alias("ol")
+    oc = small(t.onsagenda_clients).alias("oc")
     location_invites = (inv.join(ol, c("ol.objectId") == c("i.inviteeObjectId"))
                         .select(c("i.eventObjectId").alias("_ev"),
                                 c("ol.externalObjectId").alias("locationExternalObjectId"))
