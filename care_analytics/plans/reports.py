@@ -228,10 +228,17 @@ def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
                             "ta.beginDate", "ta.endDate", "ccam.beginDate", "ccam.endDate")
     df = T.containment_join(df, cc, c("ccm.objectId") == c("ccam.costcenterObjectId"),
                             "ccam.beginDate", "ccam.endDate", "ccm.beginDate", "ccm.endDate")
+    # the rows are partitioned by employee here: the employee lookup costs no
+    # shuffle of this side, and its columns ride along to the result
+    e = t.employees.alias("e")
+    df = df.join(e, c("e.objectId") == c("_emp"), "left")
     # partitioned by result before counting per label, so the later join on
     # the result id reuses the partitioning
-    return (df.select("_rid", c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
-            .repartition("_rid").groupBy("_rid", "_m_no", "_m_name")
+    keys = ["_rid", "_e_id", "_e_no", "_e_init", "_e_name", "_m_no", "_m_name"]
+    return (df.select("_rid", c("e.objectId").alias("_e_id"), c("e.identificationNo").alias("_e_no"),
+                      c("e.initials").alias("_e_init"), c("e.name").alias("_e_name"),
+                      c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
+            .repartition("_rid").groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n_m")))
 
 
@@ -249,8 +256,14 @@ def _client_costcentres(t: Tables, results: DataFrame) -> DataFrame:
                             "la.beginDate", "la.endDate", "ccac.beginDate", "ccac.endDate")
     df = T.containment_join(df, cc, c("ccc.objectId") == c("ccac.costcenterObjectId"),
                             "ccac.beginDate", "ccac.endDate", "ccc.beginDate", "ccc.endDate")
-    return (df.select("_rid", c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
-            .repartition("_rid").groupBy("_rid", "_c_no", "_c_name")
+    # partitioned by client here: the client lookup rides along (see above)
+    cl = t.clients.alias("c")
+    df = df.join(cl, c("c.objectId") == c("_cli"), "left")
+    keys = ["_rid", "_cl_id", "_cl_no", "_cl_init", "_cl_name", "_c_no", "_c_name"]
+    return (df.select("_rid", c("c.objectId").alias("_cl_id"), c("c.identificationNo").alias("_cl_no"),
+                      c("c.initials").alias("_cl_init"), c("c.name").alias("_cl_name"),
+                      c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
+            .repartition("_rid").groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n_c")))
 
 
@@ -276,15 +289,11 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     emp_cc = _employee_costcentres(t, results)
     cli_cc = _client_costcentres(t, results)
 
-    cl = t.clients.alias("c")
-    e = t.employees.alias("e")
-    # all per-result branches join on the result id first (one partitioning),
-    # then the client and employee lookups
+    # every per-result branch joins on the result id (one partitioning); the
+    # client and employee columns come with the cost-centre branches
     df = (base.join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
           .join(emp_cc, c("sr.objectId") == emp_cc["_rid"], "left").drop("_rid")
-          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid")
-          .join(cl, c("c.objectId") == c("sr.clientObjectId"), "left")
-          .join(e, c("e.objectId") == c("sr.employeeObjectId"), "left"))
+          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid"))
 
     if dedupe:
         total = c("_score")
@@ -297,12 +306,12 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     filled = F.coalesce(c("sr.completedAt"), c("sr.createdAt"))
     return df.select(
         c("sr.objectId").alias("Ingevulde_Vragenlijst"),
-        c("c.objectId").alias("ClientID"),
-        c("c.identificationNo").alias("Clientnummer"),
-        S.concat_ws_labels(" ", "c.initials", "c.name").alias("Clientnaam"),
-        c("e.objectId").alias("MedewerkerID"),
-        c("e.identificationNo").alias("Medewerkernummer"),
-        S.concat_ws_labels(" ", "e.initials", "e.name").alias("Medewerkernaam"),
+        c("_cl_id").alias("ClientID"),
+        c("_cl_no").alias("Clientnummer"),
+        S.concat_ws_labels(" ", "_cl_init", "_cl_name").alias("Clientnaam"),
+        c("_e_id").alias("MedewerkerID"),
+        c("_e_no").alias("Medewerkernummer"),
+        S.concat_ws_labels(" ", "_e_init", "_e_name").alias("Medewerkernaam"),
         S.concat_ws_labels(" ", "_m_no", "_m_name").alias("Kostenplaats_Mdw"),
         S.concat_ws_labels(" ", "_c_no", "_c_name").alias("Kostenplaats_Client"),
         S.compact_date(filled).alias("Ingevuld_datum"),
