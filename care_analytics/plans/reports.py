@@ -646,15 +646,18 @@ def r14_confidential_documents(t: Tables, as_of) -> DataFrame:
     tg = small(t.tags).alias("tg")
     st = small(t.lst_document_statuses).alias("st")
     cl = t.clients.alias("c")
+    # the status and client lookups depend on the document only, so they
+    # come before the 1-n bridges: the rows moved for the client lookup are
+    # the documents, not their fanned-out combinations
     df = J.fan_out(d, [
+        (st, c("st.code") == c("d.status")),
+        (cl, c("c.objectId") == c("d.clientObjectId")),
         (deg, c("deg.documentObjectId") == c("d.objectId")),
         (eg, c("eg.objectId") == c("deg.expertiseGroupObjectId")),
         (dr, c("dr.documentObjectId") == c("d.objectId")),
         (ep, c("ep.objectId") == c("dr.educationObjectId")),
         (dtg, c("dtg.documentObjectId") == c("d.objectId")),
         (tg, c("tg.objectId") == c("dtg.tagObjectId")),
-        (st, c("st.code") == c("d.status")),
-        (cl, c("c.objectId") == c("d.clientObjectId")),
     ])
     return df.select(
         c("d.objectId").alias("objectId"),
