@@ -156,7 +156,15 @@ def r02_rostered_shifts(t: Tables, start, end, hot_rows: int | None = T.HOT_KEY_
 def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -> DataFrame:
     """Note: the cost-centre assignment has no date test in the source, so an
     amount counts once per assignment of its cluster."""
-    ex = FL.where(t.expenses.alias("exp"), FL.in_period("exp.expenseDate", begin, end))
+    # Pre-aggregate: the report keys are functions of (employee, type,
+    # cluster) and the cost-centre rows, so expenses are summed per (employee,
+    # type, cluster) before any join (exact decimals; a hot employee is
+    # spread by type and cluster).  The joins then move partial sums, and the
+    # cost-centre fan-out multiplies each partial sum as it did each row.
+    ex = (FL.where(t.expenses, FL.in_period("expenseDate", begin, end))
+          .groupBy("employeeObjectId", "expenseTypeObjectId", "clusterObjectId")
+          .agg(F.sum(c("amount").cast("decimal(18,2)")).alias("amount"))
+          .alias("exp"))
     empl = t.employees.alias("empl")
     et = small(t.expense_types).alias("et")
     cca = small(t.costcenter_assignments).alias("cca")
@@ -179,7 +187,7 @@ def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -
     )
     keys = ["employeeId", "employeeNo", "contractNo", "employeeName", "costscenterNo",
             "costcenter", "expenseType", "expense"]
-    out = A.group_sum(keyed, keys, "amount", "amount", decimal=(18, 2))
+    out = A.group_sum(keyed, keys, "amount", "amount")
     return out.withColumn("amount", c("amount").cast("decimal(38,2)"))
 
 
