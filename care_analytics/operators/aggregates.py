@@ -44,8 +44,9 @@ def joined_list(df: DataFrame, keys: list[str], item: str, sep: str,
         F.sum("_n").alias(count_name),
         F.sort_array(F.collect_list(entry)).alias("_items"),
     )
-    repeated = F.flatten(F.transform("_items", lambda e: F.array_repeat(e["v"], e["n"].cast("int"))))
-    joined = F.when(F.size("_items") > 0, F.array_join(repeated, sep))
+    sep_sql = "'" + sep.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    joined = F.expr("CASE WHEN size(_items) > 0 THEN array_join(flatten(transform(_items, "
+                    f"e -> array_repeat(e.v, CAST(e.n AS INT)))), {sep_sql}) END")
     return grouped.select(*keys, joined.alias(list_name), F.col(count_name))
 
 
