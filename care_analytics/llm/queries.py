@@ -19,6 +19,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_digest(prepare(spark), tables(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.suffix_dedup import remove_repeats
+    docs = tables(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, 400).select("doc_id", "removed.n_bytes", "removed.n_removed", "removed.n_spans", "removed.kept_sha256")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.packing import pack_digest
     return pack_digest(tables(prepare(spark), sf_dir, "documents"), tokenizer_path())
@@ -26,6 +32,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
