@@ -25,6 +25,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, 400).select("doc_id", "removed.n_bytes", "removed.n_removed", "removed.n_spans", "removed.kept_sha256")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.minhash import near_duplicates
+    return near_duplicates(tables(prepare(spark), sf_dir, "documents"), words=2)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.packing import pack_digest
     return pack_digest(tables(prepare(spark), sf_dir, "documents"), tokenizer_path())
@@ -33,6 +38,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_minhash": op5_minhash,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from care_analytics.llm.common import BLOCK_BYTES, from_payload, new_folder, pack_blocks, prepare, shuffle_tasks, text_bytes, written
+from care_analytics.llm.prints import prints
 
-CHUNK = 1 << 17
 BUCKET_KEYS = 1 << 21
 KEYS = "bucket int, block_id long, flags binary, high binary, low binary"
 BITS = "block_id long, bucket int, bits binary, lead binary"
@@ -70,50 +70,6 @@ def difference_cover(longest: int) -> tuple[int, np.ndarray]:
     return v, cover
 
 
-class Fingerprints:
-    """Polynomial fingerprints modulo 2^64 of byte windows, over random odd codes of the byte values."""
-
-    def __init__(self, seed: int):
-        rng = np.random.default_rng(seed)
-        self.codes = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1 << 60, 1 << 62)) * 8 + 5
-        self.size = 0
-
-    def _powers(self, n: int) -> None:
-        if n > self.size:
-            self.size = n
-            self.power, self.inverse = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)]), dtype=np.uint64)
-                                        for b in (self.base, pow(self.base, -1, 1 << 64)))
-
-    def windows(self, data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-        """Fingerprints of ``data[s:s + width]`` for the ascending ``starts``."""
-        out = np.empty(len(starts), np.uint64)
-        self._powers(CHUNK + width)
-        a = 0
-        while a < len(starts):
-            at = int(starts[a])
-            b = int(np.searchsorted(starts, at + CHUNK))
-            part = data[at:int(starts[b - 1]) + width]
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(self.codes[part] * self.power[:len(part)], out=sums[1:])
-            local = starts[a:b] - at
-            out[a:b] = (sums[local + width] - sums[local]) * self.inverse[local]
-            a = b
-        out ^= out >> np.uint64(31)
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-        return out
-
-
-_PRINTS: dict[int, Fingerprints] = {}
-
-
-def prints(seed: int) -> Fingerprints:
-    if seed not in _PRINTS:
-        _PRINTS[seed] = Fingerprints(seed)
-    return _PRINTS[seed]
-
-
 class BlockKeys:
     """The different keys of a block's windows in ascending order, and where each window's key is."""
 
