@@ -25,6 +25,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, 400).select("doc_id", "removed.n_bytes", "removed.n_removed", "removed.n_spans", "removed.kept_sha256")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.bpe import round_trip
+    return round_trip(tables(prepare(spark), sf_dir, "documents"), tokenizer_path())
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.minhash import near_duplicates
     return near_duplicates(tables(prepare(spark), sf_dir, "documents"), words=2)
@@ -38,6 +43,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_bpe": op3_bpe,
     "op5_minhash": op5_minhash,
     "op9_packing": op9_packing,
 }
