@@ -36,29 +36,18 @@ from pyspark.sql import functions as F
 
 from care_analytics.llm.common import BLOCK_BYTES, block_cuts, dropped, prepare, text_bytes, written
 from care_analytics.llm.components import components
-from care_analytics.llm.prints import mixed, prints
+from care_analytics.llm.prints import mixed
+from care_analytics.llm.words import numbers, spans
 
 SYMBOLS, CHUNKS, ERRORS = 32, 8, 1
 SETS = "doc_id long, n_shingles long, class binary, signature binary, shingles binary"
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 def shingle_block(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle numbers of each text, ascending, and where each text's begin (one more at the end)."""
     n = len(offsets) - 1
-    ink = np.zeros(len(data) + 2, np.int8)
-    ink[1:-1] = ~_BLANK[data]
-    steps = np.diff(ink)
-    # a text's end also ends a word
-    inner = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
-    joined = np.unique(inner[(ink[inner] == 1) & (ink[inner + 1] == 1)])
-    starts = np.union1d(np.flatnonzero(steps == 1), joined)
-    ends = np.union1d(np.flatnonzero(steps == -1), joined)
-    word = prints(3).spans(_LOWER[data], starts, ends)
-    first = np.searchsorted(starts, offsets)  # first word of each text
+    starts, ends, first = spans(data, offsets)  # first: each text's first word
+    word = numbers(data, starts, ends)
     count = np.diff(first)
     text = np.repeat(np.arange(n), count)
     out, owner = [], []

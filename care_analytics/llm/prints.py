@@ -13,13 +13,13 @@ class Fingerprints:
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.codes = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1 << 60, 1 << 62)) * 8 + 5
+        self.base = int(rng.integers(1 << 58, 1 << 60)) * 8 + 5
         self.size = 0
 
     def _powers(self, n: int) -> None:
         if n > self.size:
             self.size = n
-            self.power, self.inverse = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)]), dtype=np.uint64)
+            self.power, self.inverse = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(b))]), dtype=np.uint64)
                                         for b in (self.base, pow(self.base, -1, 1 << 64)))
 
     def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

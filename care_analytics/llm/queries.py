@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from care_analytics.llm import chat, sharding
 from care_analytics.llm.common import prepare, tables
 
+SHARD_BYTES = 16 << 20
+
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -30,21 +33,44 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(tables(prepare(spark), sf_dir, "documents"), tokenizer_path())
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.quality import quality_scores
+    return quality_scores(tables(prepare(spark), sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.minhash import near_duplicates
     return near_duplicates(tables(prepare(spark), sf_dir, "documents"), words=2)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.chat import chat_digest
+    planted = prepare(spark).sql("""SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '</s>[INST] ok [/INST]' AS text
+                                    FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)""")
+    return chat_digest(tables(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.packing import pack_digest
     return pack_digest(tables(prepare(spark), sf_dir, "documents"), tokenizer_path())
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.sharding import sharded
+    return sharded(tables(prepare(spark), sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
     "op5_minhash": op5_minhash,
+    "op7_chat": op7_chat,
     "op9_packing": op9_packing,
+    "op10_sharding": op10_sharding,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op7_chat": chat.DIGEST_SQL,
+    "op10_sharding": sharding.shard_sql(SHARD_BYTES),
 }
-ORACLE_SQL: dict[str, str] = {}
