@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from care_analytics.llm import chat, sharding
 from care_analytics.llm.common import prepare, tables
@@ -43,6 +44,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(tables(prepare(spark), sf_dir, "documents"), words=2)
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.topk import top_k
+    return top_k(tables(prepare(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.chat import chat_digest
     planted = prepare(spark).sql("""SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '</s>[INST] ok [/INST]' AS text
@@ -50,6 +56,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(tables(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted))
 
 
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from care_analytics.llm.lattice import embedding_links
+    return embedding_links(tables(prepare(spark), sf_dir, "embeddings"), threshold=0.93)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.packing import pack_digest
     return pack_digest(tables(prepare(spark), sf_dir, "documents"), tokenizer_path())
@@ -66,11 +77,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op5_minhash": op5_minhash,
+    "op6_topk": op6_topk,
     "op7_chat": op7_chat,
+    "op8_lattice": op8_lattice,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INTEGER AS rank,
+       c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+QUALIFY rank <= 20
+"""
+
+LINKS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links,
+       coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id) AS component_id,
+       coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id) = e.vec_id AS kept
+FROM embeddings e
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_topk": TOP_SQL,
     "op7_chat": chat.DIGEST_SQL,
+    "op8_lattice": LINKS_SQL,
     "op10_sharding": sharding.shard_sql(SHARD_BYTES),
 }
