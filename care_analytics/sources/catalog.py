@@ -19,8 +19,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_analytics.sources import fixtures
-
 
 class Tables:
     """Lazy mapping ``reference table name -> DataFrame``."""
@@ -44,6 +42,8 @@ class Tables:
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         """Reference tables as adapters over the driver tables in ``sf_dir``."""
+        from care_analytics.sources import fixtures  # only here: test adapters
+
         raw: dict[str, DataFrame] = {}
         views: dict[str, DataFrame] = {}
 
@@ -77,19 +77,14 @@ class Tables:
 
 
 def materialize(tables: Tables, names, out_root: str, mode: str = "overwrite",
-                files: int | None = None, min_rows_to_split: int = 10_000) -> None:
+                files: int | None = None) -> None:
     """Write reference tables to ``{out_root}/{name}`` as Parquet.
 
     Used by the benchmark so that reports read stored tables, as they do in
-    production, instead of re-deriving the adapters on every run.  Tables
-    with at least ``min_rows_to_split`` rows are written as ``files`` files
-    (default: the session's parallelism), like a production table made of
-    many files; small code lists stay one file.
+    production, instead of re-deriving the adapters on every run.  ``files``
+    spreads each table over that many files; by default the adapter's own
+    partitions are written.
     """
-    spark = tables.spark
-    files = files or spark.sparkContext.defaultParallelism
     for name in names:
-        df = tables[name]
-        if files > 1 and df.count() >= min_rows_to_split:
-            df = df.repartition(files)
+        df = tables[name] if files is None else tables[name].repartition(files)
         df.write.mode(mode).parquet(os.path.join(out_root, name))

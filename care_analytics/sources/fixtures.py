@@ -21,12 +21,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 # One SELECT per adapter; ``{x}`` is a driver table or another adapter.
 VIEWS: dict[str, str] = {
-    # lineitem reduced to a unique (order, part) key
-    "fx_line": """SELECT l_orderkey*100000+l_partkey AS line_id, l_orderkey, l_partkey,
-        MIN(l_suppkey) AS l_suppkey, MIN(l_linenumber) AS l_linenumber, MIN(l_quantity) AS l_quantity,
-        MIN(l_extendedprice) AS l_extendedprice, MIN(l_returnflag) AS l_returnflag,
-        MIN(l_linestatus) AS l_linestatus, CAST(MIN(l_shipdate) AS DATE) AS ship_d
-        FROM {lineitem} GROUP BY l_orderkey, l_partkey""",
+    # every lineitem, with a key of its own (lines of one order and part are numbered)
+    "fx_line": """SELECT (l_orderkey*10000000+l_partkey)*16 + ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_partkey
+          ORDER BY l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate) AS line_id,
+        l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_linestatus,
+        CAST(l_shipdate AS DATE) AS ship_d FROM {lineitem}""",
     "fx_clients": """SELECT c_custkey AS objectId, CAST(c_custkey+100000 AS STRING) AS identificationNo,
         c_name AS name, c_mktsegment AS lastName, substr(c_name,1,8) AS firstName, substr(c_name,10) AS givenName,
         CASE WHEN c_custkey % 6 <> 0 THEN substr(c_mktsegment,1,1) END AS initials,
@@ -70,13 +69,13 @@ VIEWS: dict[str, str] = {
         c_custkey*10 AS contractId FROM {customer}""",
     "fx_teams": """SELECT s_suppkey AS objectId, CAST(s_suppkey+7000 AS STRING) AS identificationNo, s_name AS name,
         s_nationkey AS poolcluster FROM {supplier}""",
-    "fx_team_assignments": """SELECT event_id AS objectId, user_id AS employeeObjectId, event_id % 10 AS teamObjectId,
+    "fx_team_assignments": """SELECT event_id AS objectId, user_id AS employeeObjectId, event_id % (SELECT count(*) FROM {supplier}) AS teamObjectId,
         CASE WHEN event_id % 4 = 0 THEN DATE '1996-01-01' + CAST(event_id % 1500 AS INT) ELSE CAST(ts AS DATE) - CAST(event_id % 9 AS INT) END AS beginDate,
         CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 8 = 0 THEN DATE '2001-06-30'
              WHEN event_id % 4 = 0 THEN DATE '1996-01-01' + CAST(event_id % 1500 + 200 AS INT)
              WHEN event_id % 3 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 7 AS INT) END AS endDate
         FROM {events} WHERE event_type = 'signup'""",
-    "fx_shift_assignments": """SELECT event_id AS objectId, event_id % 20 AS timeline_shift_id, event_id % 10 AS unit_id,
+    "fx_shift_assignments": """SELECT event_id AS objectId, event_id % (SELECT count(*) FROM {part} WHERE p_partkey % 3 = 0) AS timeline_shift_id, event_id % (SELECT count(*) FROM {supplier}) AS unit_id,
         user_id AS employee_id, CAST(ts AS DATE) AS date, substr(CAST(ts AS STRING),12,8) AS start_time,
         substr(CAST(ts + INTERVAL 8 HOUR AS STRING),12,8) AS stop_time,
         CASE WHEN event_id % 3 <> 0 THEN substr(CAST(ts + INTERVAL 4 HOUR AS STRING),12,8) END AS start_break_time,
@@ -85,19 +84,20 @@ VIEWS: dict[str, str] = {
     "fx_units": """SELECT s_suppkey AS objectId, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey AS BIGINT) % 5 END AS parent_unit_id,
         concat('U', CAST(s_suppkey AS STRING)) AS code, s_name AS name,
         CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey END AS external_id FROM {supplier}""",
-    "fx_shifts": """SELECT p_partkey AS objectId, p_partkey % 20 AS timeline_id, p_name AS description,
-        DATE '2024-01-01' + CAST(10*((p_partkey - p_partkey % 20)/20) AS INT) AS valid_from,
-        CASE WHEN p_partkey < 40 THEN DATE '2024-01-11' + CAST(10*((p_partkey - p_partkey % 20)/20) AS INT) END AS valid_to,
-        p_partkey % 5 AS expertise_profile_id FROM {part} WHERE p_partkey < 60""",
+    # three versions of ten days for each shift line
+    "fx_shifts": """SELECT p_partkey AS objectId, CAST((p_partkey - p_partkey % 3) / 3 AS BIGINT) AS timeline_id, p_name AS description,
+        DATE '2024-01-01' + CAST(10 * (p_partkey % 3) AS INT) AS valid_from,
+        CASE WHEN p_partkey % 3 < 2 THEN DATE '2024-01-11' + CAST(10 * (p_partkey % 3) AS INT) END AS valid_to,
+        p_partkey % 5 AS expertise_profile_id FROM {part}""",
     "fx_shift_employees": """SELECT c_custkey AS objectId, c_custkey AS external_id,
         CASE WHEN c_custkey % 13 = 0 THEN 1 WHEN c_custkey % 13 = 1 THEN NULL ELSE 0 END AS dummy FROM {customer}""",
-    "fx_expenses": """SELECT line_id AS objectId, l_orderkey % 150 AS employeeObjectId, l_partkey AS expenseTypeObjectId,
-        l_suppkey AS clusterObjectId, ship_d AS expenseDate, l_extendedprice AS amount FROM {fx_line}""",
+    "fx_expenses": """SELECT line_id AS objectId, l_orderkey % (SELECT count(*) FROM {customer}) AS employeeObjectId, l_partkey AS expenseTypeObjectId,
+        l_suppkey AS clusterObjectId, ship_d AS expenseDate, CAST(l_extendedprice AS DECIMAL(18,4)) AS amount FROM {fx_line}""",
     "fx_expense_types": """SELECT p_partkey AS objectId, p_name AS name FROM {part} WHERE p_partkey % 10 <> 9""",
     "fx_surveys": """SELECT p_partkey AS objectId, p_name AS title, concat(p_name, ' ', repeat('x', 120)) AS description,
         p_partkey % 2 AS active, p_partkey % 3 AS useStrictEditAuthorization, p_partkey % 4 AS useWorkflow FROM {part}""",
-    "fx_survey_results": """SELECT o_orderkey AS objectId, o_orderkey % 200 AS surveyObjectId, o_custkey AS clientObjectId,
-        o_custkey % 150 AS employeeObjectId, o_orderdate AS createdAt,
+    "fx_survey_results": """SELECT o_orderkey AS objectId, o_orderkey % (SELECT count(*) FROM {part}) AS surveyObjectId, o_custkey AS clientObjectId,
+        o_custkey % (SELECT 1 + max(user_id) FROM {events}) AS employeeObjectId, o_orderdate AS createdAt,
         CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 3 DAY END AS completedAt,
         CAST(o_orderkey % 6 AS INT) AS status FROM {orders}""",
     "fx_survey_questions": """SELECT p_partkey AS objectId,
@@ -115,7 +115,7 @@ VIEWS: dict[str, str] = {
         CAST(o_orderkey % 2 AS INT) AS clientPresent FROM {orders}""",
     "fx_agenda_invitations": """SELECT line_id AS objectId, l_orderkey AS eventObjectId, l_partkey AS inviteeObjectId FROM {fx_line}""",
     "fx_agenda_clients": """SELECT p_partkey AS objectId FROM {part} WHERE p_partkey % 3 <> 0""",
-    "fx_agenda_locations": """SELECT p_partkey AS objectId, p_partkey % 10 AS externalObjectId FROM {part} WHERE p_partkey % 3 = 0""",
+    "fx_agenda_locations": """SELECT p_partkey AS objectId, p_partkey % (SELECT count(*) FROM {supplier}) AS externalObjectId FROM {part} WHERE p_partkey % 3 = 0""",
     "fx_care_providers": """SELECT s_suppkey AS objectId, s_name AS fullName, s_nationkey AS organisationCategoryId FROM {supplier}""",
     "fx_care_provider_categories": """SELECT n_nationkey AS objectId,
         CASE WHEN n_nationkey % 3 = 0 THEN 'Apothekers' ELSE n_name END AS name FROM {nation}""",
@@ -143,16 +143,19 @@ VIEWS: dict[str, str] = {
         ship_d + 365 AS endDate FROM {fx_line}""",
     "fx_tariff_units": """SELECT * FROM (VALUES (1,'dagdeel'),(2,'uur'),(3,'kwartier'),(4,'stuk'),(5,'Onbekende eenheid'),
         (6,CAST(NULL AS STRING))) t(code, description)""",
-    "fx_documents": """SELECT doc_id AS objectId, doc_id % 40 AS clientObjectId, source AS description, doc_id % 30 AS employeeObjectId,
+    "fx_documents": """SELECT doc_id AS objectId, doc_id % (SELECT count(*) FROM {customer}) AS clientObjectId, source AS description, doc_id % (SELECT count(*) FROM {customer}) AS employeeObjectId,
         concat('f', CAST(doc_id AS STRING)) AS filename, lang AS message, DATE '1998-01-01' + CAST(doc_id % 300 AS INT) AS createdAt,
         DATE '1998-06-01' + CAST(doc_id % 300 AS INT) AS updatedAt, CAST(doc_id % 3 AS INT) AS status,
         CASE WHEN doc_id % 4 = 0 THEN 1 WHEN doc_id % 4 = 1 THEN NULL ELSE 0 END AS confidential FROM {documents}""",
-    "fx_document_tags": """SELECT d.doc_id AS documentObjectId, r.r_regionkey AS tagObjectId
-        FROM {documents} d JOIN {region} r ON d.doc_id % (r.r_regionkey + 2) = 0""",
+    "fx_document_tags": """SELECT doc_id AS documentObjectId, CAST(0 AS BIGINT) AS tagObjectId FROM {documents} WHERE doc_id % 2 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(1 AS BIGINT) AS tagObjectId FROM {documents} WHERE doc_id % 3 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(2 AS BIGINT) AS tagObjectId FROM {documents} WHERE doc_id % 4 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(3 AS BIGINT) AS tagObjectId FROM {documents} WHERE doc_id % 5 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(4 AS BIGINT) AS tagObjectId FROM {documents} WHERE doc_id % 6 = 0""",
     "fx_tags": """SELECT r_regionkey AS objectId, r_name AS name FROM {region} WHERE r_regionkey <> 4""",
-    "fx_presence_logs": """SELECT event_id AS objectId, user_id AS employeeId, event_id % 10 AS costClusterObjectId,
+    "fx_presence_logs": """SELECT event_id AS objectId, user_id AS employeeId, event_id % (SELECT count(*) FROM {supplier}) AS costClusterObjectId,
         event_type AS activityObjectId, ts AS startDate, CASE WHEN event_id % 5 <> 0 THEN ts + INTERVAL 8 HOUR END AS endDate,
-        event_id % 97 AS clientId, CAST(event_id % 11 AS INT) AS removed, 1 AS registration, CAST(event_id % 3 AS INT) AS payment,
+        event_id % (SELECT count(*) FROM {customer}) AS clientId, CAST(event_id % 11 AS INT) AS removed, 1 AS registration, CAST(event_id % 3 AS INT) AS payment,
         CAST(event_id % 2 AS INT) AS verified, CASE WHEN event_id % 2 = 1 THEN ts + INTERVAL 2 DAY END AS verifiedDate
         FROM {events}""",
     "fx_shift_profiles": """SELECT r_regionkey AS objectId, r_name AS name FROM {region}""",
@@ -173,8 +176,11 @@ VIEWS: dict[str, str] = {
     "fx_debtor_types": """SELECT r_regionkey AS code, r_name AS description FROM {region}""",
     "fx_uzovis": """SELECT n_nationkey AS objectId, n_name AS code FROM {nation}""",
     "fx_document_statuses": """SELECT r_regionkey AS code, r_name AS description FROM {region}""",
-    "fx_document_groups": """SELECT d.doc_id AS documentObjectId, r.r_regionkey AS expertiseGroupObjectId
-        FROM {documents} d JOIN {region} r ON d.doc_id % (r.r_regionkey + 3) = 0""",
+    "fx_document_groups": """SELECT doc_id AS documentObjectId, CAST(0 AS BIGINT) AS expertiseGroupObjectId FROM {documents} WHERE doc_id % 3 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(1 AS BIGINT) AS expertiseGroupObjectId FROM {documents} WHERE doc_id % 4 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(2 AS BIGINT) AS expertiseGroupObjectId FROM {documents} WHERE doc_id % 5 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(3 AS BIGINT) AS expertiseGroupObjectId FROM {documents} WHERE doc_id % 6 = 0
+        UNION ALL SELECT doc_id AS documentObjectId, CAST(4 AS BIGINT) AS expertiseGroupObjectId FROM {documents} WHERE doc_id % 7 = 0""",
     "fx_expertise_groups": """SELECT r_regionkey AS objectId, r_name AS name, DATE '1995-01-01' AS beginDate,
         CASE WHEN r_regionkey % 2 = 0 THEN DATE '1998-01-01' END AS endDate FROM {region}""",
     "fx_document_rights": """SELECT doc_id AS documentObjectId, doc_id % 25 AS educationObjectId FROM {documents} WHERE doc_id % 3 <> 0""",
@@ -183,7 +189,7 @@ VIEWS: dict[str, str] = {
     "fx_pool_types": """SELECT n_nationkey AS code, n_name AS description FROM {nation} WHERE n_nationkey % 2 = 0""",
 }
 
-# Reference table name -> adapter view.
+# The reference's table names, each with the adapter that stands for it.
 REFERENCE_TABLES: dict[str, str] = {
     "clients": "fx_clients",
     "care_allocations": "fx_care_allocations",
@@ -247,7 +253,7 @@ REFERENCE_TABLES: dict[str, str] = {
 
 def dependencies(view: str) -> list[str]:
     """Names referenced as ``{x}`` placeholders in an adapter."""
-    return [f for _, f, _, _ in string.Formatter().parse(VIEWS[view]) if f]
+    return list(dict.fromkeys(f for _, f, _, _ in string.Formatter().parse(VIEWS[view]) if f))
 
 
 def build_view(spark: SparkSession, view: str, resolve) -> DataFrame:

@@ -11,68 +11,45 @@ from care_analytics.sources import fixtures
 from care_analytics.sources.catalog import Tables
 
 
-def _swap(sql: str, old: str, new: str) -> str:
-    assert old in sql, old
-    return sql.replace(old, new)
+def _day(text):
+    return f"DATE '{text}'"
 
 
 CASES = {
     # list of cost centres; NULL relation = any typed relation; '' end date = no cut-off
     "r01_list_any_relation": (
         lambda t: R.r01_clients_without_contact(t, enddate="", costcentre="1200,1500", relation=None),
-        _swap(_swap(_swap(O.R01,
-              "WHERE (ca.dateEnd > DATE '1998-09-01' OR ca.dateEnd IS NULL)\n    AND", "WHERE"),
-              "TRY_CAST(cc.identificationNo AS INTEGER) BETWEEN 1000 AND 3000",
-              "cc.identificationNo IN ('1200', '1500')"),
-              "AND (t.name ILIKE '%eerste%' OR t.name ILIKE '%tweede%')", "")),
+        O.r01(None, "no IN ('1200', '1500')", "TRUE")),
     # no cost-centre filter: clients without a cost centre stay
     "r01_no_costcentre": (
         lambda t: R.r01_clients_without_contact(t, enddate="1998", costcentre="", relation="%Eerste%"),
-        _swap(_swap(_swap(O.R01, "DATE '1998-09-01'", "DATE '1998-01-01'"),
-              "\n    AND TRY_CAST(cc.identificationNo AS INTEGER) BETWEEN 1000 AND 3000", ""),
-              "(t.name ILIKE '%eerste%' OR t.name ILIKE '%tweede%')", "t.name ILIKE '%Eerste%'")),
+        O.r01(_day("1998-01-01"), "TRUE", "name ILIKE '%eerste%'")),
+    # an open period end: no week buckets, the rest of the plan is the same
+    "r02_open_end": (lambda t: R.r02_rostered_shifts(t, "2024-01-15", ""), O.r02(_day("2024-01-15"), None)),
+    "r02_open_begin": (lambda t: R.r02_rostered_shifts(t, None, "2024-01-15"), O.r02(None, _day("2024-01-15"))),
     # NULL expense pattern: no filter
     "r03_all_expenses": (
-        lambda t: R.r03_expense_totals(t, "1998-02-01", "1998-03-15", None),
-        _swap(_swap(O.R03, "AND EXISTS (SELECT 1 FROM (VALUES ('%gear%'), ('red%')) s(v) WHERE et.name ILIKE s.v)", ""),
-              "BETWEEN DATE '1998-01-01' AND DATE '1998-01-31'", "BETWEEN DATE '1998-02-01' AND DATE '1998-03-15'")),
+        lambda t: R.r03_expense_totals(t, "1998-02-01", "1998-03-15", None), O.r03(_day("1998-02-01"), _day("1998-03-16"), "TRUE")),
     # trimmed title patterns
     "r04_title_filter": (
-        lambda t: R.r04_survey_overview(t, vragenlijst=" %blue% , %red%"),
-        _swap(O.R04, "LEFT JOIN CTE_tijdstip tijd ON tijd.objectid = sr.objectId",
-              "LEFT JOIN CTE_tijdstip tijd ON tijd.objectid = sr.objectId\n"
-              "WHERE s.title ILIKE '%blue%' OR s.title ILIKE '%red%'")),
-    "r04_deduped": (
-        lambda t: R.r04_survey_overview(t, vragenlijst=None, dedupe=True),
-        _swap(O.R04, "CAST(SUM(sad.score) AS BIGINT) AS TotaalScore",
-              "(SELECT CAST(SUM(d2.score) AS BIGINT) FROM fx_survey_answers a2 "
-              "LEFT JOIN fx_survey_answer_definitions d2 ON d2.objectId = a2.answerDefinitionObjectId "
-              "WHERE a2.surveyResultObjectId = sr.objectId) AS TotaalScore")),
+        lambda t: R.r04_survey_overview(t, vragenlijst=" %blue% , %red%"), O._r04_named(O.r04("s.title ILIKE '%blue%' OR s.title ILIKE '%red%'"))),
+    "r04_deduped": (lambda t: R.r04_survey_overview(t, vragenlijst=None, dedupe=True), O._r04_named(O.r04(dedupe=True))),
     # id list with spaces and empty tokens; a non-number matches nothing
-    "r05_ids": (
-        lambda t: R.r05_survey_answers(t, vragenlijst=" 1, 2 ,,35 ,x"),
-        _swap(O.R05, "FROM Computed WHERE Antwoord IS NOT NULL",
-              "FROM Computed WHERE Antwoord IS NOT NULL AND Ingevulde_Vragenlijst IN (1, 2, 35)")),
+    "r05_ids": (lambda t: R.r05_survey_answers(t, vragenlijst=" 1, 2 ,,35 ,x"), O.r05("a.surveyResultObjectId IN (1, 2, 35)")),
     # lower bound set; '' location list excludes nothing (documented contract)
     "r12_bounds_no_exclusion": (
         lambda t: R.r12_open_location_after_care(t, eind="1999-06-30", begin="1997", locatie=""),
-        _swap(_swap(_swap(_swap(O.R12,
-              "FROM fx_care_allocations ca WHERE ca.dateBegin <= DATE '1998-09-01'",
-              "FROM fx_care_allocations ca WHERE ca.dateBegin <= DATE '1999-06-30' "
-              "AND coalesce(ca.dateEnd, DATE '9999-12-31') >= DATE '1997-01-01'"),
-              "WHERE la.beginDate <= DATE '1998-09-01'",
-              "WHERE la.beginDate <= DATE '1999-06-30' AND coalesce(la.endDate, DATE '9999-12-31') >= DATE '1997-01-01'"),
-              "\n  AND NOT EXISTS (SELECT 1 FROM (VALUES ('Wachtlijst')) x(v) WHERE l.name ILIKE '%' || trim(x.v) || '%')", ""),
-              "SELECT ca.clientObjectId", "SELECT ca.clientObjectId")),
+        O.r12(_day("1997-01-01"), _day("1999-06-30"), ())),
     "r12_two_names": (
-        lambda t: R.r12_open_location_after_care(t, eind="1998-09-01", locatie="Wachtlijst, Supplier#000000001"),
-        _swap(O.R12, "(VALUES ('Wachtlijst'))", "(VALUES ('Wachtlijst'), (' Supplier#000000001'))")),
-    # skew paths forced on: spread numbering and time-bucketed validity joins
-    "r05_spread_numbering": (lambda t: R.r05_survey_answers(t, vragenlijst="", hot_rows=0), O.R05),
-    "r02_bucketed_validity": (lambda t: R.r02_rostered_shifts(t, "2024-01-01", "2024-01-31", hot_rows=0), O.R02),
+        lambda t: R.r12_open_location_after_care(t, eind="1998-09-01", begin=None, locatie="Wachtlijst, Supplier#000000001"),
+        O.r12(names=("Wachtlijst", "Supplier#000000001"))),
+    # '' means no bound
+    "r12_empty_begin": (lambda t: R.r12_open_location_after_care(t, eind="1998-09-01", begin=""), O.r12()),
+    "r12_empty_end": (lambda t: R.r12_open_location_after_care(t, eind="", begin="1997-05-01"), O.r12(_day("1997-05-01"), None)),
+    "r12_default_begin": (lambda t: R.r12_open_location_after_care(t, eind="2001-12-31"), O.r12(_day("2000-01-01"), _day("2001-12-31"))),
     "r11_other_period": (
         lambda t: R.r11_trajectories_by_referrer(t, dt.date(1996, 1, 1), dt.date(1996, 12, 31), "geen VERWIJZER"),
-        _swap(_swap(O.R11, "DATE '1998-09-01'", "DATE '1996-12-31'"), "DATE '1998-03-01'", "DATE '1996-01-01'")),
+        O.r11(_day("1996-01-01"), _day("1996-12-31"))),
 }
 
 
