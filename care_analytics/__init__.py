@@ -9,7 +9,6 @@ Layers:
   key, flexible filters, joined lists, ...).
 * ``plans``     – the fifteen reports composed from the operators, plus one
   query per operator used by the correctness gate.
-* ``streaming`` – nothing: the reports are batch only.
 """
 
 from care_analytics.sources.catalog import Tables  # noqa: F401

@@ -102,14 +102,14 @@ def shift_hours(start: str, stop: str, break_start: str, break_stop: str) -> Col
 
     A stop before the start runs past midnight (+24 h); so does a break whose
     start is after its stop.  No break start means no break; a break start
-    without a stop gives NULL.  Whole minutes, one division, 4 decimals.
+    without a stop gives NULL.  Whole minutes, one division, 6 decimals.
     """
     s, e, bs, be = (sql_name(c) for c in (start, stop, break_start, break_stop))
     ms, me, mbs, mbe = (_minutes_sql(c) for c in (start, stop, break_start, break_stop))
     return F.expr(
-        f"round(cast((CASE WHEN {e} < {s} THEN 1440 - {ms} + {me} ELSE {me} - {ms} END)"
+        f"cast(cast((CASE WHEN {e} < {s} THEN 1440 - {ms} + {me} ELSE {me} - {ms} END)"
         f" - (CASE WHEN {bs} IS NULL THEN 0 WHEN {bs} > {be} THEN {mbe} - {mbs} + 1440"
-        f" ELSE {mbe} - {mbs} END) as double) / 60.0, 4)")
+        f" ELSE {mbe} - {mbs} END) as decimal(18,6)) / 60 as decimal(18,6))")
 
 
 def date_text(col, fmt: str) -> Column:
@@ -127,6 +127,11 @@ def dutch_date_text(col) -> Column:
 
 # Numeric Dutch date layouts accepted by parse_dutch_date, in order.
 NUMERIC_DATE_FORMATS = ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy", "yyyy-M-d")
+# Dutch weekday names, as they may stand before a date.
+WEEKDAYS = ("maandag", "dinsdag", "woensdag", "donderdag", "vrijdag", "zaterdag", "zondag",
+            "ma", "di", "wo", "do", "vr", "za", "zo")
+# A two-digit year up to this one is in this century, later ones in the last.
+LAST_SHORT_YEAR = 49
 MONTH_NAME_FORMATS = ("d MMMM yyyy", "d MMM yyyy")
 
 
@@ -135,10 +140,15 @@ def parse_dutch_date(col) -> Column:
 
     Numeric layouts (``3-1-2025``, ``03/01/2025``, ``3.1.2025``,
     ``2025-01-03``) and month names in Dutch (``3 maart 2025``,
-    ``3 mrt 2025``).  Month names go through the CSV date parser, which is the
-    built-in that honours a locale.
+    ``3 mrt 2025``), after a weekday name or not, with years of four digits
+    or two (``3-1-25``).  Month names go through the CSV date parser, which is
+    the built-in that honours a locale.
     """
     c = F.trim(lit_or_col(col).cast("string"))
+    c = F.trim(F.regexp_replace(c, rf"^(?i)({'|'.join(WEEKDAYS)})\.?,?\s+", ""))
+    short = F.regexp_extract(c, r"^\d{1,2}(?:[-/.]\d{1,2}[-/.]| \p{L}+\.? )(\d{2})$", 1)
+    century = F.when(short.try_cast("int") <= LAST_SHORT_YEAR, F.lit("20")).otherwise(F.lit("19"))
+    c = F.when(short != "", F.concat(F.substring(c, F.lit(1), F.length(c) - 2), century, short)).otherwise(c)
     numeric = [F.try_to_date(c, fmt) for fmt in NUMERIC_DATE_FORMATS]
     # Abbreviated Dutch months carry a dot in the locale data ('mrt.'); 'mei'
     # is never abbreviated.  Add the dot when the user left it out.
@@ -154,7 +164,7 @@ def parse_dutch_date(col) -> Column:
 def map_codes(col: str, pairs: dict[str, str], case_sensitive: bool = False) -> Column:
     """Map a text column through ``pairs``; values without a pair pass unchanged."""
     c = sql_name(col)
-    key = c if case_sensitive else f"lower({c})"
+    key = c if case_sensitive else f"lower(rtrim({c}))"
     entries = ", ".join(f"{sql_text(k if case_sensitive else k.lower())}, {sql_text(v)}" for k, v in pairs.items())
     return F.expr(f"coalesce(try_element_at(map({entries}), {key}), {c})")
 

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
-def group_sum(df: DataFrame, keys, value, name: str, decimal: tuple[int, int] | None = None) -> DataFrame:
-    """``SUM(value)`` per key; ``decimal=(p, s)`` sums money exactly."""
-    v = F.col(value) if isinstance(value, str) else value
-    if decimal is not None:
-        v = v.cast(f"decimal({decimal[0]},{decimal[1]})")
-    return df.groupBy(*keys).agg(F.sum(v).alias(name))
+def group_sum(df: DataFrame, keys, value: str, name: str) -> DataFrame:
+    """``SUM(value)`` per key in the column's own type; a decimal keeps its
+    scale and sums to 38 digits."""
+    kind = df.select(value).schema[0].dataType
+    total = F.sum(value)
+    if isinstance(kind, DecimalType):
+        total = total.cast(DecimalType(38, kind.scale))
+    return df.groupBy(*keys).agg(total.alias(name))
 
 
 def groups_with_many(df: DataFrame, key, item, min_count: int, name: str) -> DataFrame:
@@ -35,7 +38,8 @@ def joined_list(df: DataFrame, keys: list[str], item: str, sep: str,
     NULL items are counted but left out of the list; no non-NULL item gives
     a NULL list.  Duplicates are kept.  Rows are first reduced to
     ``(key, item, n)`` with a partial aggregate, so the list is built from
-    the distinct items of a key, never from its raw rows.
+    the distinct items of a key, never from its raw rows.  The list itself is
+    one value of one row, as the result asks; it must fit a task's memory.
     """
     per_item = df.groupBy(*keys, item).agg(F.count(F.lit(1)).alias("_n"))
     entry = F.when(F.col(item).isNotNull(),
@@ -60,26 +64,16 @@ def sum_over_fanout(values: DataFrame, key: str, value: str, branches, name: str
     pre-aggregated per key, so neither skew nor the product size matters.
     """
     out = values.groupBy(key).agg(F.sum(value).alias(name))
-    factor = F.lit(1)
+    counted = []
     for i, branch in enumerate(branches):
-        n = f"_n{i}"
-        counts = branch.groupBy(key).agg(F.count(F.lit(1)).alias(n))
-        out = out.join(counts, key, "left")
-        factor = factor * F.coalesce(F.col(n), F.lit(1))
-    return out.select(key, (F.col(name) * factor).alias(name))
-
+        counted.append(f"_n{i}")
+        out = out.join(branch.groupBy(key).agg(F.count(F.lit(1)).alias(counted[-1])), key, "left")
+    return out.select(key, (F.col(name) * fan_factor(counted)).alias(name))
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent ``key`` value (a partial count per key).
 
-    Remembered on the DataFrame object, so measuring a stored table costs
-    one job per session.
-    """
-    memo = getattr(df, "_care_largest_group", {})
-    if key not in memo:
-        memo[key] = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        try:
-            df._care_largest_group = memo
-        except AttributeError:  # pragma: no cover
-            pass
-    return memo[key]
+def fan_factor(counts) -> Column:
+    """How often a row occurs after left joins with so many matches each (none: the row stays once)."""
+    factor = F.lit(1)
+    for n in counts:
+        factor = factor * F.greatest(F.coalesce(F.col(n), F.lit(0)), F.lit(1))
+    return factor

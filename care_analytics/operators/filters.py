@@ -121,6 +121,6 @@ def flex_number(col, spec: str | None) -> Column | None:
         return None
     if P.is_range(spec):
         return in_text_range(col, spec)
-    # text equality ignores trailing spaces in the source dialect
-    tokens = [t.rstrip(" ") for t in P.split_tokens(spec)]
-    return F.rtrim(col_(col)).isin(*dict.fromkeys(tokens))
+    # text equality ignores case and trailing spaces in the source dialect
+    tokens = [t.rstrip(" ").lower() for t in P.split_tokens(spec)]
+    return F.lower(F.rtrim(col_(col))).isin(*dict.fromkeys(tokens))

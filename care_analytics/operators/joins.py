@@ -5,37 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side that may be broadcast on the strength of a row count.
-BROADCAST_MAX_ROWS = 20_000
-
-
-def _rows_within(df: DataFrame, max_rows: int) -> bool:
-    """At most ``max_rows`` rows?  Proven by an incremental ``take`` of a
-    constant column (no data columns are read); remembered on the object."""
-    known = getattr(df, "_care_rows_within", None)
-    if known is None or known[0] != max_rows:
-        n = len(df.select(F.lit(1)).take(max_rows + 1))
-        known = (max_rows, n <= max_rows)
-        try:
-            df._care_rows_within = known
-        except AttributeError:  # pragma: no cover - DataFrame without __dict__
-            pass
-    return known[1]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    ``bound_by`` is a table that ``df`` was derived from by filters and
-    projections only: if that table is proven small, so is ``df`` (and the
-    proof of a stored table is made once per session).  A side that is not
-    proven small is returned unchanged and joined by sort-merge, where AQE
-    may still switch to a broadcast from runtime sizes.
-    """
-    if bound_by is not None and _rows_within(bound_by, max_rows):
-        return F.broadcast(df)
-    return F.broadcast(df) if _rows_within(df, max_rows) else df
+
+def text_key(col) -> Column:
+    """A text as the source dialect compares it: without case and trailing spaces."""
+    return F.lower(F.rtrim(F.col(col) if isinstance(col, str) else col))
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
@@ -81,14 +54,14 @@ def polymorphic_bridge(df: DataFrame, key: str, targets, kind_name: str = "invit
     """Resolve a reference that points into one of several tables.
 
     ``targets`` is a list of ``(kind, target, target_key, extra)`` where
-    ``extra`` maps output names to target columns.  One inner join per
-    target, stacked with ``unionByName`` (missing extras become NULL).
+    ``extra`` maps output names to target columns.  The targets are stacked
+    with their kind (missing extras become NULL) and joined once, so ``df`` is
+    read and shuffled once however many targets there are.
     """
     from functools import reduce
 
-    parts = []
-    for kind, target, target_key, extra in targets:
-        joined = df.join(target, df[key] == target[target_key])
-        parts.append(joined.select(*[df[c] for c in df.columns], F.lit(kind).alias(kind_name),
-                                   *[col.alias(name) for name, col in extra.items()]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    parts = [target.select(target[target_key].alias("_target"), F.lit(kind).alias(kind_name),
+                           *[col.alias(name) for name, col in extra.items()])
+             for kind, target, target_key, extra in targets]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return df.join(stacked, df[key] == F.col("_target")).drop("_target")

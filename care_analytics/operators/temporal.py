@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from care_analytics.functions import params as P
-from care_analytics.operators.aggregates import largest_group
 
 
 def col_(c) -> Column:
@@ -59,6 +58,8 @@ def overlaps(begin, end, lo=None, hi=None, end_inclusive: bool = True) -> Column
     ``begin <= hi AND (end IS NULL OR end >= lo)`` (``>`` when the end is
     exclusive).  A missing period bound is open on that side.
     """
+    # '' means the same as a missing bound
+    lo, hi = (P.parse_date(x) if isinstance(x, str) else x for x in (lo, hi))
     preds = []
     if hi is not None:
         preds.append(col_(begin) <= _value(hi))
@@ -99,67 +100,40 @@ def since_previous_month(col, as_of) -> Column:
     return col_(col) >= F.lit(P.first_of_previous_month(as_of))
 
 
-# Largest key group on the right side of a validity join that one task may
-# handle on its own before the join is split by time bucket (rows).
-HOT_KEY_ROWS = 2_000_000
-TIME_BUCKETS = 16
+# Days of one time bucket of a validity join over a known period.
+BUCKET_DAYS = 7
+
+
+def time_bucket(at) -> Column:
+    """Number of the week of a date, counted from a fixed Monday."""
+    return F.floor(F.datediff(col_(at).cast("date"), F.lit("1900-01-01").cast("date")) / BUCKET_DAYS).cast("int")
 
 
 def validity_join(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
-                  end_inclusive: bool = True, how: str = "left", right_key: str | None = None,
-                  hot_rows: int | None = HOT_KEY_ROWS, hot_probe: DataFrame | None = None,
-                  span: tuple | None = None) -> DataFrame:
+                  end_inclusive: bool = True, how: str = "left", period: tuple | None = None,
+                  bucket: str | None = None) -> DataFrame:
     """Join each left row to the right versions valid at the left row's date.
 
     Planned as an equi-join on the key with the interval as a residual
-    condition (sort-merge or broadcast hash, never a nested loop).  When
-    ``right_key`` is given and one key holds more than ``hot_rows`` right
-    rows, the join is split by time bucket (:func:`validity_join_bucketed`)
-    so that a hot key is compared bucket by bucket in separate tasks.
-    ``hot_probe`` is the table ``right`` was filtered from, measured instead
-    (an upper bound, and remembered per session).  ``span`` = (first, last)
-    date of the left rows when the caller knows it (e.g. the report period
-    the left rows were filtered to; it must cover every left date), which
-    saves measuring it.
-    """
-    probe = hot_probe if hot_probe is not None else right
-    if right_key is not None and hot_rows is not None and largest_group(probe, right_key) > hot_rows:
-        return validity_join_bucketed(left, right, on, at, begin, end, end_inclusive, how, span=span)
-    return left.join(right, on & valid_at(begin, end, col_(at), end_inclusive), how)
-
-
-def validity_join_bucketed(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
-                           end_inclusive: bool = True, how: str = "left",
-                           buckets: int = TIME_BUCKETS, span: tuple | None = None) -> DataFrame:
-    """Validity join with the time bucket of ``at`` added to the join key.
-
-    The left dates span ``[lo, hi]`` (given, or one small aggregate); that span is cut
-    into ``buckets`` equal buckets.  Each right interval that meets the span
-    is repeated once per bucket it overlaps (at most ``buckets`` copies,
-    open ends clamped to ``hi``); each left row falls in exactly one bucket.
-    A right version valid at ``at`` overlaps ``at``'s bucket, so every match
-    is found exactly once; the interval test stays as the residual.
+    condition, at every size.  ``period`` = (first, last) date of the left
+    rows, when the parameters say it: right versions outside it are dropped at
+    the scan.  ``bucket`` names a left column made by :func:`time_bucket`;
+    with a period closed on both sides it becomes part of the join key and
+    each right version is repeated once per week of the period it covers, so
+    a key with very many rows is compared week by week in separate tasks.
     """
-    at_c = col_(at)
-    if span is not None and None not in span:
-        lo, hi = P.parse_date(span[0]), P.parse_date(span[1])
-    else:
-        lo, hi = left.agg(F.min(at_c.cast("date")), F.max(at_c.cast("date"))).first()
-    if lo is None:
-        return left.join(right, on & valid_at(begin, end, at_c, end_inclusive), how)
-    width = max(1, -(-((hi - lo).days + 1) // buckets))  # days per bucket
-    b, e = col_(begin), col_(end)
-
-    def bucket_of(d: Column) -> Column:
-        return F.floor(F.datediff(d, F.lit(lo)) / F.lit(width)).cast("int")
-
-    r = right.filter((b.cast("date") <= F.lit(hi)) & (e.isNull() | (e.cast("date") >= F.lit(lo))))
-    first = F.greatest(bucket_of(b.cast("date")), F.lit(0))
-    last = F.least(bucket_of(F.coalesce(e.cast("date"), F.lit(hi))), F.lit(buckets - 1))
-    r = r.withColumn("_vb_r", F.explode(F.sequence(first, last)))
-    lft = left.withColumn("_vb_l", bucket_of(at_c.cast("date")))
-    cond = on & (F.col("_vb_l") == F.col("_vb_r")) & valid_at(begin, end, at_c, end_inclusive)
-    return lft.join(r, cond, how).drop("_vb_l", "_vb_r")
+    lo, hi = (P.parse_date(x) for x in period) if period is not None else (None, None)
+    live = overlaps(begin, end, lo, hi, end_inclusive=True)
+    if live is not None:
+        right = right.filter(live)
+    cond = on & valid_at(begin, end, col_(at), end_inclusive)
+    if bucket is None or lo is None or hi is None:
+        return left.join(right, cond, how)
+    first = time_bucket(F.greatest(col_(begin).cast("date"), F.lit(lo)))
+    last = time_bucket(F.least(F.coalesce(col_(end).cast("date"), F.lit(hi)), F.lit(hi)))
+    # greatest() skips NULLs: a version without a begin is never valid
+    right = right.filter(col_(begin).isNotNull()).withColumn("_week", F.explode(F.sequence(first, last)))
+    return left.join(right, cond & (F.col(bucket) == F.col("_week")), how).drop("_week")
 
 
 def containment_join(left: DataFrame, right: DataFrame, on: Column, inner_begin, inner_end,

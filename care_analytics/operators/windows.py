@@ -3,8 +3,8 @@
 ``latest_*`` keep row number 1 only; Catalyst plans that as a
 ``WindowGroupLimit`` on both sides of the shuffle, so each map task forwards
 at most one row per key and a hot key cannot overload one task.
-``number_within`` gives full running numbers; when one key holds more rows
-than a task should sort alone it switches to ``number_within_spread``.
+``number_within`` gives full running numbers from per-value counts, so a hot
+key is split by its leading order column.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Fixed value: the last day, as which an open end counts.
+LAST_DAY = "9999-12-31"
+
+
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
@@ -24,132 +28,31 @@ def latest_per_key(df: DataFrame, keys, order, tie) -> DataFrame:
 
 
 def latest_open_per_key(df: DataFrame, keys, end, tie) -> DataFrame:
-    """The row with the latest end per key, an open (NULL) end counting as latest."""
+    """The row with the latest end per key, an open (NULL) end counting as the
+    last day there is (so it ties with an explicit 9999-12-31)."""
     e = F.col(end) if isinstance(end, str) else end
-    return latest_per_key(df, keys, [e.isNull().desc(), e.desc()], tie)
-
-
-# Largest group a single task may number on its own before the spread plan
-# is used (rows).
-HOT_GROUP_ROWS = 2_000_000
-
-
-def number_within(df: DataFrame, keys, order, name: str, hot_rows: int | None = HOT_GROUP_ROWS,
-                  sizes_from: tuple[DataFrame, str] | None = None) -> DataFrame:
-    """Running number 1..n per key in ``order`` (apply filters first).
-
-    With ``hot_rows`` set, the largest group is measured first: on
-    ``sizes_from = (stored table, key column)`` when given -- its per-key
-    counts bound the group sizes and the measurement is remembered per
-    session -- else on ``df`` itself (single key).  When some key has more
-    rows than ``hot_rows``, the numbering uses :func:`number_within_spread`
-    so the hot key is split over tasks.  ``hot_rows=None`` always uses the
-    plain window.
-    """
-    from care_analytics.operators.aggregates import largest_group
-
-    if hot_rows is not None and all(isinstance(k, str) for k in keys):
-        if sizes_from is not None:
-            biggest = largest_group(*sizes_from)
-        else:
-            biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if biggest > hot_rows:
-            return number_within_spread(df, list(keys), order, name)
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
-    return df.withColumn(name, F.row_number().over(w))
-
+    return latest_per_key(df, keys, [F.coalesce(e, F.lit(LAST_DAY).cast("date")).desc()], tie)
 
-def _same_key(a, b) -> bool:
-    """Key equality where two NULLs are equal (pandas gives NaN/None/NaT)."""
-    import pandas as pd
-    if pd.isna(a) and pd.isna(b):
-        return True
-    if pd.isna(a) or pd.isna(b):
-        return False
-    return a == b
 
+def number_within(df: DataFrame, keys: list[str], order: list[str], name: str, deep: int = 1) -> DataFrame:
+    """Running number 1..n per key, ascending by ``order`` (NULLs first; apply filters first).
 
-def _local_numbers(keys: list[str], out_name: str):
-    """Per-partition numbering over rows sorted by (keys, order): 1..n per key,
-    continuing across Arrow batches of the same partition."""
-
-    def run(batches):
-        import pandas as pd
-        prev, carried = None, 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(**{out_name: pd.Series([], dtype="int64")})
-                continue
-            same = pd.Series(True, index=pdf.index)
-            for k in keys:
-                col, before = pdf[k], pdf[k].shift()
-                same &= (col == before) | (col.isna() & before.isna())
-            continues = prev is not None and all(_same_key(pdf[k].iat[0], prev[i]) for i, k in enumerate(keys))
-            same.iat[0] = continues
-            group = (~same).cumsum()
-            local = pdf.groupby(group, sort=False).cumcount() + 1
-            first = group.iat[0]
-            if continues:
-                local[group == first] += carried
-            last = group.iat[-1]
-            tail = int((group == last).sum())
-            carried = tail + (carried if (continues and last == first) else 0)
-            prev = tuple(pdf[k].iat[-1] for k in keys)
-            yield pdf.assign(**{out_name: local.astype("int64")})
-
-    return run
-
-
-def number_within_spread(df: DataFrame, keys: list[str], order, name: str,
-                         partitions: int | None = None) -> DataFrame:
-    """``row_number()`` per key that stays balanced when one key holds a large
-    share of the rows.
-
-    1. Range-partition on (key, order): the bounds are sampled on the full
-       sort key, so a hot key is spread over several tasks; each partition
-       is sorted and numbered locally (Arrow batches, bounded memory).  This
-       pass is written, with its partition id and local number as columns,
-       to the session's checkpoint folder, so later steps never depend on
-       the range bounds being sampled the same way twice.
-    2. Only the first key of a partition can continue from earlier
-       partitions.  Its offset (its rows in earlier partitions) comes from
-       counts of those boundary keys: at most one offset row per partition,
-       a proven bound, so it is broadcast.
-
-    The full data is shuffled once (the range exchange) and written once.
+    One plan at every size: rows are numbered inside (key, first ``deep``
+    order columns), and the rows of a key with smaller values are added from a
+    running sum of their counts.  A key that holds a large share of all rows
+    is so split by its order values and never sorted by one task; choose
+    ``deep`` so that key and leading order columns together are not hot.
     """
-    import uuid
-
-    from pyspark.sql import types as Ty
-
-    from care_analytics.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [*[F.col(k).asc_nulls_first() for k in keys], *_cols(order)]
-    ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    out_schema = Ty.StructType([*ranged.schema.fields, Ty.StructField("_local", Ty.LongType(), False)])
-    numbered = ranged.mapInPandas(_local_numbers(keys, "_local"), out_schema)
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/number-within-{uuid.uuid4().hex}"
-    numbered.write.parquet(path)
-    local = spark.read.parquet(path)
-
-    key_struct = F.struct(*[F.col(k) for k in keys])
-    firsts = (local.groupBy("_pid").agg(F.min(key_struct).alias("_k"))
-              .select(*[F.col("_k").getField(k).alias(f"_b_{k}") for k in keys]).distinct())
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
-    counts = (local.join(F.broadcast(firsts), cond)  # <= one boundary key per partition
-              .groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = [*keys, *order[:deep]]
+    counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order[:deep]])
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .filter(F.col("_off") > 0)
-               .select(F.col("_pid").alias("_o_pid"), *[F.col(k).alias(f"_o_{k}") for k in keys], "_off"))
-    join_cond = F.col("_pid") == F.col("_o_pid")
-    for k in keys:
-        join_cond = join_cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    out = local.join(F.broadcast(offsets), join_cond, "left")  # <= one row per partition
-    return (out.withColumn(name, (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-            .drop("_pid", "_local", "_o_pid", "_off", *[f"_o_{k}" for k in keys]))
+               .select(*[F.col(k).alias(f"_o_{k}") for k in part], "_off"))
+    same = F.lit(True)
+    for k in part:
+        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    inside = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_first() for o in order[deep:]] or [F.lit(1)])
+    return (df.withColumn("_local", F.row_number().over(inside)).join(offsets, same)
+            .withColumn(name, F.col("_local").cast("bigint") + F.col("_off"))
+            .drop("_local", "_off", *[f"_o_{k}" for k in part]))

@@ -204,7 +204,7 @@ FROM fx_tariffs dt LEFT JOIN fx_products p ON p.objectId = dt.productObjectId
 LEFT JOIN fx_finance_types ft ON ft.objectId = p.financeTypeObjectId""")
 def left_lookup(t):
     d, p = t.declaration_tariffs.alias("dt"), t.products.alias("p")
-    ft = J.broadcast_if_small(t.finance_types).alias("ft")
+    ft = t.finance_types.alias("ft")
     out = J.lookup(d, p, c("p.objectId") == c("dt.productObjectId"))
     out = J.lookup(out, ft, c("ft.objectId") == c("p.financeTypeObjectId"))
     return out.select(c("dt.objectId").alias("objectId"), c("p.code").alias("product_code"),
@@ -216,7 +216,7 @@ SELECT r.objectId, t.name AS relation_type FROM fx_relations r
 JOIN fx_relation_types t ON t.objectId = r.clientContactRelationTypeId""")
 def inner_equi(t):
     r = t.relations.alias("r")
-    ty = J.broadcast_if_small(t.nexus_client_contact_relation_types).alias("ty")
+    ty = t.nexus_client_contact_relation_types.alias("ty")
     return (J.lookup(r, ty, c("ty.objectId") == c("r.clientContactRelationTypeId"), how="inner")
             .select(c("r.objectId").alias("objectId"), c("ty.name").alias("relation_type")))
 
@@ -228,8 +228,7 @@ FROM fx_shift_assignments msa LEFT JOIN fx_team_assignments ta ON ta.employeeObj
 def validity_join_inclusive(t):
     msa, ta = t.moves_shift_assignments.alias("msa"), t.team_assignments.alias("ta")
     out = T.validity_join(msa, ta, c("ta.employeeObjectId") == c("msa.employee_id"), c("msa.date"),
-                          "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
-                          hot_probe=t.team_assignments)
+                          "ta.beginDate", "ta.endDate", end_inclusive=True)
     return out.select(c("msa.objectId").alias("objectId"), c("ta.objectId").alias("team_assignment_id"),
                       c("ta.teamObjectId").alias("teamObjectId"))
 
@@ -241,8 +240,7 @@ FROM fx_shift_assignments msa LEFT JOIN fx_shifts ms ON ms.timeline_id = msa.tim
 def validity_join_half_open(t):
     msa, ms = t.moves_shift_assignments.alias("msa"), t.moves_shifts.alias("ms")
     out = T.validity_join(msa, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), c("msa.date"),
-                          "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
-                          hot_probe=t.moves_shifts)
+                          "ms.valid_from", "ms.valid_to", end_inclusive=False)
     return out.select(c("msa.objectId").alias("objectId"), c("ms.objectId").alias("shift_id"),
                       c("ms.description").alias("description"))
 
@@ -265,7 +263,7 @@ FROM fx_document_groups deg LEFT JOIN fx_expertise_groups eg ON eg.objectId = de
   AND (eg.endDate IS NULL OR eg.endDate > TIMESTAMP '1998-09-01 00:00:00')""")
 def left_join_filtered_right(t):
     deg = t.document_expertise_groups.alias("deg")
-    eg = FL.where(J.broadcast_if_small(t.expertise_groups).alias("eg"),
+    eg = FL.where(t.expertise_groups.alias("eg"),
                   T.valid_at("eg.beginDate", "eg.endDate", D, end_inclusive=False, unit="moment"))
     return (J.lookup(deg, eg, c("eg.objectId") == c("deg.expertiseGroupObjectId"))
             .select(c("deg.documentObjectId").alias("documentObjectId"),
@@ -278,7 +276,7 @@ SELECT cl.objectId, cl.name FROM fx_clients cl
 WHERE NOT EXISTS (SELECT 1 FROM fx_relations r JOIN fx_relation_types t ON t.objectId = r.clientContactRelationTypeId
   WHERE r.clientObjectId = cl.objectId AND (t.name ILIKE '%eerste%' OR t.name ILIKE '%tweede%'))""")
 def anti_join_patterns(t):
-    ty = FL.where(J.broadcast_if_small(t.nexus_client_contact_relation_types).alias("ty"),
+    ty = FL.where(t.nexus_client_contact_relation_types.alias("ty"),
                   FL.like_any("ty.name", "%eerste%,%tweede%"))
     r = t.relations.alias("r")
     related = r.join(ty, c("ty.objectId") == c("r.clientContactRelationTypeId")).select(
@@ -318,7 +316,7 @@ def multi_bridge_fanout(t):
 
 
 def _trajectory_forms(t):
-    j, h = t.cbsbj_jeugdhulps.alias("j"), J.broadcast_if_small(t.cbsbj_hulpvormen).alias("h")
+    j, h = t.cbsbj_jeugdhulps.alias("j"), t.cbsbj_hulpvormen.alias("h")
     return j.join(h, c("h.code") == c("j.hulpvorm"), "left").select(
         c("j.clientObjectId").alias("clientObjectId"), c("h.description").alias("description"))
 
@@ -356,7 +354,7 @@ WHERE lower(la.locationType) = 'main'""")
 def costcentre_chain(t):
     la = FL.where(t.location_assignments.alias("la"), FL.ci_eq("la.locationType", "main"))
     cca = t.costcenter_assignments.alias("cca")
-    cc = J.broadcast_if_small(t.costcenters).alias("cc")
+    cc = t.costcenters.alias("cc")
     out = T.containment_join(la, cca, c("cca.unitObjectId") == c("la.locationObjectId"),
                              "la.beginDate", "la.endDate", "cca.beginDate", "cca.endDate")
     out = T.containment_join(out, cc, c("cc.objectId") == c("cca.costcenterObjectId"),
@@ -384,11 +382,10 @@ def latest_pair_join(t):
 
 # -- aggregation --------------------------------------------------------------
 @register("group_sum", """
-SELECT expenseTypeObjectId, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
+SELECT expenseTypeObjectId, CAST(SUM(amount) AS DECIMAL(38,4)) AS amount
 FROM fx_expenses GROUP BY expenseTypeObjectId""")
 def group_sum(t):
-    out = A.group_sum(t.expenses, ["expenseTypeObjectId"], "amount", "amount", decimal=(18, 2))
-    return out.withColumn("amount", c("amount").cast("decimal(38,2)"))
+    return A.group_sum(t.expenses, ["expenseTypeObjectId"], "amount", "amount")
 
 
 @register("group_by_expressions", """
@@ -417,7 +414,7 @@ def count_distinct_having(t):
 def _result_scores(t):
     sr = t.survey_results.select(c("objectId").alias("rid"))
     sa = t.survey_answers.alias("sa")
-    sad = J.broadcast_if_small(t.survey_answer_definitions).alias("sad")
+    sad = t.survey_answer_definitions.alias("sad")
     scored = sa.join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left").select(
         c("sa.surveyResultObjectId").alias("_r"), c("sad.score").alias("score"))
     return sr.join(scored, c("_r") == c("rid"), "left").select("rid", "score")
@@ -426,7 +423,7 @@ def _result_scores(t):
 def _date_answers(t):
     sa = t.survey_answers.filter(c("text").isNotNull()).alias("sa")
     sq = t.survey_questions.filter(patterns.like(c("text"), "%Datum%")).select(c("objectId").alias("_q"))
-    return sa.join(J.broadcast_if_small(sq, bound_by=t.survey_questions), c("_q") == c("sa.questionObjectId")).select(
+    return sa.join(sq, c("_q") == c("sa.questionObjectId")).select(
         c("sa.surveyResultObjectId").alias("rid"))
 
 
@@ -485,8 +482,8 @@ def number_within_group(t):
     joined = sa.join(sq, c("sq.objectId") == c("sa.questionObjectId"), "left").select(
         c("sa.objectId").alias("objectId"), c("sa.surveyResultObjectId").alias("rid"),
         c("sq.objectId").alias("qid"))
-    out = W.number_within(joined, ["rid"], [c("qid").asc_nulls_first(), c("objectId").asc()], "seq")
-    return out.select("objectId", c("seq").cast("bigint").alias("seq"))
+    out = W.number_within(joined, ["rid"], ["qid", "objectId"], "seq")
+    return out.select("objectId", "seq")
 
 
 # -- scalar functions ---------------------------------------------------------
@@ -499,7 +496,7 @@ LEFT JOIN fx_survey_questions sq ON sq.objectId = sa.questionObjectId
 LEFT JOIN fx_survey_answer_definitions sad ON sad.objectId = sa.answerDefinitionObjectId""")
 def answer_text(t):
     sa, sq = t.survey_answers.alias("sa"), t.survey_questions.alias("sq")
-    sad = J.broadcast_if_small(t.survey_answer_definitions).alias("sad")
+    sad = t.survey_answer_definitions.alias("sad")
     out = (sa.join(sq, c("sq.objectId") == c("sa.questionObjectId"), "left")
            .join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left"))
     return out.select(c("sa.objectId").alias("objectId"),
@@ -531,13 +528,13 @@ _MIN = "date_diff('minute', TIME '00:00:00', CAST({} AS TIME))"
 
 
 @register("net_shift_hours", f"""
-SELECT objectId, round(CAST(
+SELECT objectId, CAST(CAST(
   (CASE WHEN stop_time < start_time THEN 1440 - {_MIN.format('start_time')} + {_MIN.format('stop_time')}
         ELSE {_MIN.format('stop_time')} - {_MIN.format('start_time')} END)
   - (CASE WHEN start_break_time IS NULL THEN 0
           WHEN start_break_time > stop_break_time
           THEN {_MIN.format('stop_break_time')} - {_MIN.format('start_break_time')} + 1440
-          ELSE {_MIN.format('stop_break_time')} - {_MIN.format('start_break_time')} END) AS DOUBLE) / 60, 4) AS dienstduur
+          ELSE {_MIN.format('stop_break_time')} - {_MIN.format('start_break_time')} END) AS DOUBLE) / 60 AS DECIMAL(18,6)) AS dienstduur
 FROM fx_shift_assignments""")
 def net_shift_hours(t):
     return t.moves_shift_assignments.select("objectId", S.shift_hours(
@@ -585,7 +582,7 @@ SELECT dt.objectId, CASE lower(u.description)
 FROM fx_tariffs dt LEFT JOIN fx_tariff_units u ON u.code = dt.tariffUnit""")
 def unit_code_map(t):
     d = t.declaration_tariffs.alias("dt")
-    u = J.broadcast_if_small(t.lst_export_units).alias("u")
+    u = t.lst_export_units.alias("u")
     return (J.lookup(d, u, c("u.code") == c("dt.tariffUnit"))
             .select(c("dt.objectId").alias("objectId"), S.unit_code("u.description").alias("priceUnit")))
 
@@ -603,8 +600,8 @@ FROM fx_survey_answers sa JOIN fx_survey_questions sq ON sq.objectId = sa.questi
 WHERE sq.text ILIKE '%Datum%' AND sa.text IS NOT NULL""")
 def parse_dutch_date(t):
     sa = t.survey_answers.filter(c("text").isNotNull()).alias("sa")
-    sq = J.broadcast_if_small(t.survey_questions.filter(patterns.like(c("text"), "%Datum%"))
-                              .select(c("objectId").alias("_q")), bound_by=t.survey_questions)
+    sq = (t.survey_questions.filter(patterns.like(c("text"), "%Datum%"))
+          .select(c("objectId").alias("_q")))
     out = sa.join(sq, c("_q") == c("sa.questionObjectId"))
     return out.select(c("sa.objectId").alias("objectId"), c("sa.text").alias("text"),
                       S.compact_date(S.parse_dutch_date("sa.text")).alias("datum"))

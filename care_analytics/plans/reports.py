@@ -24,11 +24,6 @@ from care_analytics.sources.catalog import Tables
 c = F.col
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Code lists and other dimensions: broadcast after a size check."""
-    return J.broadcast_if_small(df)
-
-
 # ---------------------------------------------------------------------------
 # R01 clients in care on a cost centre without a contact of the given types
 # ---------------------------------------------------------------------------
@@ -49,8 +44,8 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
         c("clientObjectId").alias("_la_client"), c("locationObjectId").alias("_loc"))
     la = J.with_related(la, ca, c("_client") == c("_la_client"))
     cl = t.clients.alias("c")
-    cca = small(t.costcenter_assignments).alias("cca")
-    cc = small(t.costcenters).alias("cc")
+    cca = t.costcenter_assignments.alias("cca")
+    cc = t.costcenters.alias("cc")
 
     base = (la.join(cl, c("c.objectId") == c("_la_client"), "left")
             .join(cca, c("cca.unitObjectId") == c("_loc"), "left")
@@ -65,7 +60,7 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
     )
 
     rel = t.relations.alias("r")
-    types = small(t.nexus_client_contact_relation_types).alias("nccrt")
+    types = t.nexus_client_contact_relation_types.alias("nccrt")
     types = FL.where(types, FL.like_any("nccrt.name", relation, empty_is_none=True))
     related = (rel.join(types, c("r.clientContactRelationTypeId") == c("nccrt.objectId"))
                .select(c("r.clientObjectId").alias("_cid")))
@@ -79,49 +74,45 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
 # ---------------------------------------------------------------------------
 # R02 rostered shifts with team, expertise, contract and net hours
 # ---------------------------------------------------------------------------
-def r02_rostered_shifts(t: Tables, start, end, hot_rows: int | None = T.HOT_KEY_ROWS) -> DataFrame:
-    """``hot_rows``: right-side key size above which a validity join is split
-    by time bucket."""
-    msa = FL.where(t.moves_shift_assignments.alias("msa"),
+def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
+    """Versions that end before or begin after the period never reach a join;
+    in a closed period the employee joins also split by week."""
+    msa = FL.where(t.moves_shift_assignments.withColumn("_at_week", T.time_bucket("date")).alias("msa"),
                    c("msa.discarded_at").isNull(),
                    FL.in_period("msa.date", start, end))
-    mu = small(t.moves_units).alias("mu")
-    mup = small(t.moves_units).alias("mup")
-    ms = small(t.moves_shifts).alias("ms")
-    mep = small(t.moves_expertise_profiles).alias("mep")
+    mu = t.moves_units.alias("mu")
+    mup = t.moves_units.alias("mup")
+    ms = t.moves_shifts.alias("ms")
+    mep = t.moves_expertise_profiles.alias("mep")
     me = FL.where(t.moves_employees.alias("me"), FL.not_flag("me.dummy", 1))
     e = t.employees.alias("e")
     ta = t.team_assignments.alias("ta")
-    tm = small(t.teams).alias("t")
+    tm = t.teams.alias("t")
     epa = t.expertise_profile_assignments.alias("epa")
-    ep = small(t.expertise_profiles).alias("ep")
+    ep = t.expertise_profiles.alias("ep")
     co = t.contracts.alias("co")
-    ct = small(t.contract_types).alias("ct")
+    ct = t.contract_types.alias("ct")
 
     at = c("msa.date")
-    # the shift dates lie in the report period: the span of a bucketed join
     period = (start, end)
+    by_week = {"period": period, "bucket": "_at_week"}
     df = (msa.join(me, c("me.objectId") == c("msa.employee_id"), "inner")
           .join(mu, c("mu.objectId") == c("msa.unit_id"), "left")
           .join(mup, c("mup.objectId") == c("mu.parent_unit_id"), "left"))
     # shift version valid on the day; valid_to is the first day of the next version
     df = T.validity_join(df, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), at,
-                         "ms.valid_from", "ms.valid_to", end_inclusive=False, right_key="timeline_id",
-                         hot_probe=t.moves_shifts, span=period, hot_rows=hot_rows)
+                         "ms.valid_from", "ms.valid_to", end_inclusive=False, period=period)
     df = df.join(mep, c("mep.objectId") == c("ms.expertise_profile_id"), "left")
-    # The three validity joins all key on the employee: done back to back so
-    # the rows are shuffled by employee once; each lookup below only reads
+    # The three validity joins all key on employee and week: done back to back
+    # so the rows are shuffled for them once; each lookup below only reads
     # columns of the join before it, so left joins may be reordered this way.
     df = df.join(e, c("e.objectId") == c("me.external_id"), "left")
     df = T.validity_join(df, ta, c("ta.employeeObjectId") == c("e.objectId"), at,
-                         "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.team_assignments, span=period, hot_rows=hot_rows)
+                         "ta.beginDate", "ta.endDate", end_inclusive=True, **by_week)
     df = T.validity_join(df, epa, c("epa.employeeObjectId") == c("e.objectId"), at,
-                         "epa.startTime", "epa.endTime", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.expertise_profile_assignments, span=period, hot_rows=hot_rows)
+                         "epa.startTime", "epa.endTime", end_inclusive=True, **by_week)
     df = T.validity_join(df, co, c("co.employeeObjectId") == c("e.objectId"), at,
-                         "co.beginDate", "co.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.contracts, span=period, hot_rows=hot_rows)
+                         "co.beginDate", "co.endDate", end_inclusive=True, **by_week)
     df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
     df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
@@ -157,23 +148,24 @@ def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -
     """Note: the cost-centre assignment has no date test in the source, so an
     amount counts once per assignment of its cluster."""
     # Pre-aggregate: the report keys are functions of (employee, type,
-    # cluster) and the cost-centre rows, so expenses are summed per (employee,
-    # type, cluster) before any join (exact decimals; a hot employee is
+    # cluster) and the cost-centre rows, so expenses of the wanted types are
+    # summed per (employee, type, cluster) before any join (a hot employee is
     # spread by type and cluster).  The joins then move partial sums, and the
     # cost-centre fan-out multiplies each partial sum as it did each row.
-    ex = (FL.where(t.expenses, FL.in_period("expenseDate", begin, end))
-          .groupBy("employeeObjectId", "expenseTypeObjectId", "clusterObjectId")
-          .agg(F.sum(c("amount").cast("decimal(18,2)")).alias("amount"))
-          .alias("exp"))
+    wanted = FL.like_any("name", expense)
+    ex = FL.where(t.expenses, FL.in_period("expenseDate", begin, end))
+    if wanted is not None:
+        types = t.expense_types.filter(wanted).select(c("objectId").alias("_type"))
+        ex = J.with_related(ex, types, c("expenseTypeObjectId") == c("_type"))
+    ex = A.group_sum(ex, ["employeeObjectId", "expenseTypeObjectId", "clusterObjectId"], "amount", "amount").alias("exp")
     empl = t.employees.alias("empl")
-    et = small(t.expense_types).alias("et")
-    cca = small(t.costcenter_assignments).alias("cca")
-    cc = small(t.costcenters).alias("cc")
+    et = t.expense_types.alias("et")
+    cca = t.costcenter_assignments.alias("cca")
+    cc = t.costcenters.alias("cc")
     df = (ex.join(empl, c("empl.objectId") == c("exp.employeeObjectId"), "left")
           .join(et, c("et.objectId") == c("exp.expenseTypeObjectId"), "left")
           .join(cca, c("cca.clusterObjectId") == c("exp.clusterObjectId"), "left")
           .join(cc, c("cca.costcenterObjectId") == c("cc.objectId"), "left"))
-    df = FL.where(df, FL.like_any("et.name", expense))
     keyed = df.select(
         c("exp.employeeObjectId").alias("employeeId"),
         c("empl.identificationNo").alias("employeeNo"),
@@ -187,8 +179,7 @@ def r03_expense_totals(t: Tables, begin, end, expense="%fiets-lease%,%thuis%") -
     )
     keys = ["employeeId", "employeeNo", "contractNo", "employeeName", "costscenterNo",
             "costcenter", "expenseType", "expense"]
-    out = A.group_sum(keyed, keys, "amount", "amount")
-    return out.withColumn("amount", c("amount").cast("decimal(38,2)"))
+    return A.group_sum(keyed, keys, "amount", "amount")
 
 
 # ---------------------------------------------------------------------------
@@ -204,7 +195,7 @@ def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFram
         sa = J.with_related(sa, restrict_to.select(c("objectId").alias("_sel")),
                             c("surveyResultObjectId") == c("_sel"))
     sa = sa.alias("sa")
-    sad = small(t.survey_answer_definitions).alias("sad")
+    sad = t.survey_answer_definitions.alias("sad")
     is_date = patterns.like(c("text"), "%Datum%")
     # the source's LIKE on this label has no wildcard: an equality
     is_time = FL.ci_eq("text", "&amp;Tijdstip incident&amp;")
@@ -213,8 +204,7 @@ def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFram
                .select(c("objectId").alias("_qid"), is_date.alias("_is_date"), is_time.alias("_is_time")))
     answered = sa["text"].isNotNull()
     return (sa.join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left")
-            .join(J.broadcast_if_small(flagged, bound_by=t.survey_questions),
-                  c("_qid") == c("sa.questionObjectId"), "left")
+            .join(flagged, c("_qid") == c("sa.questionObjectId"), "left")
             .groupBy(c("sa.surveyResultObjectId").alias("_rid"))
             .agg(F.sum("sad.score").alias("_score"),
                  F.count(F.when(answered & c("_is_date"), 1)).alias("_n_date"),
@@ -227,26 +217,15 @@ def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
     sr = results.select(c("objectId").alias("_rid"), c("employeeObjectId").alias("_emp"),
                         c("createdAt").alias("_at"))
     ta = t.team_assignments.alias("ta")
-    cca = small(t.costcenter_assignments).alias("ccam")
-    cc = small(t.costcenters).alias("ccm")
+    cca = t.costcenter_assignments.alias("ccam")
+    cc = t.costcenters.alias("ccm")
     df = T.validity_join(sr, ta, c("ta.employeeObjectId") == c("_emp"), c("_at"),
-                         "ta.beginDate", "ta.endDate", end_inclusive=True, right_key="employeeObjectId",
-                         hot_probe=t.team_assignments)
+                         "ta.beginDate", "ta.endDate", end_inclusive=True)
     df = T.containment_join(df, cca, c("ccam.clusterObjectId") == c("ta.teamObjectId"),
                             "ta.beginDate", "ta.endDate", "ccam.beginDate", "ccam.endDate")
     df = T.containment_join(df, cc, c("ccm.objectId") == c("ccam.costcenterObjectId"),
                             "ccam.beginDate", "ccam.endDate", "ccm.beginDate", "ccm.endDate")
-    # the rows are partitioned by employee here: the employee lookup costs no
-    # shuffle of this side, and its columns ride along to the result
-    e = t.employees.alias("e")
-    df = df.join(e, c("e.objectId") == c("_emp"), "left")
-    # partitioned by result before counting per label, so the later join on
-    # the result id reuses the partitioning
-    keys = ["_rid", "_e_id", "_e_no", "_e_init", "_e_name", "_m_no", "_m_name"]
-    return (df.select("_rid", c("e.objectId").alias("_e_id"), c("e.identificationNo").alias("_e_no"),
-                      c("e.initials").alias("_e_init"), c("e.name").alias("_e_name"),
-                      c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
-            .repartition("_rid").groupBy(*keys)
+    return (df.groupBy("_rid", c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
             .agg(F.count(F.lit(1)).alias("_n_m")))
 
 
@@ -255,23 +234,15 @@ def _client_costcentres(t: Tables, results: DataFrame) -> DataFrame:
     sr = results.select(c("objectId").alias("_rid"), c("clientObjectId").alias("_cli"),
                         c("createdAt").alias("_at"))
     la = FL.where(t.location_assignments.alias("la"), FL.ci_eq("la.locationType", "main"))
-    cca = small(t.costcenter_assignments).alias("ccac")
-    cc = small(t.costcenters).alias("ccc")
+    cca = t.costcenter_assignments.alias("ccac")
+    cc = t.costcenters.alias("ccc")
     df = T.validity_join(sr, la, c("la.clientObjectId") == c("_cli"), c("_at"),
-                         "la.beginDate", "la.endDate", end_inclusive=False, right_key="clientObjectId",
-                         hot_probe=t.location_assignments)
+                         "la.beginDate", "la.endDate", end_inclusive=False)
     df = T.containment_join(df, cca, c("ccac.unitObjectId") == c("la.locationObjectId"),
                             "la.beginDate", "la.endDate", "ccac.beginDate", "ccac.endDate")
     df = T.containment_join(df, cc, c("ccc.objectId") == c("ccac.costcenterObjectId"),
                             "ccac.beginDate", "ccac.endDate", "ccc.beginDate", "ccc.endDate")
-    # partitioned by client here: the client lookup rides along (see above)
-    cl = t.clients.alias("c")
-    df = df.join(cl, c("c.objectId") == c("_cli"), "left")
-    keys = ["_rid", "_cl_id", "_cl_no", "_cl_init", "_cl_name", "_c_no", "_c_name"]
-    return (df.select("_rid", c("c.objectId").alias("_cl_id"), c("c.identificationNo").alias("_cl_no"),
-                      c("c.initials").alias("_cl_init"), c("c.name").alias("_cl_name"),
-                      c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
-            .repartition("_rid").groupBy(*keys)
+    return (df.groupBy("_rid", c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
             .agg(F.count(F.lit(1)).alias("_n_c")))
 
 
@@ -285,7 +256,7 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     are multiplied.  ``dedupe=True`` gives the plain score sum instead.
     """
     sr = t.survey_results.alias("sr")
-    s = small(t.surveys).alias("s")
+    s = t.surveys.alias("s")
     base = sr.join(s, c("s.objectId") == c("sr.surveyObjectId"), "left")
     title = FL.like_any("s.title", vragenlijst, trim=True)
     base = FL.where(base, title)
@@ -297,29 +268,24 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     emp_cc = _employee_costcentres(t, results)
     cli_cc = _client_costcentres(t, results)
 
-    # every per-result branch joins on the result id (one partitioning); the
-    # client and employee columns come with the cost-centre branches
-    df = (base.join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
+    # every per-result branch is aggregated first and joins on the result id
+    # (one partitioning); people are looked up once per result
+    df = (base.join(t.clients.alias("cl"), c("cl.objectId") == c("sr.clientObjectId"), "left")
+          .join(t.employees.alias("e"), c("e.objectId") == c("sr.employeeObjectId"), "left")
+          .join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
           .join(emp_cc, c("sr.objectId") == emp_cc["_rid"], "left").drop("_rid")
           .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid"))
 
-    if dedupe:
-        total = c("_score")
-    else:
-        # a LEFT JOIN without match still yields one row: factor at least 1
-        fan = F.lit(1)
-        for n in ("_n_date", "_n_time", "_n_m", "_n_c"):
-            fan = fan * F.greatest(F.coalesce(c(n), F.lit(0)), F.lit(1))
-        total = c("_score") * fan
+    total = c("_score") if dedupe else c("_score") * A.fan_factor(["_n_date", "_n_time", "_n_m", "_n_c"])
     filled = F.coalesce(c("sr.completedAt"), c("sr.createdAt"))
     return df.select(
         c("sr.objectId").alias("Ingevulde_Vragenlijst"),
-        c("_cl_id").alias("ClientID"),
-        c("_cl_no").alias("Clientnummer"),
-        S.concat_ws_labels(" ", "_cl_init", "_cl_name").alias("Clientnaam"),
-        c("_e_id").alias("MedewerkerID"),
-        c("_e_no").alias("Medewerkernummer"),
-        S.concat_ws_labels(" ", "_e_init", "_e_name").alias("Medewerkernaam"),
+        c("cl.objectId").alias("ClientID"),
+        c("cl.identificationNo").alias("Clientnummer"),
+        S.concat_ws_labels(" ", "cl.initials", "cl.name").alias("Clientnaam"),
+        c("e.objectId").alias("MedewerkerID"),
+        c("e.identificationNo").alias("Medewerkernummer"),
+        S.concat_ws_labels(" ", "e.initials", "e.name").alias("Medewerkernaam"),
         S.concat_ws_labels(" ", "_m_no", "_m_name").alias("Kostenplaats_Mdw"),
         S.concat_ws_labels(" ", "_c_no", "_c_name").alias("Kostenplaats_Client"),
         S.compact_date(filled).alias("Ingevuld_datum"),
@@ -327,7 +293,7 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
         F.when(c("sr.completedAt").isNull(), F.lit("0")).otherwise(F.lit("1")).alias("VragenlijstVoltooid"),
         c("s.title").alias("Vragenlijst"),
         S.truncate_text("s.description", 99).alias("Toelichting_Titel"),
-        total.cast("bigint").alias("TotaalScore"),
+        total.alias("TotaalScore"),
         S.yes_no("s.active").alias("Vragenlijst_In_Gebruik"),
         S.yes_no("s.useStrictEditAuthorization").alias("DeskundigheidRelevantVoorGebruik"),
         S.yes_no("s.useWorkflow").alias("BevatProcesstapBespreken"),
@@ -340,14 +306,14 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
 # ---------------------------------------------------------------------------
 # R05 questions and answers of filled-in surveys, numbered per survey
 # ---------------------------------------------------------------------------
-def r05_survey_answers(t: Tables, vragenlijst="", hot_rows: int | None = W.HOT_GROUP_ROWS) -> DataFrame:
+def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
     """The id filter applies to the filled-in survey (result) id; '' and NULL
     mean no filter; spaces are removed and empty tokens dropped.  Numbering
     happens after the filters, as the SQL evaluation order implies."""
     sr = t.survey_results.select(c("objectId").alias("_rid"))
     sa = t.survey_answers.alias("sa")
-    sad = small(t.survey_answer_definitions).alias("sad")
-    sq = small(t.survey_questions).alias("sq")
+    sad = t.survey_answer_definitions.alias("sad")
+    sq = t.survey_questions.alias("sq")
     ids = FL.in_tokens("sa.surveyResultObjectId", vragenlijst, numeric=True)
     sa = FL.where(sa, ids)
     df = (J.with_related(sa, sr, c("sa.surveyResultObjectId") == c("_rid"))
@@ -364,13 +330,11 @@ def r05_survey_answers(t: Tables, vragenlijst="", hot_rows: int | None = W.HOT_G
         S.answer_kind("sq.answertype").alias("Antwoord_Type"),
         c("sad.score").alias("Score_Meerkeuze"),
     )
-    # a survey result holding a large share of all answers is numbered by
-    # the spread plan (see number_within)
-    df = W.number_within(df, ["_rid"], [c("_qid").asc_nulls_first(), c("_aid").asc()], "_seq",
-                         hot_rows=hot_rows, sizes_from=(t.survey_answers, "surveyResultObjectId"))
+    # a survey result with a large share of all answers is split by question
+    df = W.number_within(df, ["_rid"], ["_qid", "_aid"], "_seq")
     return df.select(
         c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
-        c("_seq").cast("bigint").alias("Sorteervolgorde_Vraag"),
+        c("_seq").alias("Sorteervolgorde_Vraag"),
         "Vraag", "Aanvullende_Info_Bij_Vraag", "Antwoord", "Antwoord_Type", "Score_Meerkeuze",
         F.lit(S.ANSWER_SOURCE).alias("Bron"),
     )
@@ -382,22 +346,22 @@ def r05_survey_answers(t: Tables, vragenlijst="", hot_rows: int | None = W.HOT_G
 def r06_multi_client_events(t: Tables, as_of) -> DataFrame:
     """Follows the source code: events without a location stay (LEFT JOIN),
     and an event with several locations gives several rows."""
-    inv = t.agenda_invitations.alias("i")
-    ol = small(t.onsagenda_locations).alias("ol")
-    oc = small(t.onsagenda_clients).alias("oc")
-    location_invites = (inv.join(ol, c("ol.objectId") == c("i.inviteeObjectId"))
-                        .select(c("i.eventObjectId").alias("_ev"),
-                                c("ol.externalObjectId").alias("locationExternalObjectId"))
-                        .distinct())
-    clients = (inv.join(oc, c("oc.objectId") == c("i.inviteeObjectId"))
-               .select(c("i.eventObjectId").alias("_evc"), c("oc.objectId").alias("_client")))
-    counts = A.groups_with_many(clients, "_evc", "_client", 1, "aantal_clienten")
-
     ev = FL.where(t.agenda_events.alias("e"),
                   T.end_after("e.validTo", P.parse_moment(as_of), end_inclusive=True))
-    loc = small(t.locations).alias("l")
-    df = (ev.join(counts, c("_evc") == c("e.objectId"), "inner")
-          .join(location_invites, c("_ev") == c("e.objectId"), "left")
+    # only invitations of still-active events, resolved in one pass
+    inv = J.with_related(t.agenda_invitations.select("eventObjectId", "inviteeObjectId"),
+                         ev.select(c("e.objectId").alias("_active")), c("eventObjectId") == c("_active"))
+    ol, oc = t.onsagenda_locations, t.onsagenda_clients
+    invited = J.polymorphic_bridge(inv, "inviteeObjectId", [
+        ("location", ol, "objectId", {"external": ol["externalObjectId"]}), ("client", oc, "objectId", {})])
+    per_event = (invited.groupBy(c("eventObjectId").alias("_ev"))
+                 .agg(F.countDistinct(F.when(c("invitee_kind") == "client", c("inviteeObjectId"))).alias("aantal_clienten"),
+                      F.collect_set(F.when(c("invitee_kind") == "location", F.struct("external"))).alias("_places"))
+                 .filter(c("aantal_clienten") > 1)
+                 .select("_ev", "aantal_clienten", F.explode_outer("_places").alias("_place"))
+                 .withColumn("locationExternalObjectId", c("_place.external")))
+    loc = t.locations.alias("l")
+    df = (ev.join(per_event, c("_ev") == c("e.objectId"))
           .join(loc, c("l.objectId") == c("locationExternalObjectId"), "left"))
     return (df.select(
         c("e.objectId").alias("eventObjectId"),
@@ -417,17 +381,19 @@ def r06_multi_client_events(t: Tables, as_of) -> DataFrame:
 # R07 pharmacies with their newest valid address
 # ---------------------------------------------------------------------------
 def r07_pharmacies_latest_address(t: Tables, as_of, category="Apothekers") -> DataFrame:
-    cpa = t.care_provider_addresses.alias("cpa")
+    cp = t.care_providers.alias("cp")
+    cpc = FL.where(t.care_provider_categories.alias("cpc"), FL.ci_eq("cpc.name", category))
+    cp = cp.join(cpc, c("cpc.objectId") == c("cp.organisationCategoryId"))
+    # only pharmacies' addresses are ranked
+    cpa = J.with_related(t.care_provider_addresses.alias("cpa"), cp.select(c("cp.objectId").alias("_cp")),
+                         c("cpa.careProviderObjectId") == c("_cp"))
     a = t.addresses.alias("a")
     addr = FL.where(a, FL.not_blank("a.street"),
                     T.valid_at("a.beginDate", "a.endDate", as_of, end_inclusive=True, unit="moment"))
     addr = cpa.join(addr, c("a.objectId") == c("cpa.addressObjectId"))
     addr = W.latest_per_key(addr, [c("cpa.careProviderObjectId")], [c("a.createdAt").desc()],
                             [c("a.objectId").desc()])
-    cp = t.care_providers.alias("cp")
-    cpc = FL.where(small(t.care_provider_categories).alias("cpc"), FL.ci_eq("cpc.name", category))
-    df = (cp.join(cpc, c("cpc.objectId") == c("cp.organisationCategoryId"))
-          .join(addr, c("cpa.careProviderObjectId") == c("cp.objectId"), "left"))
+    df = cp.join(addr, c("cpa.careProviderObjectId") == c("cp.objectId"), "left")
     return df.select(
         c("cp.fullName").alias("naam"),
         c("a.street").alias("straatnaam"),
@@ -446,8 +412,8 @@ def r07_pharmacies_latest_address(t: Tables, as_of, category="Apothekers") -> Da
 def r08_recent_guardians(t: Tables, as_of, relation_type="Bewindvoerder") -> DataFrame:
     r = FL.where(t.relations.alias("r"), T.since_previous_month("r.updatedAt", as_of))
     cl = t.clients.alias("c")
-    lst = FL.where(small(t.lst_wlz_cod472s).alias("lst"), FL.ci_eq("lst.description", relation_type))
-    df = (r.join(lst, c("lst.code") == c("r.type"))
+    lst = FL.where(t.lst_wlz_cod472s.alias("lst"), FL.ci_eq("lst.description", relation_type))
+    df = (r.join(lst, J.text_key("lst.code") == J.text_key("r.type"))
           .join(cl, c("c.objectId") == c("r.clientObjectId"), "left"))
     # sorted on the source columns (the relation id splits a busy day)
     return df.orderBy(c("r.updatedAt"), c("r.objectId")).select(
@@ -471,7 +437,7 @@ def r09_current_locations(t: Tables, as_of) -> DataFrame:
                   T.valid_at("ca.dateBegin", "ca.dateEnd", as_of, end_inclusive=False, unit="moment"))
     la = FL.where(t.location_assignments.alias("la"),
                   T.valid_at("la.beginDate", "la.endDate", as_of, end_inclusive=True, unit="date"))
-    loc = FL.where(small(t.locations).alias("l"),
+    loc = FL.where(t.locations.alias("l"),
                    T.valid_at("l.beginDate", "l.endDate", as_of, end_inclusive=True, unit="date"))
     df = (cl.join(ca, c("ca.clientObjectId") == c("c.objectId"))
           .join(la, c("la.clientObjectId") == c("c.objectId"))
@@ -512,24 +478,27 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
             T.overlaps(f"{prefix}product_van", f"{prefix}product_tot", start, end, end_inclusive=False),
         )
 
-    products = A.joined_list(
-        in_period(leg.filter(c("product").isNotNull())).select(c("clientObjectId").alias("_pc"), "product"),
-        ["_pc"], "product", " | ", "producten", "aantal_producten")
+    # The output is DISTINCT over a few columns of each side, so each side is
+    # reduced to distinct values of those columns before the per-client join.
+    lg = (in_period(leg, "").filter(patterns.like(c("legitimatie"), legitimation))
+          .select("clientno", "clientObjectId", "client", "geboren", "legitimatie").distinct().alias("l"))
+    ca = (FL.where(t.care_allocations, T.overlaps("dateBegin", "dateEnd", start, end, end_inclusive=False))
+          .select("clientObjectId", "dateBegin", "dateEnd").distinct().alias("ca"))
+    # lists are built for the reported clients only
+    reported = J.with_related(lg, ca, c("ca.clientObjectId") == c("l.clientObjectId")).select(c("l.clientObjectId").alias("_reported"))
+    own = J.with_related(in_period(leg.filter(c("product").isNotNull())), reported, c("clientObjectId") == c("_reported"))
+    products = A.joined_list(own.select(c("clientObjectId").alias("_pc"), "product"),
+                             ["_pc"], "product", " | ", "producten", "aantal_producten")
 
     j = FL.where(t.cbsbj_jeugdhulps.alias("j"),
                  T.overlaps("j.datumAanvang", "j.datumBeeindiging", start, end, end_inclusive=True))
-    h = small(t.cbsbj_hulpvormen).alias("h")
-    traj = (j.join(h, c("h.code") == c("j.hulpvorm"), "left")
+    j = J.with_related(j, reported, c("j.clientObjectId") == c("_reported"))
+    h = t.cbsbj_hulpvormen.alias("h")
+    traj = (j.join(h, J.text_key("h.code") == J.text_key("j.hulpvorm"), "left")
             .select(c("j.clientObjectId").alias("_tc"), c("h.description").alias("description")))
     trajectories = A.joined_list(traj, ["_tc"], "description", " | ",
                                  "actieve_jeugdtrajecten", "aantal_actieve_jeugdtrajecten")
 
-    # The output is DISTINCT over a few columns of each side, so each side is
-    # reduced to distinct values of those columns before the per-client join.
-    lg = (in_period(leg, "").filter(patterns.like(c("legitimatie"), legitimation))
-          .select("clientno", "clientObjectId", "client", "geboren", "legitimatie").distinct().alias("l"))
-    ca = (FL.where(t.care_allocations, T.overlaps("dateBegin", "dateEnd", start, end, end_inclusive=False))
-          .select("clientObjectId", "dateBegin", "dateEnd").distinct().alias("ca"))
     df = lg.join(ca, c("ca.clientObjectId") == c("l.clientObjectId"))
     df = J.attach_summary(df, products, c("_pc") == c("l.clientObjectId"),
                           {"aantal_producten": 0, "producten": ""})
@@ -556,11 +525,11 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
 def r11_trajectories_by_referrer(t: Tables, start, end, verwijzer="Geen verwijzer") -> DataFrame:
     j = FL.where(t.cbsbj_jeugdhulps.alias("j"),
                  T.overlaps("j.datumAanvang", "j.datumBeeindiging", start, end, end_inclusive=True))
-    h = small(t.cbsbj_hulpvormen).alias("h")
-    v = FL.where(small(t.cbsbj_verwijzers).alias("v"), FL.ci_eq("v.description", verwijzer))
+    h = t.cbsbj_hulpvormen.alias("h")
+    v = FL.where(t.cbsbj_verwijzers.alias("v"), FL.ci_eq("v.description", verwijzer))
     cl = t.clients.alias("c")
-    df = (j.join(v, c("v.code") == c("j.verwijzer"))
-          .join(h, c("h.code") == c("j.hulpvorm"), "left")
+    df = (j.join(v, J.text_key("v.code") == J.text_key("j.verwijzer"))
+          .join(h, J.text_key("h.code") == J.text_key("j.hulpvorm"), "left")
           .join(cl, c("c.objectId") == c("j.clientObjectId"), "left"))
     return df.select(
         c("j.clientObjectId").alias("clientObjectId"),
@@ -575,18 +544,21 @@ def r11_trajectories_by_referrer(t: Tables, start, end, verwijzer="Geen verwijze
 # ---------------------------------------------------------------------------
 # R12 clients out of care whose main location is still open
 # ---------------------------------------------------------------------------
-def r12_open_location_after_care(t: Tables, eind, begin=None, locatie="Wachtlijst") -> DataFrame:
-    """``locatie`` NULL or ``''`` excludes nothing (the documented contract);
-    a NULL location name is never excluded."""
+def r12_open_location_after_care(t: Tables, eind, begin="2000-01-01", locatie="Wachtlijst") -> DataFrame:
+    """NULL or ``''`` for ``begin``, ``eind`` or ``locatie`` filters nothing (the
+    documented contract); a NULL location name is never excluded."""
     ca = FL.where(t.care_allocations,
                   T.overlaps("dateBegin", "dateEnd", begin, eind, end_inclusive=True))
     ca = W.latest_open_per_key(ca, ["clientObjectId"], "dateEnd", [c("objectId").desc()]).alias("ca")
     la = FL.where(t.location_assignments,
                   T.overlaps("beginDate", "endDate", begin, eind, end_inclusive=True),
-                  FL.ci_eq("locationType", "MAIN"))
+                  FL.ci_eq("locationType", "MAIN"),
+                  # an open end ranks first and only open ones are reported, so
+                  # ended ones go at the scan (the last day ties with open)
+                  c("endDate").isNull() | (c("endDate") >= F.lit(W.LAST_DAY).cast("date")))
     la = W.latest_open_per_key(la, ["clientObjectId"], "endDate", [c("objectId").desc()]).alias("la")
     cl = t.clients.alias("c")
-    loc = small(t.locations).alias("l")
+    loc = t.locations.alias("l")
     df = (ca.join(la, c("la.clientObjectId") == c("ca.clientObjectId"))
           .join(cl, c("c.objectId") == c("ca.clientObjectId"), "left")
           .join(loc, c("l.objectId") == c("la.locationObjectId"), "left"))
@@ -611,12 +583,12 @@ def r12_open_location_after_care(t: Tables, eind, begin=None, locatie="Wachtlijs
 # ---------------------------------------------------------------------------
 def r13_tariff_export(t: Tables) -> DataFrame:
     dt_ = t.declaration_tariffs.alias("dt")
-    p = small(t.products).alias("p")
-    ft = small(t.finance_types).alias("ft")
-    eu = small(t.lst_export_units).alias("eu")
-    d = small(t.debtors).alias("d")
-    ldt = small(t.lst_debtor_types).alias("ldt")
-    u = small(t.uzovis).alias("u")
+    p = t.products.alias("p")
+    ft = t.finance_types.alias("ft")
+    eu = t.lst_export_units.alias("eu")
+    d = t.debtors.alias("d")
+    ldt = t.lst_debtor_types.alias("ldt")
+    u = t.uzovis.alias("u")
     df = (dt_.join(p, c("p.objectId") == c("dt.productObjectId"), "left")
           .join(ft, c("ft.objectId") == c("p.financeTypeObjectId"), "left")
           .join(eu, c("eu.code") == c("dt.tariffUnit"), "left")
@@ -646,13 +618,13 @@ def r14_confidential_documents(t: Tables, as_of) -> DataFrame:
     source's 1-n joins are kept as they are)."""
     d = t.documents.filter(c("confidential") == 1).alias("d")
     deg = t.document_expertise_groups.alias("deg")
-    eg = FL.where(small(t.expertise_groups).alias("eg"),
+    eg = FL.where(t.expertise_groups.alias("eg"),
                   T.valid_at("eg.beginDate", "eg.endDate", as_of, end_inclusive=False, unit="moment"))
     dr = t.document_rights.alias("dr")
-    ep = small(t.expertise_profiles).alias("ep")
+    ep = t.expertise_profiles.alias("ep")
     dtg = t.document_tags.alias("dtg")
-    tg = small(t.tags).alias("tg")
-    st = small(t.lst_document_statuses).alias("st")
+    tg = t.tags.alias("tg")
+    st = t.lst_document_statuses.alias("st")
     cl = t.clients.alias("c")
     # the status and client lookups depend on the document only, so they
     # come before the 1-n bridges: the rows moved for the client lookup are
@@ -694,9 +666,9 @@ def r15_presence_logs(t: Tables, start, end) -> DataFrame:
     pl = FL.where(t.presence_logs.alias("pl"),
                   T.overlaps("pl.startDate", "pl.endDate", start, end, end_inclusive=True))
     e = t.employees.alias("e")
-    tm = small(t.teams).alias("t")
-    lpt = small(t.lst_pool_types).alias("lpt")
-    a = small(t.activities).alias("a")
+    tm = t.teams.alias("t")
+    lpt = t.lst_pool_types.alias("lpt")
+    a = t.activities.alias("a")
     df = (pl.join(e, c("e.objectId") == c("pl.employeeId"), "left")
           .join(tm, c("t.objectId") == c("pl.costClusterObjectId"), "left")
           .join(lpt, c("lpt.code") == c("t.poolcluster"), "left")

@@ -6,9 +6,6 @@ settings that are still unset, so a cluster configuration always wins.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the library relies on.  Applied only when the key is unset.
@@ -44,27 +41,3 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
         if conf.get(key, None) is None:
             conf.set(key, value)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
-
-    ``spark.checkpoint.dir`` is read from the session.  Only a local-mode
-    session (tests) without one gets a private scratch folder; a cluster
-    session without one is an error, never a machine-local folder.
-    """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc._jsc.sc().getCheckpointDir().isEmpty():
-        return sc._jsc.sc().getCheckpointDir().get()
-    if not sc.master.startswith("local"):
-        # executors on other machines cannot share a machine-local folder
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
-                           "distributed storage); it is needed for the skew-safe numbering pass")
-    local = tempfile.mkdtemp(prefix="care-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local

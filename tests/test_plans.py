@@ -1,5 +1,7 @@
 """Physical plan shapes that matter at scale."""
 
+import re
+
 import pytest
 
 from care_analytics.plans.suite import REPORTS
@@ -64,9 +66,49 @@ def test_joined_list_aggregates_before_collecting(tables):
     ("r09_current_locations", ["locatie_naam", "achternaam", "voornaam"]),
     ("r10_youth_act_clients", ["client"]),
     ("r12_open_location_after_care", ["legitimatie_eind"]),
+    ("starter_query", ["kolom_1", "kolom_2"]),
 ])
 def test_output_follows_the_source_order(tables, name, cols):
     # extra tie-breakers only refine the order the source asks for
     rows = [tuple(r[c] for c in cols) for r in REPORTS[name][0](tables).collect()]
     key = lambda r: tuple((v is not None, v) for v in r)  # noqa: E731  NULL first, as the source
     assert rows == sorted(rows, key=key)
+
+
+def test_multi_key_sort(tables):
+    from care_analytics.plans.operator_queries import OPERATORS
+    df = OPERATORS["sorted_multi_key"][0](tables)
+    keys = [o.split(" ")[0].split("#")[0] for o in df._jdf.queryExecution().analyzed().toString().split("Sort [")[1].split("]")[0].split(", ")]
+    got = [tuple(r[k] for k in keys if k in df.columns) for r in df.collect()]
+    assert got == sorted(got, key=lambda r: tuple((v is not None, v) for v in r)) and got
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_building_a_report_starts_no_job(spark, tables, name):
+    from care_analytics.sources.catalog import Tables
+    fresh = Tables(spark, lambda n: tables[n].select("*"))
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    try:
+        REPORTS[name][0](fresh)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_period_reaches_the_employee_tables(tables):
+    text = plan_text(REPORTS["r02_rostered_shifts"][0](tables))
+    for column in ("team_assignments", "expertise_profile_assignments", "contracts"):
+        scan = next(x for x in text.split("FileScan") if f"/{column}" in x)
+        assert "2024-01-31" in scan and "2024-01-01" in scan, column
+
+
+def test_early_reductions(tables):
+    assert "REPARTITION" not in plan_text(REPORTS["r04_survey_overview"][0](tables))
+    r06 = plan_text(REPORTS["r06_multi_client_events"][0](tables))
+    assert r06.count("/agenda_invitations") == 1
+    assert "LeftSemi" in plan_text(REPORTS["r10_youth_act_clients"][0](tables))
+    assert "LeftSemi" in plan_text(REPORTS["r07_pharmacies_latest_address"][0](tables))
+    assert "LeftSemi" in plan_text(REPORTS["r03_expense_totals"][0](tables))
+    r12 = plan_text(REPORTS["r12_open_location_after_care"][0](tables))
+    assert re.search(r"endDate#\d+ >= 9999-12-31", r12)
