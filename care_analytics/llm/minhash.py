@@ -18,8 +18,8 @@ group of near copies costs its size, not its square, and no link is lost.
 
 Defined cases: null, empty and blank texts have an empty set and link with
 nothing; a text of fewer words than a shingle is one shingle; equal texts are
-one component; rows with a null ``doc_id`` take part, but never name a component
-unless all of it is null; other columns are ignored; empty tables stay empty.
+one component; rows with a null ``doc_id`` take part, but are kept only if all
+of their component have none (its component_id is then null); other columns are ignored; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from care_analytics.llm.common import BLOCK_BYTES, block_cuts, dropped, prepare, text_bytes, written
+from care_analytics.llm.common import BLOCK_BYTES, block_cuts, free_name, prepare, text_bytes, written
 from care_analytics.llm.components import components
 from care_analytics.llm.prints import mixed
 from care_analytics.llm.words import numbers, spans
 
 SYMBOLS, CHUNKS, ERRORS = 32, 8, 1
-SETS = "doc_id long, n_shingles long, class binary, signature binary, shingles binary"
+SETS = "doc_id long, text_hash long, n_shingles long, class binary, signature binary"
 
 
 def shingle_block(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,25 +92,52 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarra
     return out
 
 
-def shingle_sets(docs: DataFrame, words: int, size: int = SYMBOLS) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set), signature and the set itself; nulls for an empty set."""
+def _sets(batch: pa.RecordBatch, column: int, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row range, distinct shingles and their bounds for each block of a batch."""
+    data, offsets = text_bytes(batch.column(column))
+    for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
+        low = int(offsets[a])
+        yield a, b, *shingle_block(data[low:int(offsets[b])], offsets[a:b + 1] - low, words)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _digest(own: bytes) -> bytes:
+    return hashlib.blake2b(own, digest_size=16).digest()
+
+
+def signed_sets(docs: DataFrame, words: int, size: int = SYMBOLS) -> DataFrame:
+    """doc_id, hash of the text, n_shingles, class (digest of the set) and signature; nulls for an empty set."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
-                low = int(offsets[a])
-                shingles, bounds = shingle_block(data[low:int(offsets[b])], offsets[a:b + 1] - low, words)
+            for a, b, shingles, bounds in _sets(batch, 1, words):
                 symbols = iter(signatures(shingles, bounds, size))
                 rows = []
                 for i in range(b - a):
                     own = shingles[bounds[i]:bounds[i + 1]].tobytes()
-                    rows.append((hashlib.blake2b(own, digest_size=16).digest(), next(symbols).tobytes(), own) if own else (None, None, None))
+                    rows.append((_digest(own), next(symbols).tobytes()) if own else (None, None))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(np.diff(bounds), pa.int64())]
-                    + [pa.array(c, pa.binary()) for c in zip(*rows)], ["doc_id", "n_shingles", "class", "signature", "shingles"])
+                    [batch.column(0).slice(a, b - a).cast(pa.int64()), batch.column(2).slice(a, b - a), pa.array(np.diff(bounds), pa.int64())]
+                    + [pa.array(c, pa.binary()) for c in zip(*rows)], ["doc_id", "text_hash", "n_shingles", "class", "signature"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(sign, SETS)
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node`` and ``shingles`` of the documents in ``wanted`` (node, first_id, class), from their texts."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, classes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b, shingles, bounds in _sets(batch, 2, words):
+                own = [shingles[bounds[i]:bounds[i + 1]].tobytes() for i in range(b - a)]
+                # rows of one id may differ in their texts
+                found = [(nodes[a + i], x) for i, x in enumerate(own) if _digest(x) == classes[a + i]]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], ["node", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(sets, SETS)
+    texts = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), F.expr("doc_id <=> first_id"))
+    once = texts.withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "class", "h"])
+    return once.select("node", "class", "text").mapInArrow(sets, "node long, shingles binary")
 
 
 def chunk_keys(nodes: DataFrame, size: int, chunks: int, errors: int) -> DataFrame:
@@ -172,10 +199,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, size: int = SYMBOLS, chunks: int = CHUNKS, errors: int = ERRORS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id linked to it in any number of steps) and kept."""
+    """doc_id, text_hash, n_shingles, component_id (smallest doc_id linked to it in any number of steps) and kept
+    (one document of each component)."""
     prepare(docs.sparkSession)
     most = chunks * (errors + 1) - 1
-    sets = written(shingle_sets(docs, words, size), "sets")
+    sets = written(signed_sets(docs, words, size), "sets")
     # a node is named by its smallest doc_id; a null id only where there is no other
     nodes = written(sets.where("class is not null").groupBy("class")
                     .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
@@ -184,9 +212,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, size: in
     shared = keys.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
     keys = written(keys.join(shared.select("key"), "key"), "shared-keys")
     links, places = None, None
-    involved = nodes.join(keys.select("node").distinct(), "node", "left_semi").select("class", "node", F.col("doc_id").alias("first_id"))
-    full = written(sets.select("class", "doc_id", "shingles").join(involved, "class").where("doc_id <=> first_id")
-                   .groupBy("node").agg(F.first("shingles").alias("shingles")), "full-sets")
+    wanted = nodes.join(keys.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("first_id"), "class")
+    full = written(full_sets(docs, wanted, words), "full-sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         return written(confirmed(within_distance(pairs.distinct(), nodes, size, most), full, percent), "links")
@@ -210,8 +237,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, size: in
         found = linked(pairs)
         links = found if links is None else links.union(found)
         places = components(links)
-    named = (nodes.select("class", "node").join(places, "node", "left")
-             .select("class", F.coalesce("component", "node").alias("component")))
-    return (sets.select("doc_id", "n_shingles", "class").join(named, "class", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+    named = (nodes.select("class", "node", F.col("doc_id").alias("first_id")).join(places, "node", "left")
+             .select("class", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce(F.col("component") == F.col("node"), F.lit(True)).alias("head")))
+    return (sets.select("doc_id", "text_hash", "n_shingles", "class").join(named, "class", "left")
+            .select("doc_id", "text_hash", "n_shingles",
+                    F.when(F.col("class").isNull(), F.col("doc_id")).when(F.col("component") >= 0, F.col("component"))
+                    .when(F.col("first_id").isNotNull(), F.col("component")).alias("component_id"),
+                    F.when(F.col("class").isNull(), True).otherwise(F.col("head") & F.expr("doc_id <=> first_id")).alias("kept")))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the smallest doc_id.  Rows equal in
+    doc_id and text are copies too."""
+    h = free_name(docs.columns, "text_hash")
+    kept = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+    rows = docs.withColumn(h, F.xxhash64("text"))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_kept_id"]) & (rows[h] == kept["_kept_hash"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", h]).drop(h)

@@ -41,7 +41,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.minhash import near_duplicates
-    return near_duplicates(tables(prepare(spark), sf_dir, "documents"), words=2)
+    return near_duplicates(tables(prepare(spark), sf_dir, "documents"), words=2).drop("text_hash")
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

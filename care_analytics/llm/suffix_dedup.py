@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from care_analytics.llm.common import BLOCK_BYTES, from_payload, new_folder, pack_blocks, prepare, shuffle_tasks, text_bytes, written
+from care_analytics.llm.common import BLOCK_BYTES, free_name, from_payload, new_folder, pack_blocks, prepare, shuffle_tasks, text_bytes, written
 from care_analytics.llm.prints import prints
 
 BUCKET_KEYS = 1 << 21
@@ -221,13 +221,6 @@ def block_table(spark: SparkSession, blocks: DataFrame, buckets: int) -> tuple[D
     return spark.table(name), name
 
 
-def free_name(columns: list[str], name: str) -> str:
-    taken = {c.lower() for c in columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text`` (cut ends move inwards to whole characters)
     and a struct ``removed``: n_bytes, n_removed, n_spans, kept_sha256 and the exact byte spans."""
