@@ -209,16 +209,19 @@ def fold(doc_id: Column | str) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id) % 3
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, held_out: int | None = 1) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``; labels of the fold ``held_out`` are not learned."""
+def trained(every: DataFrame, labels: DataFrame, held_out: int | None) -> Model | None:
+    """The model of the labelled rows among ``every`` (doc_id, features)."""
     known = (labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("label")))
     if held_out is not None:
         known = known.where(fold("doc_id") != held_out)
+    curve = F.crc32(F.concat(F.lit("curve"), F.col("doc_id").cast("string")).cast("binary")) % 3 == 0
+    return fit(written(every.where("doc_id is not null").join(known, "doc_id").select("features", "label", curve.alias("curve")), "labelled"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, held_out: int | None = 1) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``; labels of the fold ``held_out`` are not learned."""
     every = written(features(docs), "features")
-    # one row per labelled document, however often it is repeated
-    labelled = written(every.where("doc_id is not null").join(known, "doc_id")
-                       .select("features", "label", (F.crc32(F.concat(F.lit("curve"), F.col("doc_id").cast("string")).cast("binary")) % 3 == 0).alias("curve")), "labelled")
-    model = fit(labelled)
+    model = trained(every, labels, held_out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,3 +232,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: int | None = 1)
     held = F.coalesce(fold("doc_id") == held_out, F.lit(False)) if held_out is not None else F.lit(False)
     return (every.mapInArrow(run, "doc_id long, score double")
             .select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, held_out: int | None = 1) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``least``; texts are scored where they are read."""
+    model = trained(features(docs), labels, held_out)
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not model:
+                yield batch
+                continue
+            data, offsets = text_bytes(batch.column(text))
+            for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
+                low = int(offsets[a])
+                score = model.score(statistics(data[low:int(offsets[b])], offsets[a:b + 1] - low))
+                yield batch.slice(a, b - a).filter(pa.array(score >= least))
+
+    return docs.mapInArrow(run, docs.schema)
