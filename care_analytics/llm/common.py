@@ -37,7 +37,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         sc.addPyFile(path)
         sc._care_shipped = path
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     return spark
 
 
@@ -62,7 +62,7 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage and survives a lost executor."""
     spark = df.sparkSession
     path = new_folder(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._care_path = path
     return out

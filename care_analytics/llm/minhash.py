@@ -12,9 +12,15 @@ Pairs within the distance are confirmed on their full sets.
 
 Documents with equal sets are one node, so exact copies never meet.  For each
 key, all nodes are first compared with one leader, in two rounds with different
-leaders; within a component no pair is left to compare, and only nodes of one
-key in different components are then compared with each other.  So a large
-group of near copies costs its size, not its square, and no link is lost.
+leaders; within a component no pair is left to compare.  Then the nodes of a key
+that are in different components meet in *rooms*: first each is compared with
+the few of nearest signature, then, where it is still apart, with all whose
+signature is within the distance.  These last pairs never become rows: nodes
+are packed in blocks of one neighbourhood, the pairs travel packed by their two
+blocks, and sets are compared where two blocks meet.  So a large group of near copies costs about
+its size, not its square, and no link is lost.  For the rooms a signature has
+``EXTRA`` more symbols of 8 bits; a pair at similarity 0.8 differs in more than
+``EXTRA_MOST`` of them about once in 400,000.
 
 Defined cases: null, empty and blank texts have an empty set and link with
 nothing; a text of fewer words than a shingle is one shingle; equal texts are
@@ -34,12 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from care_analytics.llm.common import BLOCK_BYTES, block_cuts, free_name, prepare, text_bytes, written
+from care_analytics.llm.common import BLOCK_BYTES, block_cuts, free_name, prepare, shuffle_tasks, text_bytes, written
 from care_analytics.llm.components import components
 from care_analytics.llm.prints import mixed
 from care_analytics.llm.words import numbers, spans
 
 SYMBOLS, CHUNKS, ERRORS = 32, 8, 1
+EXTRA, EXTRA_MOST, NEAREST, ROOM, BLOCK = 192, 65, 4, 4096, 512
 SETS = "doc_id long, text_hash long, n_shingles long, class binary, signature binary"
 
 
@@ -80,16 +87,20 @@ def salts(size: int) -> np.ndarray:
 
 
 def signatures(shingles: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
-    """16-bit symbols of the texts with shingles, one row each."""
+    """``size`` 16-bit and ``EXTRA`` 8-bit symbols of the texts with shingles, as bytes, one row each."""
     full = np.flatnonzero(np.diff(bounds))
-    out = np.zeros((len(full), size), np.uint16)
-    for i, salt in enumerate(salts(size)):
-        h = (shingles ^ salt) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        low = np.minimum.reduceat(h, bounds[full]) if len(full) else h[:0]
-        out[:, i] = (mixed(low) >> np.uint64(48)).astype(np.uint16)
-    return out
+    keyed, extra = np.zeros((len(full), size), np.uint16), np.zeros((len(full), EXTRA), np.uint8)
+    if len(full):
+        starts = bounds[full]
+        for i, salt in enumerate(salts(size)):
+            keyed[:, i] = (mixed(np.minimum.reduceat(mixed(shingles ^ salt), starts)) >> np.uint64(48)).astype(np.uint16)
+        # the halves of one 64-bit number serve two symbols
+        for i, salt in enumerate(salts(size + EXTRA // 2)[size:]):
+            halves = mixed(shingles ^ salt).view(np.uint32).reshape(-1, 2)
+            for j in (0, 1):
+                low = np.minimum.reduceat(halves[:, j], starts).astype(np.uint64)
+                extra[:, 2 * i + j] = (mixed(low) >> np.uint64(56)).astype(np.uint8)
+    return np.hstack([keyed.view(np.uint8), extra])
 
 
 def _sets(batch: pa.RecordBatch, column: int, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -140,8 +151,13 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return once.select("node", "class", "text").mapInArrow(sets, "node long, shingles binary")
 
 
+def keyed_symbols(column: pa.Array, size: int) -> np.ndarray:
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return np.ascontiguousarray(rows[:, :2 * size]).view(np.uint16)
+
+
 def chunk_keys(nodes: DataFrame, size: int, chunks: int, errors: int) -> DataFrame:
-    """One row per node and enumerated key: ``key``, ``node``."""
+    """One row per node and enumerated key: ``key``, its ``number`` (chunk and symbols left out) and ``node``."""
     width = size // chunks
     patterns = list(itertools.combinations(range(width), width - errors))
 
@@ -149,7 +165,7 @@ def chunk_keys(nodes: DataFrame, size: int, chunks: int, errors: int) -> DataFra
         for batch in batches:
             if not batch.num_rows:
                 continue
-            symbols = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, size).astype(np.uint64)
+            symbols = keyed_symbols(batch.column(1), size).astype(np.uint64)
             out = []
             for c in range(chunks):
                 for k, pattern in enumerate(patterns):
@@ -158,9 +174,10 @@ def chunk_keys(nodes: DataFrame, size: int, chunks: int, errors: int) -> DataFra
                         h = mixed(h * np.uint64(0x9FB21C651E98DF25) + symbols[:, c * width + j])
                     out.append(h)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.tile(batch.column(0).to_numpy(zero_copy_only=False), len(out)), pa.int64())], ["key", "node"])
+                [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(np.arange(len(out)), len(symbols)), pa.int32()),
+                 pa.array(np.tile(batch.column(0).to_numpy(zero_copy_only=False), len(out)), pa.int64())], ["key", "number", "node"])
 
-    return nodes.select("node", "signature").mapInArrow(keys, "key long, node long")
+    return nodes.select("node", "signature").mapInArrow(keys, "key long, number int, node long")
 
 
 def within_distance(pairs: DataFrame, nodes: DataFrame, size: int, most: int) -> DataFrame:
@@ -169,7 +186,7 @@ def within_distance(pairs: DataFrame, nodes: DataFrame, size: int, most: int) ->
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, size) for k in (2, 3))
+                x, y = (keyed_symbols(batch.column(k), size) for k in (2, 3))
                 yield batch.select(["a", "b"]).filter(pa.array((x != y).sum(axis=1) <= most))
 
     sides = [nodes.select(F.col("node").alias(k), F.col("signature").alias(f"s{k}")) for k in "ab"]
@@ -177,20 +194,125 @@ def within_distance(pairs: DataFrame, nodes: DataFrame, size: int, most: int) ->
             .mapInArrow(near, "a long, b long"))
 
 
+def first_shared(differs: np.ndarray, chunks: int, errors: int) -> np.ndarray:
+    """For rows of differing symbols the number of the first key that the pair shares."""
+    width = differs.shape[1] // chunks
+    patterns = list(itertools.combinations(range(width), width - errors))
+    shared = np.stack([~differs[:, [c * width + j for j in pattern]].any(axis=1) for c in range(chunks) for pattern in patterns], axis=1)
+    return shared.argmax(axis=1)
+
+
+def room_pairs(placed: DataFrame, nodes: DataFrame, size: int, chunks: int, errors: int, nearest: int | None) -> DataFrame:
+    """Pairs of one key in different components within the signature distance, packed by their blocks:
+    block_a, block_b, pairs (binary, two numbers each).  With ``nearest`` only each node's few nearest
+    in a room; else each pair in the first key that it shares.
+
+    ``placed``: key, number, node, component, block, low (the key's smallest component).  Every node
+    sits in one part of its key's room; nodes of other components than the smallest visit all parts.
+    Parts hold about ``ROOM`` nodes.
+    """
+    spark, most = placed.sparkSession, chunks * (errors + 1) - 1
+    parts = placed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / ROOM).cast("int").alias("parts"))
+    seats = (placed.join(parts, "key")
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .withColumn("home", F.pmod(F.xxhash64("node"), F.col("parts")) == F.col("part"))
+             .withColumn("visits", F.col("component") != F.col("low")).where("home or visits"))
+    seats = (seats.join(nodes.select("node", "signature"), "node")
+             .select(F.xxhash64("key", "part").alias("room"), "home", "visits", "node", "component", "low", "block", "number", "signature"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rooms, home, visits = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            who, group, low, block, number = (batch.column(k).to_numpy() for k in range(3, 8))
+            marks = np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(rooms)) + 1, [len(rooms)]])
+            found: list[np.ndarray] = []
+            for a, b in zip(edges[:-1], edges[1:]):
+                if rooms[a] != room:
+                    room, held = rooms[a], []
+                # those at home come first in a room
+                if (at := a + np.flatnonzero(home[a:b])).size:
+                    held = [np.concatenate(x) for x in zip(*([held] if held else []), (who[at], group[at], block[at], marks[at]))]
+                if not held:
+                    continue
+                for k in (a + np.flatnonzero(visits[a:b])).tolist():
+                    apart = np.flatnonzero(held[1] != group[k])
+                    extra = (held[3][apart, 2 * size:] != marks[k, 2 * size:]).sum(axis=1)
+                    keep = extra <= EXTRA_MOST
+                    apart, extra = apart[keep], extra[keep]
+                    keyed = np.ascontiguousarray(held[3][apart, :2 * size]).view(np.uint16) != marks[k, :2 * size].copy().view(np.uint16)
+                    keep = keyed.sum(axis=1) <= most
+                    if nearest is None:
+                        # two visitors meet twice, and a pair in every key that it shares
+                        keep &= (held[1][apart] == low[k]) | (held[0][apart] > who[k])
+                        keep[keep] = first_shared(keyed[keep], chunks, errors) == number[k] if keep.any() else keep[keep]
+                        apart = apart[keep]
+                    else:
+                        apart = apart[keep][np.argsort(extra[keep], kind="stable")[:nearest]]
+                    if len(apart):
+                        n = np.full(len(apart), who[k])
+                        found.append(np.column_stack([np.full(len(apart), block[k]), held[2][apart], n, held[0][apart]]))
+            if found:
+                rows = np.concatenate(found)
+                turned = rows[:, 0] > rows[:, 1]
+                rows[turned] = rows[turned][:, [1, 0, 3, 2]]
+                rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+                cuts = np.flatnonzero((np.diff(rows[:, :2], axis=0) != 0).any(axis=1)) + 1
+                packed = np.split(rows, cuts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(x[0, c]) for x in packed], pa.int64()) for c in (0, 1)] + [pa.array([x[:, 2:].tobytes() for x in packed], pa.binary())],
+                    ["block_a", "block_b", "pairs"])
+
+    return (seats.repartition(shuffle_tasks(spark), "room").sortWithinPartitions("room", F.desc("home"))
+            .mapInArrow(meet, "block_a long, block_b long, pairs binary"))
+
+
+def in_blocks(placed: DataFrame) -> DataFrame:
+    """``node`` and ``block``: nodes whose keys lead to one smallest component, at most about ``BLOCK`` together."""
+    near = placed.groupBy("node").agg(F.min("low").alias("near"))
+    parts = near.groupBy("near").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    return near.join(parts, "near").select("node", F.xxhash64("near", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block"))
+
+
+def confirmed_in_blocks(packed: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among packed pairs: the sets of two blocks meet, one row for each two blocks with pairs."""
+    spark = packed.sparkSession
+    held = written(sets.join(blocks, "node").groupBy("block").agg(F.collect_list(F.struct("node", "shingles")).alias("sets")), "set-blocks")
+    pairs = packed.groupBy("block_a", "block_b").agg(F.collect_list("pairs").alias("pairs"))
+    sides = [held.select(F.col("block").alias(f"block_{k}"), F.col("sets").alias(f"sets_{k}")) for k in "ab"]
+    met = pairs.join(sides[0], "block_a").join(sides[1], "block_b").select("pairs", "sets_a", "sets_b").repartition(shuffle_tasks(spark))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {x["node"]: np.frombuffer(x["shingles"], np.uint64) for k in (1, 2) for x in batch.column(k)[i].as_py()}
+                ab = np.frombuffer(b"".join(batch.column(0)[i].as_py()), np.int64).reshape(-1, 2)
+                linked = [p for p in np.unique(ab, axis=0).tolist() if overlap(row[p[0]], row[p[1]], percent)]
+                if linked:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked)], ["a", "b"])
+
+    return met.mapInArrow(check, "a long, b long")
+
+
+def overlap(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two ascending sets share at least ``percent`` of their union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets overlap in at least ``percent`` of their union."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            keep = [overlap(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     sides = [sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab"]
@@ -211,30 +333,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, size: in
     keys = written(chunk_keys(nodes, size, chunks, errors), "keys")
     shared = keys.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
     keys = written(keys.join(shared.select("key"), "key"), "shared-keys")
-    links, places = None, None
     wanted = nodes.join(keys.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("first_id"), "class")
     full = written(full_sets(docs, wanted, words), "full-sets")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return written(confirmed(within_distance(pairs.distinct(), nodes, size, most), full, percent), "links")
-
-    for turn in range(3):
-        if places is not None:
-            placed = keys.join(places, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            mixed_keys = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                          .where("low <> high").select("key"))
-            placed = written(placed.join(mixed_keys, "key"), "open-keys")
-        else:
+    links, places = None, None
+    for turn in ("first leader", "second leader", "nearest", "all"):
+        if places is None:
             placed = keys.withColumn("component", F.col("node"))
-        if turn < 2:
-            order = F.col("node") if turn == 0 else F.xxhash64("node")
+        else:
+            placed = keys.join(places, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            apart = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                     .where("low <> high").select("key", "low"))
+            placed = written(placed.join(apart, "key"), "open-keys")
+            if not placed.take(1):
+                break
+        if turn.endswith("leader"):
+            order = F.col("node") if turn == "first leader" else F.xxhash64("node")
             lead = placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", F.col("component").alias("c"))).alias("lead"))
             pairs = (placed.join(lead, "key").where("component <> lead.c")
                      .select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")))
+            found = confirmed(within_distance(pairs.distinct(), nodes, size, most), full, percent)
         else:
-            other = placed.select("key", F.col("node").alias("b"), F.col("component").alias("c"))
-            pairs = placed.select("key", F.col("node").alias("a"), "component").join(other, "key").where("a < b and component <> c").select("a", "b")
-        found = linked(pairs)
+            blocks = written(in_blocks(placed), "blocks")
+            packed = room_pairs(placed.join(blocks, "node"), nodes, size, chunks, errors, NEAREST if turn == "nearest" else None)
+            found = confirmed_in_blocks(packed, blocks, full, percent)
+        found = written(found, "links")
         links = found if links is None else links.union(found)
         places = components(links)
     named = (nodes.select("class", "node", F.col("doc_id").alias("first_id")).join(places, "node", "left")

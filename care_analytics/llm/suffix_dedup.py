@@ -217,7 +217,7 @@ def block_table(spark: SparkSession, blocks: DataFrame, buckets: int) -> tuple[D
     """Blocks as a table bucketed by block, so that joins on the block never shuffle the texts."""
     name = f"care_blocks_{uuid.uuid4().hex}"
     (blocks.write.format("parquet").bucketBy(buckets, "block_id")
-     .option("path", new_folder(spark, "blocks")).saveAsTable(name))
+     .option("path", new_folder(spark, "blocks")).option("compression", "zstd").saveAsTable(name))
     return spark.table(name), name
 
 
