@@ -3,10 +3,9 @@
 Usage: python tools/plan_summary.py <folder of stored reference tables> [out.md]
 
 Two settings per report: as planned on the given tables, and "large-table
-shape" with size-based automatic broadcast switched off
-(``spark.sql.autoBroadcastJoinThreshold=-1``), which is how the plan looks
-when the fact and master tables are far beyond any broadcast limit; only the
-explicitly size-checked code lists are still broadcast there.
+shape" with automatic broadcast switched off
+(``spark.sql.autoBroadcastJoinThreshold=-1``), where even code lists, which
+Spark would broadcast by their size, are shuffled.
 """
 
 from __future__ import annotations
