@@ -47,6 +47,7 @@ from care_analytics.llm.words import numbers, spans
 
 SYMBOLS, CHUNKS, ERRORS = 32, 8, 1
 EXTRA, EXTRA_MOST, NEAREST, ROOM, BLOCK = 192, 65, 4, 4096, 512
+PAIRS_HELD = 1 << 19
 SETS = "doc_id long, text_hash long, n_shingles long, class binary, signature binary"
 
 
@@ -220,51 +221,81 @@ def room_pairs(placed: DataFrame, nodes: DataFrame, size: int, chunks: int, erro
     seats = (seats.join(nodes.select("node", "signature"), "node")
              .select(F.xxhash64("key", "part").alias("room"), "home", "visits", "node", "component", "low", "block", "number", "signature"))
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        room, held = None, []
+    def visits(held: tuple[np.ndarray, ...], seat: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
+        """The pairs (block, block, node, node) of each of ``seat`` that visits with those at home."""
+        at_home, homes, _, home_blocks, _, _, home_marks = held
+        who, group, low, block, number, visiting, marks = seat
+        for k in np.flatnonzero(visiting).tolist():
+            apart = np.flatnonzero(homes != group[k])
+            extra = (home_marks[apart, 2 * size:] != marks[k, 2 * size:]).sum(axis=1)
+            keep = extra <= EXTRA_MOST
+            apart, extra = apart[keep], extra[keep]
+            keyed = np.ascontiguousarray(home_marks[apart, :2 * size]).view(np.uint16) != marks[k, :2 * size].copy().view(np.uint16)
+            keep = keyed.sum(axis=1) <= most
+            if nearest is None:
+                # two visitors meet twice, and a pair in every key that it shares
+                keep &= (homes[apart] == low[k]) | (at_home[apart] > who[k])
+                keep[keep] = first_shared(keyed[keep], chunks, errors) == number[k] if keep.any() else keep[keep]
+                apart = apart[keep]
+            else:
+                apart = apart[keep][np.argsort(extra[keep], kind="stable")[:nearest]]
+            if len(apart):
+                n = np.full(len(apart), who[k])
+                yield np.column_stack([np.full(len(apart), block[k]), home_blocks[apart], n, at_home[apart]])
+
+    def in_rooms(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        """Visits start when all homes of a room are held: they come first, in any number of batches."""
+        room, coming, held = None, [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rooms, home, visits = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            who, group, low, block, number = (batch.column(k).to_numpy() for k in range(3, 8))
+            rooms, home, visiting = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
             marks = np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            columns = (*(batch.column(k).to_numpy() for k in range(3, 8)), visiting, marks)
             edges = np.concatenate([[0], np.flatnonzero(np.diff(rooms)) + 1, [len(rooms)]])
-            found: list[np.ndarray] = []
             for a, b in zip(edges[:-1], edges[1:]):
                 if rooms[a] != room:
-                    room, held = rooms[a], []
-                # those at home come first in a room
-                if (at := a + np.flatnonzero(home[a:b])).size:
-                    held = [np.concatenate(x) for x in zip(*([held] if held else []), (who[at], group[at], block[at], marks[at]))]
-                if not held:
-                    continue
-                for k in (a + np.flatnonzero(visits[a:b])).tolist():
-                    apart = np.flatnonzero(held[1] != group[k])
-                    extra = (held[3][apart, 2 * size:] != marks[k, 2 * size:]).sum(axis=1)
-                    keep = extra <= EXTRA_MOST
-                    apart, extra = apart[keep], extra[keep]
-                    keyed = np.ascontiguousarray(held[3][apart, :2 * size]).view(np.uint16) != marks[k, :2 * size].copy().view(np.uint16)
-                    keep = keyed.sum(axis=1) <= most
-                    if nearest is None:
-                        # two visitors meet twice, and a pair in every key that it shares
-                        keep &= (held[1][apart] == low[k]) | (held[0][apart] > who[k])
-                        keep[keep] = first_shared(keyed[keep], chunks, errors) == number[k] if keep.any() else keep[keep]
-                        apart = apart[keep]
-                    else:
-                        apart = apart[keep][np.argsort(extra[keep], kind="stable")[:nearest]]
-                    if len(apart):
-                        n = np.full(len(apart), who[k])
-                        found.append(np.column_stack([np.full(len(apart), block[k]), held[2][apart], n, held[0][apart]]))
-            if found:
-                rows = np.concatenate(found)
-                turned = rows[:, 0] > rows[:, 1]
-                rows[turned] = rows[turned][:, [1, 0, 3, 2]]
-                rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-                cuts = np.flatnonzero((np.diff(rows[:, :2], axis=0) != 0).any(axis=1)) + 1
-                packed = np.split(rows, cuts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(x[0, c]) for x in packed], pa.int64()) for c in (0, 1)] + [pa.array([x[:, 2:].tobytes() for x in packed], pa.binary())],
-                    ["block_a", "block_b", "pairs"])
+                    if coming:
+                        held = tuple(map(np.concatenate, zip(*coming)))
+                        yield from visits(held, held)
+                    room, coming, held = rooms[a], [], None
+                for at, homes in ((a + np.flatnonzero(home[a:b]), True), (a + np.flatnonzero(~home[a:b]), False)):
+                    if not at.size:
+                        continue
+                    seat = tuple(x[at] for x in columns)
+                    if homes:
+                        coming.append(seat)
+                        continue
+                    if coming:
+                        held, coming = tuple(map(np.concatenate, zip(*coming))), []
+                        yield from visits(held, held)
+                    if held:
+                        yield from visits(held, seat)
+        if coming:
+            held = tuple(map(np.concatenate, zip(*coming)))
+            yield from visits(held, held)
+
+    def packed(found: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(found)
+        turned = rows[:, 0] > rows[:, 1]
+        rows[turned] = rows[turned][:, [1, 0, 3, 2]]
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        cuts = np.flatnonzero((np.diff(rows[:, :2], axis=0) != 0).any(axis=1)) + 1
+        parted = np.split(rows, cuts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(x[0, c]) for x in parted], pa.int64()) for c in (0, 1)] + [pa.array([x[:, 2:].tobytes() for x in parted], pa.binary())],
+            ["block_a", "block_b", "pairs"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
+        for rows in in_rooms(batches):
+            found.append(rows)
+            n += len(rows)
+            if n >= PAIRS_HELD:
+                yield packed(found)
+                found, n = [], 0
+        if found:
+            yield packed(found)
 
     return (seats.repartition(shuffle_tasks(spark), "room").sortWithinPartitions("room", F.desc("home"))
             .mapInArrow(meet, "block_a long, block_b long, pairs binary"))

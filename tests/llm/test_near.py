@@ -6,8 +6,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from care_analytics.llm.common import prepare
 from care_analytics.llm.components import components
-from care_analytics.llm.minhash import near_duplicates, shingle_block, without_near_duplicates
+from care_analytics.llm.minhash import CHUNKS, ERRORS, EXTRA, SYMBOLS, near_duplicates, room_pairs, shingle_block, without_near_duplicates
 from care_analytics.llm.suffix_dedup import difference_cover, remove_repeats
 from tests.llm.conftest import ODD
 
@@ -121,6 +122,35 @@ def test_many_near_copies_of_one_text(spark):
     assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
 
 
+def packed_pairs(frame):
+    return [(min(p), max(p)) for r in frame.collect() for p in np.frombuffer(r["pairs"], np.int64).reshape(-1, 2).tolist()]
+
+
+@pytest.mark.parametrize("visitors", [0, 9])
+def test_rooms_over_several_batches(spark, visitors):
+    # key 1 holds all nodes, key 2 the even ones; of key 1 the last ``visitors`` are one component with node 0
+    rng = np.random.default_rng(3)
+    marks = np.zeros((40, 2 * SYMBOLS + EXTRA), np.uint8)
+    marks[:, 2 * SYMBOLS:] = rng.integers(0, 256, EXTRA)
+    for k in range(40):
+        marks[k, 2 * SYMBOLS + rng.integers(EXTRA)] ^= 1
+    part = [0 if k >= 40 - visitors else k for k in range(40)]
+    nodes = spark.createDataFrame([(k, bytearray(marks[k].tobytes())) for k in range(40)], "node long, signature binary")
+    rows = [(1, 0, k, part[k], k % 3, 0) for k in range(40)] + [(2, 1, k, part[k], k % 3, 0) for k in range(0, 40, 2)]
+    placed = spark.createDataFrame(rows, "key long, number int, node long, component long, block long, low long")
+    want = sorted((a, b) for a in range(40) for b in range(a + 1, 40) if part[a] != part[b])
+    prepare(spark)
+    try:
+        for size in (1, 7, 2000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert sorted(packed_pairs(room_pairs(placed, nodes, SYMBOLS, CHUNKS, ERRORS, None))) == want
+            near = Counter(p for p in packed_pairs(room_pairs(placed, nodes, SYMBOLS, CHUNKS, ERRORS, 4)))
+            # each visitor has its four nearest in both rooms
+            assert sum(near.values()) == 4 * sum(part[r[2]] != 0 for r in rows)
+    finally:
+        prepare(spark)
+
+
 def test_words_do_not_cross_texts():
     data = np.frombuffer(b"a bb  c", np.uint8)
     _, bounds = shingle_block(data, np.array([0, 3, 3, 6, 7]), 2)  # "a b", "", "b  ", "c"
