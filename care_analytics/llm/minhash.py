@@ -17,7 +17,7 @@ that are in different components meet in *rooms*: first each is compared with
 the few of nearest signature, then, where it is still apart, with all whose
 signature is within the distance.  These last pairs never become rows: nodes
 are packed in blocks of one neighbourhood, the pairs travel packed by their two
-blocks, and sets are compared where two blocks meet.  So a large group of near copies costs about
+blocks, and sets are compared where two blocks meet (bounded by their shingles too).  So a large group of near copies costs about
 its size, not its square, and no link is lost.  For the rooms a signature has
 ``EXTRA`` more symbols of 8 bits; a pair at similarity 0.8 differs in more than
 ``EXTRA_MOST`` of them about once in 400,000.
@@ -48,6 +48,7 @@ from care_analytics.llm.words import numbers, spans
 SYMBOLS, CHUNKS, ERRORS = 32, 8, 1
 EXTRA, EXTRA_MOST, NEAREST, ROOM, BLOCK = 192, 65, 4, 4096, 512
 PAIRS_HELD = 1 << 19
+BLOCK_SHINGLES, ALONE = 1 << 21, 1 << 18
 SETS = "doc_id long, text_hash long, n_shingles long, class binary, signature binary"
 
 
@@ -301,11 +302,16 @@ def room_pairs(placed: DataFrame, nodes: DataFrame, size: int, chunks: int, erro
             .mapInArrow(meet, "block_a long, block_b long, pairs binary"))
 
 
-def in_blocks(placed: DataFrame) -> DataFrame:
-    """``node`` and ``block``: nodes whose keys lead to one smallest component, at most about ``BLOCK`` together."""
-    near = placed.groupBy("node").agg(F.min("low").alias("near"))
-    parts = near.groupBy("near").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    return near.join(parts, "near").select("node", F.xxhash64("near", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block"))
+def in_blocks(placed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and ``block``: nodes whose keys lead to one smallest component, about ``BLOCK`` nodes and
+    ``BLOCK_SHINGLES`` shingles together at most; a node of more than ``ALONE`` shingles stands alone."""
+    near = (placed.groupBy("node").agg(F.min("low").alias("near")).join(nodes.select("node", "n_shingles"), "node")
+            .withColumn("alone", F.col("n_shingles") > ALONE))
+    rest = F.when(~F.col("alone"), F.col("n_shingles"))
+    parts = near.groupBy("near").agg(F.greatest(F.ceil(F.count(rest) / BLOCK), F.ceil(F.sum(rest) / BLOCK_SHINGLES), F.lit(1)).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    # the number of a lone node makes its hash a different one
+    return near.join(parts, "near").select("node", F.when(F.col("alone"), F.xxhash64("near", F.lit(-1), "node")).otherwise(F.xxhash64("near", part)).alias("block"))
 
 
 def confirmed_in_blocks(packed: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -359,7 +365,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, size: in
     sets = written(signed_sets(docs, words, size), "sets")
     # a node is named by its smallest doc_id; a null id only where there is no other
     nodes = written(sets.where("class is not null").groupBy("class")
-                    .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+                    .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
                     .withColumn("node", F.coalesce("doc_id", -1 - F.abs(F.xxhash64("class") % (1 << 62)))), "nodes")
     keys = written(chunk_keys(nodes, size, chunks, errors), "keys")
     shared = keys.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
@@ -385,7 +391,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, size: in
                      .select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")))
             found = confirmed(within_distance(pairs.distinct(), nodes, size, most), full, percent)
         else:
-            blocks = written(in_blocks(placed), "blocks")
+            blocks = written(in_blocks(placed, nodes), "blocks")
             packed = room_pairs(placed.join(blocks, "node"), nodes, size, chunks, errors, NEAREST if turn == "nearest" else None)
             found = confirmed_in_blocks(packed, blocks, full, percent)
         found = written(found, "links")

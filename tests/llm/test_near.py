@@ -8,7 +8,7 @@ import pytest
 
 from care_analytics.llm.common import prepare
 from care_analytics.llm.components import components
-from care_analytics.llm.minhash import CHUNKS, ERRORS, EXTRA, SYMBOLS, near_duplicates, room_pairs, shingle_block, without_near_duplicates
+from care_analytics.llm.minhash import ALONE, BLOCK, BLOCK_SHINGLES, CHUNKS, ERRORS, EXTRA, SYMBOLS, in_blocks, near_duplicates, room_pairs, shingle_block, without_near_duplicates
 from care_analytics.llm.suffix_dedup import difference_cover, remove_repeats
 from tests.llm.conftest import ODD
 
@@ -151,6 +151,19 @@ def test_rooms_over_several_batches(spark, visitors):
         prepare(spark)
 
 
+def test_blocks_are_bounded_by_shingles(spark):
+    # 400 sets near the bound of a lone one, 5 above it, 900 of ten shingles with keys of their own
+    sizes = {k: ALONE if k < 400 else ALONE + 1 + k if k < 405 else 10 for k in range(1305)}
+    nodes = spark.createDataFrame(list(sizes.items()), "node long, n_shingles long")
+    placed = spark.createDataFrame([(k, 0 if k < 405 else 405) for k in sizes] + [(k, 7) for k in range(100)], "node long, low long")
+    blocks = {}
+    for r in in_blocks(placed, nodes).collect():
+        blocks.setdefault(r["block"], []).append(r["node"])
+    assert sorted(k for b in blocks.values() for k in b) == sorted(sizes)
+    assert all(sum(sizes[k] for k in b) <= 3 * BLOCK_SHINGLES and len(b) <= 1.2 * BLOCK for b in blocks.values())
+    assert sorted(b for b in blocks.values() if any(400 <= k < 405 for k in b)) == [[k] for k in range(400, 405)]
+
+
 def test_words_do_not_cross_texts():
     data = np.frombuffer(b"a bb  c", np.uint8)
     _, bounds = shingle_block(data, np.array([0, 3, 3, 6, 7]), 2)  # "a b", "", "b  ", "c"
