@@ -24,7 +24,7 @@ PASSAGE_BYTES = 200
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score at least 0.5)."""
-    return good_documents(docs, tables(prepare(spark), sf_dir, "labels"))
+    return good_documents(docs, tables(prepare(spark), sf_dir, "labels"), held_out=None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

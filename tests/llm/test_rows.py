@@ -164,6 +164,15 @@ def test_isotonic_is_the_least_squares_fit():
         assert sorted(set(np.round(fit, 9))) == pytest.approx(sorted(set(np.round(steps, 9))))
 
 
+def test_pipeline_learns_from_every_labelled_row(spark, tmp_path):
+    # labels of one fold only: a model that leaves it out keeps all documents
+    sf = SF.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert 0 < corpus_pipeline.quality(spark, docs, str(tmp_path)).count() < docs.count()
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     from tests.llm.test_near import groups, repeats
     from tests.llm.test_tokens import check_packing
