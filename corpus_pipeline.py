@@ -18,7 +18,7 @@ from care_analytics.llm.quality import good_documents
 from care_analytics.llm.queries import tokenizer_path
 from care_analytics.llm.suffix_dedup import remove_repeats
 
-# a passage of more than 50 words is longer than this in all of the corpus's languages
+# a passage of more than 50 words is longer than this in ordinary text; one of very short words can be shorter and stays (README)
 PASSAGE_BYTES = 200
 
 
