@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from care_analytics.llm import chat, sharding
+from care_analytics.llm import chat, divergence, licenses, ranked, sharding
 from care_analytics.llm.common import prepare, tables
 
 SHARD_BYTES = 16 << 20
@@ -71,6 +71,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(tables(prepare(spark), sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES).drop("text")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(tables(prepare(spark), sf_dir, "documents"), tables(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(tables(prepare(spark), sf_dir, "documents"), least_docs=3, top=200)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(tables(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -82,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice": op8_lattice,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_license_scan": op13_license_scan,
 }
 TOP_SQL = """
 WITH v AS (
@@ -116,4 +131,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_chat": chat.DIGEST_SQL,
     "op8_lattice": LINKS_SQL,
     "op10_sharding": sharding.shard_sql(SHARD_BYTES),
+    "op11_ranked_search": ranked.RANKED_SQL,
+    "op12_source_divergence": divergence.DIVERGENCE_SQL,
+    "op13_license_scan": licenses.license_sql(),
 }

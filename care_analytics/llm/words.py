@@ -12,10 +12,10 @@ BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the index of each text's first word (one more at the end)."""
     ink = np.zeros(len(data) + 2, np.int8)
-    ink[1:-1] = ~BLANK[data]
+    ink[1:-1] = ~blank[data]
     steps = np.diff(ink)
     starts, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
     # a text's end also ends a word
