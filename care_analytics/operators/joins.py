@@ -31,15 +31,38 @@ def parent_fallback(own_label: Column, parent_label: Column, use_own: Column) ->
     return F.when(use_own, own_label).otherwise(parent_label)
 
 
-def fan_out(df: DataFrame, bridges) -> DataFrame:
-    """Chain of left joins to 1-n bridges, each row kept per combination.
+# Children travel in lists of at most 2^10.
+LIST_BITS = 10
 
-    ``bridges`` is a list of ``(DataFrame, join condition)``.
+
+def nested_children(child: DataFrame, parent, columns: dict[str, Column], name: str) -> DataFrame:
+    """Lists ``name`` of the children of each parent (``_parent``), as structs of ``columns``.
+
+    A list holds at most 1024 children: rows are cut by their place in the input
+    partition, so a parent with a large share of all children has many lists,
+    made on many tasks, and no list grows with the data.
     """
-    out = df
-    for bridge, cond in bridges:
-        out = out.join(bridge, cond, "left")
-    return out
+    rows = child.select((F.col(parent) if isinstance(parent, str) else parent).alias("_parent"),
+                        F.struct(*[col.alias(n) for n, col in columns.items()]).alias("_child"),
+                        F.shiftright(F.monotonically_increasing_id(), LIST_BITS).alias("_part"))
+    return (rows.filter(F.col("_parent").isNotNull()).groupBy("_parent", "_part")
+            .agg(F.collect_list("_child").alias(name)).drop("_part"))
+
+
+def fan_out(df: DataFrame, key, bridges) -> DataFrame:
+    """Left joins to several 1-n bridges, one row per combination.
+
+    ``bridges`` is a list of ``(children, parent column, {output name: column})``.
+    Each bridge joins once, as lists of children, so the rows that are moved are
+    the parents; the product is only formed at the end, row by row.
+    """
+    key = F.col(key) if isinstance(key, str) else key
+    names = [f"_children{i}" for i in range(len(bridges))]
+    for name, (child, parent, columns) in zip(names, bridges):
+        df = df.join(nested_children(child, parent, columns, name), key == F.col("_parent"), "left").drop("_parent")
+    for name in names:
+        df = df.select("*", F.inline_outer(name)).drop(name)
+    return df
 
 
 def attach_summary(df: DataFrame, summary: DataFrame, on, defaults: dict) -> DataFrame:

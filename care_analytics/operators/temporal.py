@@ -4,6 +4,7 @@ Intervals are ``[begin, end]`` with a NULL end meaning open.  Whether ``end``
 itself is still valid differs per table and per report, so ``end_inclusive``
 is always an explicit argument.  Predicates are written as
 ``end IS NULL OR end >= x`` (never with a sentinel date) so they push down.
+The joins compare by calendar nodes (:class:`Calendar`), not key by key.
 """
 
 from __future__ import annotations
@@ -100,49 +101,120 @@ def since_previous_month(col, as_of) -> Column:
     return col_(col) >= F.lit(P.first_of_previous_month(as_of))
 
 
-# Days of one time bucket of a validity join over a known period.
-BUCKET_DAYS = 7
+# Calendar of a join without a closed period: 2^16 days from this one on (179
+# years); days outside count as its first or last day, the exact interval test
+# stands beside.
+FIRST_DAY = dt.date(1900, 1, 1)
+LEVELS = 16
 
 
-def time_bucket(at) -> Column:
-    """Number of the week of a date, counted from a fixed Monday."""
-    return F.floor(F.datediff(col_(at).cast("date"), F.lit("1900-01-01").cast("date")) / BUCKET_DAYS).cast("int")
+class Calendar:
+    """The days from ``first`` on, as leaves of a binary tree over 2^``levels`` days.
 
+    Node 1 is the whole calendar, node n has the halves 2n and 2n + 1, and the
+    leaf of a day is 2^levels + its number.
+    """
 
-def validity_join(left: DataFrame, right: DataFrame, on: Column, at, begin, end,
+    def __init__(self, period: tuple | None = None):
+        lo, hi = (P.parse_date(x) for x in period) if period is not None else (None, None)
+        closed = lo is not None and hi is not None and hi >= lo
+        self.lo, self.hi = lo, hi
+        self.first = lo if closed else FIRST_DAY
+        self.levels = (hi - lo).days.bit_length() if closed else LEVELS
+
+    def leaf(self, day: Column) -> Column:
+        n = F.datediff(day.cast("date"), F.lit(self.first))
+        return F.lit(1 << self.levels) + F.least(F.greatest(n, F.lit(0)), F.lit((1 << self.levels) - 1))
+
+    def path(self, day: Column) -> Column:
+        """The nodes that hold a day: its leaf and all above."""
+        leaf = self.leaf(day)
+        return F.array(*[F.shiftright(leaf, i) for i in range(self.levels + 1)])
+
+    def tiled(self, versions: DataFrame, begin: Column, end: Column, extra: tuple = ()) -> DataFrame:
+        """Each version once per node (``_tile``) of those that tile its days from
+        ``begin`` to ``end`` (NULL: open): at most two a level, each day in exactly
+        one of them."""
+        # greatest() skips NULLs, so an open end has its own branch
+        behind = F.when(end.isNull(), F.lit(2 << self.levels)).otherwise(self.leaf(end) + 1)
+
+        def nodes(i: Column) -> Column:
+            low = F.call_function("shiftright", F.col("_first") + F.call_function("shiftleft", F.lit(1), i) - 1, i)
+            high = F.call_function("shiftright", F.col("_behind"), i)
+            return F.array(F.when((low < high) & (low % 2 == 1), low), F.when((low < high) & (high % 2 == 1), high - 1))
+
+        every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(self.levels)), nodes))
+        return (versions.withColumns({"_first": self.leaf(begin), "_behind": behind})
+                .withColumn("_tile", F.explode(F.concat(F.array(*map(F.lit, extra)).cast("array<int>"), F.array_compact(every))))
+                .drop("_first", "_behind"))
+
+
+def asked_days(rows: DataFrame, key, at, calendar: Calendar, whole: Column | None = None) -> DataFrame:
+    """The different (key, day) pairs of ``rows``, each with the nodes that hold the day.
+
+    A key has at most one row a day here, however many rows it has.  Days where
+    ``whole`` holds ask for all versions of their key (node 0).
+    """
+    pairs = rows.select(col_(key).alias("_valid_key"), col_(at).cast("date").alias("_valid_day"),
+                        (F.lit(False) if whole is None else F.coalesce(whole, F.lit(False))).alias("_valid_whole"))
+    pairs = pairs.filter(F.col("_valid_key").isNotNull() & F.col("_valid_day").isNotNull()).distinct()
+    path = calendar.path(F.col("_valid_day"))
+    if whole is not None:
+        path = F.when(F.col("_valid_whole"), F.array(F.lit(0))).otherwise(path)
+    return pairs.select("*", F.explode(path).alias("_valid_node"))
+
+
+def _by_day(left: DataFrame, right: DataFrame, left_key, right_key, at, begin, end, test: Column,
+            how: str, calendar: Calendar, days: DataFrame | None, whole: Column | None) -> DataFrame:
+    """Join by the versions of each (key, day), ``test`` deciding on the rows."""
+    right = right.filter(col_(right_key).isNotNull() & col_(begin).isNotNull())
+    tiled = calendar.tiled(right, col_(begin), col_(end), () if whole is None else (0,))
+    if days is None:
+        days = asked_days(left, left_key, at, calendar, whole)
+    found = (days.join(tiled, (F.col("_valid_key") == col_(right_key)) & (F.col("_valid_node") == F.col("_tile")))
+             .drop("_tile", "_valid_node"))
+    same = (col_(left_key) == F.col("_valid_key")) & (col_(at).cast("date") == F.col("_valid_day"))
+    if whole is not None:
+        same = same & (F.coalesce(whole, F.lit(False)) == F.col("_valid_whole"))
+    return left.join(found, same & test, how).drop("_valid_key", "_valid_day", "_valid_whole")
+
+
+def validity_join(left: DataFrame, right: DataFrame, left_key, right_key, at, begin, end,
                   end_inclusive: bool = True, how: str = "left", period: tuple | None = None,
-                  bucket: str | None = None) -> DataFrame:
+                  days: DataFrame | None = None) -> DataFrame:
     """Join each left row to the right versions valid at the left row's date.
 
-    Planned as an equi-join on the key with the interval as a residual
-    condition, at every size.  ``period`` = (first, last) date of the left
-    rows, when the parameters say it: right versions outside it are dropped at
-    the scan.  ``bucket`` names a left column made by :func:`time_bucket`;
-    with a period closed on both sides it becomes part of the join key and
-    each right version is repeated once per week of the period it covers, so
-    a key with very many rows is compared week by week in separate tasks.
+    Versions are found for the different (key, day) pairs of the left rows: a
+    version stands under the calendar nodes that tile its days (at most two a
+    level), a day asks for the nodes above it, so only versions that hold on
+    the day meet it, for open ends as for closed ones.  The left rows are then
+    joined by key and day, with the exact interval test beside.  A key that has
+    a large share of the rows is so spread by days; one that has a large share
+    of the versions is spread by nodes.
+
+    ``period`` = (first, last) date of the left rows, when the parameters say
+    it: right versions outside it are dropped at the scan, and a period closed
+    on both sides makes the calendar smaller.  ``days``: a ready
+    :func:`asked_days` of the same keys, dates and period, to share it.
     """
-    lo, hi = (P.parse_date(x) for x in period) if period is not None else (None, None)
-    live = overlaps(begin, end, lo, hi, end_inclusive=True)
+    calendar = Calendar(period)
+    live = overlaps(begin, end, calendar.lo, calendar.hi, end_inclusive=True)
     if live is not None:
         right = right.filter(live)
-    cond = on & valid_at(begin, end, col_(at), end_inclusive)
-    if bucket is None or lo is None or hi is None:
-        return left.join(right, cond, how)
-    first = time_bucket(F.greatest(col_(begin).cast("date"), F.lit(lo)))
-    last = time_bucket(F.least(F.coalesce(col_(end).cast("date"), F.lit(hi)), F.lit(hi)))
-    # greatest() skips NULLs: a version without a begin is never valid
-    right = right.filter(col_(begin).isNotNull()).withColumn("_week", F.explode(F.sequence(first, last)))
-    return left.join(right, cond & (F.col(bucket) == F.col("_week")), how).drop("_week")
+    test = valid_at(begin, end, col_(at), end_inclusive)
+    return _by_day(left, right, left_key, right_key, at, begin, end, test, how, calendar, days, None)
 
 
-def containment_join(left: DataFrame, right: DataFrame, on: Column, inner_begin, inner_end,
+def containment_join(left: DataFrame, right: DataFrame, left_key, right_key, inner_begin, inner_end,
                      outer_begin, outer_end, how: str = "left") -> DataFrame:
     """Join to right rows whose interval contains the left row's interval.
 
     ``outer_begin <= inner_begin AND (outer_end IS NULL OR outer_end >=
-    inner_end)``: an open left interval only fits an open right one.
+    inner_end)``: an open left interval only fits an open right one.  Right rows
+    are found by the day of ``inner_begin`` as in :func:`validity_join`; a left
+    interval that ends before it begins meets all right rows of its key.
     """
-    cond = (col_(outer_begin) <= col_(inner_begin)) & (
+    test = (col_(outer_begin) <= col_(inner_begin)) & (
         col_(outer_end).isNull() | (col_(outer_end) >= col_(inner_end)))
-    return left.join(right, on & cond, how)
+    return _by_day(left, right, left_key, right_key, inner_begin, outer_begin, outer_end, test, how,
+                   Calendar(), None, col_(inner_end) < col_(inner_begin))

@@ -1,10 +1,9 @@
-"""Row numbering per key.
+"""Latest row and running number per key.
 
-``latest_*`` keep row number 1 only; Catalyst plans that as a
-``WindowGroupLimit`` on both sides of the shuffle, so each map task forwards
-at most one row per key and a hot key cannot overload one task.
-``number_within`` gives full running numbers from per-value counts, so a hot
-key is split by its leading order column.
+``latest_*`` are plain aggregates (the row with the greatest order), so every
+map task forwards at most one row per key and no window sorts a key.
+``number_within`` adds up the sizes of small groups of rows, so no key is ever
+sorted by one task.
 """
 
 from __future__ import annotations
@@ -15,44 +14,65 @@ from pyspark.sql import functions as F
 
 # Fixed value: the last day, as which an open end counts.
 LAST_DAY = "9999-12-31"
+# A group of a running number spans 2^12 values of the last order column.
+GROUP_BITS = 12
 
 
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def latest_per_key(df: DataFrame, keys, order, tie) -> DataFrame:
-    """The first row per key by ``order`` (Columns with direction), then ``tie``."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order), *_cols(tie))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+def latest_per_key(df: DataFrame, keys: list[str], greatest) -> DataFrame:
+    """Per key the row with the greatest ``greatest`` (columns compared one after
+    the other, a NULL below every value)."""
+    order = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(_cols(greatest))])
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(*keys).agg(F.max_by(row, order).alias("_row")).select("_row.*")
 
 
-def latest_open_per_key(df: DataFrame, keys, end, tie) -> DataFrame:
+def latest_open_per_key(df: DataFrame, keys: list[str], end: str, tie) -> DataFrame:
     """The row with the latest end per key, an open (NULL) end counting as the
-    last day there is (so it ties with an explicit 9999-12-31)."""
-    e = F.col(end) if isinstance(end, str) else end
-    return latest_per_key(df, keys, [F.coalesce(e, F.lit(LAST_DAY).cast("date")).desc()], tie)
+    last day there is (so it ties with an explicit 9999-12-31), then by ``tie``."""
+    return latest_per_key(df, keys, [F.coalesce(F.col(end), F.lit(LAST_DAY).cast("date")), *_cols(tie)])
 
 
-def number_within(df: DataFrame, keys: list[str], order: list[str], name: str, deep: int = 1) -> DataFrame:
+def number_within(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Running number 1..n per key, ascending by ``order`` (NULLs first; apply filters first).
 
-    One plan at every size: rows are numbered inside (key, first ``deep``
-    order columns), and the rows of a key with smaller values are added from a
-    running sum of their counts.  A key that holds a large share of all rows
-    is so split by its order values and never sorted by one task; choose
-    ``deep`` so that key and leading order columns together are not hot.
+    The last order column is a whole number that tells rows apart (an id).  Rows
+    are shuffled once, to groups of one key, the leading order values and a span
+    of 2^12 ids -- at most so many rows, however hot a key or a (key, value)
+    pair is.  A group is sorted as one array; the sizes of the groups before it
+    come from running sums over sizes, first of the leading order values of a
+    key, then of the spans of one such value.  The sizes are taken from the
+    shuffled groups, so the input is read once.
     """
-    part = [*keys, *order[:deep]]
-    counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order[:deep]])
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .select(*[F.col(k).alias(f"_o_{k}") for k in part], "_off"))
-    same = F.lit(True)
+    lead, last = order[:-1], order[-1]
+    span = F.shiftright(F.col(last), GROUP_BITS)
+    sorted_by = F.struct(F.col(last).alias("_by"), F.struct(*df.columns).alias("_row"))
+    part = [*keys, *lead]
+    groups = (df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in part], span.alias("_span"))
+              .agg(F.collect_list(sorted_by).alias("_rows")))
+    sizes = groups.select(*[F.col(f"_g_{k}").alias(f"_s_{k}") for k in part], F.col("_span").alias("_s_span"), F.size("_rows").cast("long").alias("_n"))
+
+    def before(value: str, within: list[str], by: list[str]) -> Column:
+        w = (Window.partitionBy(*[f"_s_{k}" for k in within]).orderBy(*[F.col(b).asc_nulls_first() for b in by])
+             .rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+    offsets = sizes.withColumn("_off", before("_n", part, ["_s_span"]))
+    same = F.col("_span").eqNullSafe(F.col("_s_span"))
     for k in part:
-        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    inside = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_first() for o in order[deep:]] or [F.lit(1)])
-    return (df.withColumn("_local", F.row_number().over(inside)).join(offsets, same)
-            .withColumn(name, F.col("_local").cast("bigint") + F.col("_off"))
-            .drop("_local", "_off", *[f"_o_{k}" for k in part]))
+        same = same & F.col(f"_g_{k}").eqNullSafe(F.col(f"_s_{k}"))
+    if lead:
+        totals = sizes.groupBy(*[f"_s_{k}" for k in part]).agg(F.sum("_n").alias("_n"))
+        values = (totals.withColumn("_lead_off", before("_n", keys, [f"_s_{k}" for k in lead]))
+                  .select(*[F.col(f"_s_{k}").alias(f"_t_{k}") for k in part], "_lead_off"))
+        there = F.lit(True)
+        for k in part:
+            there = there & F.col(f"_s_{k}").eqNullSafe(F.col(f"_t_{k}"))
+        offsets = offsets.join(values, there).withColumn("_off", F.col("_off") + F.col("_lead_off"))
+    offsets = offsets.select(*[f"_s_{k}" for k in part], "_s_span", "_off")
+    return (groups.join(offsets, same)
+            .select("_off", F.posexplode(F.sort_array("_rows")).alias("_at", "_item"))
+            .select("_item._row.*", (F.col("_off") + F.col("_at") + 1).alias(name)))

@@ -227,7 +227,7 @@ FROM fx_shift_assignments msa LEFT JOIN fx_team_assignments ta ON ta.employeeObj
   AND ta.beginDate <= msa.date AND (ta.endDate IS NULL OR ta.endDate >= msa.date)""")
 def validity_join_inclusive(t):
     msa, ta = t.moves_shift_assignments.alias("msa"), t.team_assignments.alias("ta")
-    out = T.validity_join(msa, ta, c("ta.employeeObjectId") == c("msa.employee_id"), c("msa.date"),
+    out = T.validity_join(msa, ta, "msa.employee_id", "ta.employeeObjectId", c("msa.date"),
                           "ta.beginDate", "ta.endDate", end_inclusive=True)
     return out.select(c("msa.objectId").alias("objectId"), c("ta.objectId").alias("team_assignment_id"),
                       c("ta.teamObjectId").alias("teamObjectId"))
@@ -239,7 +239,7 @@ FROM fx_shift_assignments msa LEFT JOIN fx_shifts ms ON ms.timeline_id = msa.tim
   AND ms.valid_from <= msa.date AND (ms.valid_to IS NULL OR ms.valid_to > msa.date)""")
 def validity_join_half_open(t):
     msa, ms = t.moves_shift_assignments.alias("msa"), t.moves_shifts.alias("ms")
-    out = T.validity_join(msa, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), c("msa.date"),
+    out = T.validity_join(msa, ms, "msa.timeline_shift_id", "ms.timeline_id", c("msa.date"),
                           "ms.valid_from", "ms.valid_to", end_inclusive=False)
     return out.select(c("msa.objectId").alias("objectId"), c("ms.objectId").alias("shift_id"),
                       c("ms.description").alias("description"))
@@ -251,7 +251,7 @@ LEFT JOIN fx_costcenter_assignments cca ON cca.unitObjectId = la.locationObjectI
   AND cca.beginDate <= la.beginDate AND (cca.endDate IS NULL OR cca.endDate >= la.endDate)""")
 def containment_join(t):
     la, cca = t.location_assignments.alias("la"), t.costcenter_assignments.alias("cca")
-    out = T.containment_join(la, cca, c("cca.unitObjectId") == c("la.locationObjectId"),
+    out = T.containment_join(la, cca, "la.locationObjectId", "cca.unitObjectId",
                              "la.beginDate", "la.endDate", "cca.beginDate", "cca.endDate")
     return out.select(c("la.objectId").alias("objectId"), c("cca.objectId").alias("assignment_id"))
 
@@ -305,14 +305,10 @@ LEFT JOIN fx_document_groups deg ON deg.documentObjectId = d.objectId
 LEFT JOIN fx_document_rights dr ON dr.documentObjectId = d.objectId
 LEFT JOIN fx_document_tags dt ON dt.documentObjectId = d.objectId""")
 def multi_bridge_fanout(t):
-    d = t.documents.select("objectId").alias("d")
-    deg, dr, dtg = (t.document_expertise_groups.alias("deg"), t.document_rights.alias("dr"),
-                    t.document_tags.alias("dtg"))
-    out = J.fan_out(d, [(deg, c("deg.documentObjectId") == c("d.objectId")),
-                        (dr, c("dr.documentObjectId") == c("d.objectId")),
-                        (dtg, c("dtg.documentObjectId") == c("d.objectId"))])
-    return out.select(c("d.objectId").alias("objectId"), c("deg.expertiseGroupObjectId").alias("expertiseGroupObjectId"),
-                      c("dr.educationObjectId").alias("educationObjectId"), c("dtg.tagObjectId").alias("tagObjectId"))
+    return J.fan_out(t.documents.select("objectId"), "objectId", [
+        (t.document_expertise_groups, "documentObjectId", {"expertiseGroupObjectId": c("expertiseGroupObjectId")}),
+        (t.document_rights, "documentObjectId", {"educationObjectId": c("educationObjectId")}),
+        (t.document_tags, "documentObjectId", {"tagObjectId": c("tagObjectId")})])
 
 
 def _trajectory_forms(t):
@@ -355,9 +351,9 @@ def costcentre_chain(t):
     la = FL.where(t.location_assignments.alias("la"), FL.ci_eq("la.locationType", "main"))
     cca = t.costcenter_assignments.alias("cca")
     cc = t.costcenters.alias("cc")
-    out = T.containment_join(la, cca, c("cca.unitObjectId") == c("la.locationObjectId"),
+    out = T.containment_join(la, cca, "la.locationObjectId", "cca.unitObjectId",
                              "la.beginDate", "la.endDate", "cca.beginDate", "cca.endDate")
-    out = T.containment_join(out, cc, c("cc.objectId") == c("cca.costcenterObjectId"),
+    out = T.containment_join(out, cc, "cca.costcenterObjectId", "cc.objectId",
                              "cca.beginDate", "cca.endDate", "cc.beginDate", "cc.endDate")
     return out.select(c("la.objectId").alias("objectId"), c("cc.identificationNo").alias("costcentre_no"),
                       c("cc.name").alias("costcentre_name"))
@@ -372,9 +368,9 @@ WITH lc AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY clientObjectId
 SELECT lc.clientObjectId, lc.objectId AS allocation_id, ll.objectId AS assignment_id
 FROM lc JOIN ll ON ll.clientObjectId = lc.clientObjectId WHERE lc.rn = 1 AND ll.rn = 1""")
 def latest_pair_join(t):
-    ca = W.latest_open_per_key(t.care_allocations, ["clientObjectId"], "dateEnd", [c("objectId").desc()])
+    ca = W.latest_open_per_key(t.care_allocations, ["clientObjectId"], "dateEnd", ["objectId"])
     la = W.latest_open_per_key(FL.where(t.location_assignments, FL.ci_eq("locationType", "main")),
-                               ["clientObjectId"], "endDate", [c("objectId").desc()])
+                               ["clientObjectId"], "endDate", ["objectId"])
     return (ca.alias("ca").join(la.alias("la"), c("la.clientObjectId") == c("ca.clientObjectId"))
             .select(c("ca.clientObjectId").alias("clientObjectId"), c("ca.objectId").alias("allocation_id"),
                     c("la.objectId").alias("assignment_id")))
@@ -461,7 +457,7 @@ def latest_per_key(t):
     cpa, a = t.care_provider_addresses.alias("cpa"), t.addresses.alias("a")
     joined = cpa.join(a, c("a.objectId") == c("cpa.addressObjectId")).select(
         "cpa.careProviderObjectId", "a.objectId", "a.createdAt")
-    return W.latest_per_key(joined, ["careProviderObjectId"], [c("createdAt").desc()], [c("objectId").desc()])
+    return W.latest_per_key(joined, ["careProviderObjectId"], ["createdAt", "objectId"])
 
 
 @register("latest_open_per_key", """
@@ -470,7 +466,7 @@ SELECT clientObjectId, objectId, dateEnd FROM (
     ORDER BY coalesce(dateEnd, DATE '9999-12-31') DESC, objectId DESC) AS rn FROM fx_care_allocations) x WHERE rn = 1""")
 def latest_open_per_key(t):
     return W.latest_open_per_key(t.care_allocations.select("clientObjectId", "objectId", "dateEnd"),
-                                 ["clientObjectId"], "dateEnd", [c("objectId").desc()])
+                                 ["clientObjectId"], "dateEnd", ["objectId"])
 
 
 @register("number_within_group", """

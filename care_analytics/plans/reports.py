@@ -8,7 +8,7 @@ Sorting is applied last and only where the source sorts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from care_analytics.functions import params as P
@@ -76,8 +76,8 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
 # ---------------------------------------------------------------------------
 def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     """Versions that end before or begin after the period never reach a join;
-    in a closed period the employee joins also split by week."""
-    msa = FL.where(t.moves_shift_assignments.withColumn("_at_week", T.time_bucket("date")).alias("msa"),
+    the employee joins share one list of the days asked for."""
+    msa = FL.where(t.moves_shift_assignments.alias("msa"),
                    c("msa.discarded_at").isNull(),
                    FL.in_period("msa.date", start, end))
     mu = t.moves_units.alias("mu")
@@ -95,24 +95,25 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
 
     at = c("msa.date")
     period = (start, end)
-    by_week = {"period": period, "bucket": "_at_week"}
-    df = (msa.join(me, c("me.objectId") == c("msa.employee_id"), "inner")
-          .join(mu, c("mu.objectId") == c("msa.unit_id"), "left")
+    calendar = T.Calendar(period)
+    worked = msa.join(me, c("me.objectId") == c("msa.employee_id"), "inner")
+    # an employee works on few days, however many shifts there are
+    by_employee = {"period": period, "days": T.asked_days(worked, "me.external_id", at, calendar)}
+    df = (worked.join(mu, c("mu.objectId") == c("msa.unit_id"), "left")
           .join(mup, c("mup.objectId") == c("mu.parent_unit_id"), "left"))
     # shift version valid on the day; valid_to is the first day of the next version
-    df = T.validity_join(df, ms, c("ms.timeline_id") == c("msa.timeline_shift_id"), at,
-                         "ms.valid_from", "ms.valid_to", end_inclusive=False, period=period)
+    df = T.validity_join(df, ms, "msa.timeline_shift_id", "ms.timeline_id", at,
+                         "ms.valid_from", "ms.valid_to", end_inclusive=False, period=period,
+                         days=T.asked_days(msa, "msa.timeline_shift_id", at, calendar))
     df = df.join(mep, c("mep.objectId") == c("ms.expertise_profile_id"), "left")
-    # The three validity joins all key on employee and week: done back to back
-    # so the rows are shuffled for them once; each lookup below only reads
-    # columns of the join before it, so left joins may be reordered this way.
     df = df.join(e, c("e.objectId") == c("me.external_id"), "left")
-    df = T.validity_join(df, ta, c("ta.employeeObjectId") == c("e.objectId"), at,
-                         "ta.beginDate", "ta.endDate", end_inclusive=True, **by_week)
-    df = T.validity_join(df, epa, c("epa.employeeObjectId") == c("e.objectId"), at,
-                         "epa.startTime", "epa.endTime", end_inclusive=True, **by_week)
-    df = T.validity_join(df, co, c("co.employeeObjectId") == c("e.objectId"), at,
-                         "co.beginDate", "co.endDate", end_inclusive=True, **by_week)
+    # back to back: all three key on employee and day
+    df = T.validity_join(df, ta, "e.objectId", "ta.employeeObjectId", at,
+                         "ta.beginDate", "ta.endDate", end_inclusive=True, **by_employee)
+    df = T.validity_join(df, epa, "e.objectId", "epa.employeeObjectId", at,
+                         "epa.startTime", "epa.endTime", end_inclusive=True, **by_employee)
+    df = T.validity_join(df, co, "e.objectId", "co.employeeObjectId", at,
+                         "co.beginDate", "co.endDate", end_inclusive=True, **by_employee)
     df = df.join(tm, c("t.objectId") == c("ta.teamObjectId"), "left")
     df = df.join(ep, c("ep.objectId") == c("epa.expertiseProfileObjectId"), "left")
     df = df.join(ct, c("ct.objectId") == c("co.contractTypeObjectId"), "left")
@@ -211,39 +212,33 @@ def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFram
                  F.count(F.when(answered & c("_is_time"), 1)).alias("_n_time")))
 
 
-def _employee_costcentres(t: Tables, results: DataFrame) -> DataFrame:
-    """Team -> cost-centre chain of the employee at filling-in time, counted
-    per (result, cost centre)."""
-    sr = results.select(c("objectId").alias("_rid"), c("employeeObjectId").alias("_emp"),
-                        c("createdAt").alias("_at"))
-    ta = t.team_assignments.alias("ta")
-    cca = t.costcenter_assignments.alias("ccam")
-    cc = t.costcenters.alias("ccm")
-    df = T.validity_join(sr, ta, c("ta.employeeObjectId") == c("_emp"), c("_at"),
-                         "ta.beginDate", "ta.endDate", end_inclusive=True)
-    df = T.containment_join(df, cca, c("ccam.clusterObjectId") == c("ta.teamObjectId"),
-                            "ta.beginDate", "ta.endDate", "ccam.beginDate", "ccam.endDate")
-    df = T.containment_join(df, cc, c("ccm.objectId") == c("ccam.costcenterObjectId"),
-                            "ccam.beginDate", "ccam.endDate", "ccm.beginDate", "ccm.endDate")
-    return (df.groupBy("_rid", c("ccm.identificationNo").alias("_m_no"), c("ccm.name").alias("_m_name"))
-            .agg(F.count(F.lit(1)).alias("_n_m")))
-
-
-def _client_costcentres(t: Tables, results: DataFrame) -> DataFrame:
-    """Main location -> cost-centre chain of the client at filling-in time."""
-    sr = results.select(c("objectId").alias("_rid"), c("clientObjectId").alias("_cli"),
-                        c("createdAt").alias("_at"))
-    la = FL.where(t.location_assignments.alias("la"), FL.ci_eq("la.locationType", "main"))
-    cca = t.costcenter_assignments.alias("ccac")
-    cc = t.costcenters.alias("ccc")
-    df = T.validity_join(sr, la, c("la.clientObjectId") == c("_cli"), c("_at"),
-                         "la.beginDate", "la.endDate", end_inclusive=False)
-    df = T.containment_join(df, cca, c("ccac.unitObjectId") == c("la.locationObjectId"),
-                            "la.beginDate", "la.endDate", "ccac.beginDate", "ccac.endDate")
-    df = T.containment_join(df, cc, c("ccc.objectId") == c("ccac.costcenterObjectId"),
-                            "ccac.beginDate", "ccac.endDate", "ccc.beginDate", "ccc.endDate")
-    return (df.groupBy("_rid", c("ccc.identificationNo").alias("_c_no"), c("ccc.name").alias("_c_name"))
-            .agg(F.count(F.lit(1)).alias("_n_c")))
+def _costcentre_labels(t: Tables) -> DataFrame:
+    """Cost centres with the id (``_label``) of the first one of the same number
+    and name; none where both are missing."""
+    alike = Window.partitionBy(J.text_key("identificationNo"), J.text_key("name"))
+    label = F.when(c("identificationNo").isNotNull() | c("name").isNotNull(), F.min("objectId").over(alike))
+    return t.costcenters.withColumn("_label", label)
+
+
+def _costcentre_chain(t: Tables, assignments: DataFrame, key: str, unit: str, link: str) -> DataFrame:
+    """The cost centres of each assignment interval of a person, with their
+    number (a missing one counts): master data, found before any survey."""
+    cca = t.costcenter_assignments.alias("cca")
+    cc = _costcentre_labels(t).alias("cc")
+    own = assignments.withColumnsRenamed({"beginDate": "_begin", "endDate": "_end"})
+    df = T.containment_join(own, cca, unit, f"cca.{link}", "_begin", "_end", "cca.beginDate", "cca.endDate")
+    df = T.containment_join(df, cc, "cca.costcenterObjectId", "cc.objectId",
+                            "cca.beginDate", "cca.endDate", "cc.beginDate", "cc.endDate")
+    return (df.groupBy(c(key).alias("_person"), c("_begin").alias("_from"), c("_end").alias("_to"), c("cc._label").alias("_label"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _costcentres_at(results: DataFrame, person: str, chain: DataFrame, end_inclusive: bool, side: str) -> DataFrame:
+    """Number of cost centres per (result, cost centre) of a person at filling-in time."""
+    sr = results.select(c("objectId").alias("_rid"), c(person).alias("_who"), c("createdAt").alias("_at"))
+    df = T.validity_join(sr, chain, "_who", "_person", c("_at"), "_from", "_to", end_inclusive)
+    return (df.groupBy("_rid", c("_label").alias(f"_{side}_label"))
+            .agg(F.sum(F.coalesce(c("_n"), F.lit(1))).alias(f"_n_{side}")))
 
 
 def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) -> DataFrame:
@@ -265,8 +260,17 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
         "sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "sr.createdAt")
 
     answers = _answer_summary(t, restrict_to=results if title is not None else None)
-    emp_cc = _employee_costcentres(t, results)
-    cli_cc = _client_costcentres(t, results)
+    ta = t.team_assignments.select("employeeObjectId", "teamObjectId", "beginDate", "endDate")
+    la = FL.where(t.location_assignments, FL.ci_eq("locationType", "main")).select(
+        "clientObjectId", "locationObjectId", "beginDate", "endDate")
+    # the chains hang on the assignments alone; surveys only look up their date
+    emp_cc = _costcentres_at(results, "employeeObjectId", _costcentre_chain(
+        t, ta, "employeeObjectId", "teamObjectId", "clusterObjectId"), True, "m")
+    cli_cc = _costcentres_at(results, "clientObjectId", _costcentre_chain(
+        t, la, "clientObjectId", "locationObjectId", "unitObjectId"), False, "c")
+    # names come after the counts
+    labels = _costcentre_labels(t).groupBy("_label").agg(
+        F.min("identificationNo").alias("_no"), F.min("name").alias("_name")).filter(c("_label").isNotNull())
 
     # every per-result branch is aggregated first and joins on the result id
     # (one partitioning); people are looked up once per result
@@ -274,7 +278,9 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
           .join(t.employees.alias("e"), c("e.objectId") == c("sr.employeeObjectId"), "left")
           .join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
           .join(emp_cc, c("sr.objectId") == emp_cc["_rid"], "left").drop("_rid")
-          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid"))
+          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid")
+          .join(labels.alias("ccm"), c("ccm._label") == c("_m_label"), "left")
+          .join(labels.alias("ccc"), c("ccc._label") == c("_c_label"), "left"))
 
     total = c("_score") if dedupe else c("_score") * A.fan_factor(["_n_date", "_n_time", "_n_m", "_n_c"])
     filled = F.coalesce(c("sr.completedAt"), c("sr.createdAt"))
@@ -286,8 +292,8 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
         c("e.objectId").alias("MedewerkerID"),
         c("e.identificationNo").alias("Medewerkernummer"),
         S.concat_ws_labels(" ", "e.initials", "e.name").alias("Medewerkernaam"),
-        S.concat_ws_labels(" ", "_m_no", "_m_name").alias("Kostenplaats_Mdw"),
-        S.concat_ws_labels(" ", "_c_no", "_c_name").alias("Kostenplaats_Client"),
+        S.concat_ws_labels(" ", "ccm._no", "ccm._name").alias("Kostenplaats_Mdw"),
+        S.concat_ws_labels(" ", "ccc._no", "ccc._name").alias("Kostenplaats_Client"),
         S.compact_date(filled).alias("Ingevuld_datum"),
         S.compact_date(filled).alias("Antwoord_datum"),
         F.when(c("sr.completedAt").isNull(), F.lit("0")).otherwise(F.lit("1")).alias("VragenlijstVoltooid"),
@@ -330,7 +336,7 @@ def r05_survey_answers(t: Tables, vragenlijst="") -> DataFrame:
         S.answer_kind("sq.answertype").alias("Antwoord_Type"),
         c("sad.score").alias("Score_Meerkeuze"),
     )
-    # a survey result with a large share of all answers is split by question
+    # a survey result, or a question of it, with a large share of all answers is split
     df = W.number_within(df, ["_rid"], ["_qid", "_aid"], "_seq")
     return df.select(
         c("_rid").cast("string").alias("Ingevulde_Vragenlijst"),
@@ -390,10 +396,11 @@ def r07_pharmacies_latest_address(t: Tables, as_of, category="Apothekers") -> Da
     a = t.addresses.alias("a")
     addr = FL.where(a, FL.not_blank("a.street"),
                     T.valid_at("a.beginDate", "a.endDate", as_of, end_inclusive=True, unit="moment"))
-    addr = cpa.join(addr, c("a.objectId") == c("cpa.addressObjectId"))
-    addr = W.latest_per_key(addr, [c("cpa.careProviderObjectId")], [c("a.createdAt").desc()],
-                            [c("a.objectId").desc()])
-    df = cp.join(addr, c("cpa.careProviderObjectId") == c("cp.objectId"), "left")
+    addr = cpa.join(addr, c("a.objectId") == c("cpa.addressObjectId")).select(
+        c("cpa.careProviderObjectId").alias("_provider"), c("a.createdAt").alias("_created"), c("a.objectId").alias("_address"),
+        *[f"a.{n}" for n in ("street", "homeNumber", "homeNumberExtension", "zipcode", "city", "telephoneNumber", "email")])
+    addr = W.latest_per_key(addr, ["_provider"], ["_created", "_address"]).alias("a")
+    df = cp.join(addr, c("a._provider") == c("cp.objectId"), "left")
     return df.select(
         c("cp.fullName").alias("naam"),
         c("a.street").alias("straatnaam"),
@@ -549,14 +556,16 @@ def r12_open_location_after_care(t: Tables, eind, begin="2000-01-01", locatie="W
     documented contract); a NULL location name is never excluded."""
     ca = FL.where(t.care_allocations,
                   T.overlaps("dateBegin", "dateEnd", begin, eind, end_inclusive=True))
-    ca = W.latest_open_per_key(ca, ["clientObjectId"], "dateEnd", [c("objectId").desc()]).alias("ca")
+    ca = W.latest_open_per_key(ca.select("clientObjectId", "objectId", "dateBegin", "dateEnd"),
+                               ["clientObjectId"], "dateEnd", ["objectId"]).alias("ca")
     la = FL.where(t.location_assignments,
                   T.overlaps("beginDate", "endDate", begin, eind, end_inclusive=True),
                   FL.ci_eq("locationType", "MAIN"),
                   # an open end ranks first and only open ones are reported, so
                   # ended ones go at the scan (the last day ties with open)
                   c("endDate").isNull() | (c("endDate") >= F.lit(W.LAST_DAY).cast("date")))
-    la = W.latest_open_per_key(la, ["clientObjectId"], "endDate", [c("objectId").desc()]).alias("la")
+    la = W.latest_open_per_key(la.select("clientObjectId", "objectId", "locationObjectId", "beginDate", "endDate"),
+                               ["clientObjectId"], "endDate", ["objectId"]).alias("la")
     cl = t.clients.alias("c")
     loc = t.locations.alias("l")
     df = (ca.join(la, c("la.clientObjectId") == c("ca.clientObjectId"))
@@ -591,9 +600,9 @@ def r13_tariff_export(t: Tables) -> DataFrame:
     u = t.uzovis.alias("u")
     df = (dt_.join(p, c("p.objectId") == c("dt.productObjectId"), "left")
           .join(ft, c("ft.objectId") == c("p.financeTypeObjectId"), "left")
-          .join(eu, c("eu.code") == c("dt.tariffUnit"), "left")
+          .join(eu, J.text_key("eu.code") == J.text_key("dt.tariffUnit"), "left")
           .join(d, c("d.objectId") == c("dt.debtorObjectId"), "left")
-          .join(ldt, c("ldt.code") == c("d.type"), "left")
+          .join(ldt, J.text_key("ldt.code") == J.text_key("d.type"), "left")
           .join(u, c("u.objectId") == c("d.uzoviObjectId"), "left"))
     return df.select(
         c("ft.id").alias("Importcode legitimatie"),
@@ -626,18 +635,16 @@ def r14_confidential_documents(t: Tables, as_of) -> DataFrame:
     tg = t.tags.alias("tg")
     st = t.lst_document_statuses.alias("st")
     cl = t.clients.alias("c")
-    # the status and client lookups depend on the document only, so they
-    # come before the 1-n bridges: the rows moved for the client lookup are
-    # the documents, not their fanned-out combinations
-    df = J.fan_out(d, [
-        (st, c("st.code") == c("d.status")),
-        (cl, c("c.objectId") == c("d.clientObjectId")),
-        (deg, c("deg.documentObjectId") == c("d.objectId")),
-        (eg, c("eg.objectId") == c("deg.expertiseGroupObjectId")),
-        (dr, c("dr.documentObjectId") == c("d.objectId")),
-        (ep, c("ep.objectId") == c("dr.educationObjectId")),
-        (dtg, c("dtg.documentObjectId") == c("d.objectId")),
-        (tg, c("tg.objectId") == c("dtg.tagObjectId")),
+    df = (d.join(st, J.text_key("st.code") == J.text_key("d.status"), "left")
+          .join(cl, c("c.objectId") == c("d.clientObjectId"), "left"))
+    # names are looked up per bridge row, before the product
+    df = J.fan_out(df, "d.objectId", [
+        (deg.join(eg, c("eg.objectId") == c("deg.expertiseGroupObjectId"), "left"), "deg.documentObjectId",
+         {"deskundigheidsgroep": c("eg.name")}),
+        (dr.join(ep, c("ep.objectId") == c("dr.educationObjectId"), "left"), "dr.documentObjectId",
+         {"deskundigheidsprofiel": c("ep.description"), "deskundigheidsprofiel_zichtbaar": c("ep.visible")}),
+        (dtg.join(tg, c("tg.objectId") == c("dtg.tagObjectId"), "left"), "dtg.documentObjectId",
+         {"document_label": c("tg.name")}),
     ])
     return df.select(
         c("d.objectId").alias("objectId"),
@@ -651,10 +658,7 @@ def r14_confidential_documents(t: Tables, as_of) -> DataFrame:
         c("d.confidential").alias("vertrouwelijk"),
         c("d.createdAt").alias("aangemaakt_op"),
         c("d.updatedAt").alias("bewerkt_op"),
-        c("eg.name").alias("deskundigheidsgroep"),
-        c("ep.description").alias("deskundigheidsprofiel"),
-        c("ep.visible").alias("deskundigheidsprofiel_zichtbaar"),
-        c("tg.name").alias("document_label"),
+        "deskundigheidsgroep", "deskundigheidsprofiel", "deskundigheidsprofiel_zichtbaar", "document_label",
     )
 
 
@@ -671,7 +675,7 @@ def r15_presence_logs(t: Tables, start, end) -> DataFrame:
     a = t.activities.alias("a")
     df = (pl.join(e, c("e.objectId") == c("pl.employeeId"), "left")
           .join(tm, c("t.objectId") == c("pl.costClusterObjectId"), "left")
-          .join(lpt, c("lpt.code") == c("t.poolcluster"), "left")
+          .join(lpt, J.text_key("lpt.code") == J.text_key("t.poolcluster"), "left")
           .join(a, c("pl.activityObjectId") == c("a.objectId"), "left"))
     return df.select(
         c("pl.startDate").alias("startdatum"),

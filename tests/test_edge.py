@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from care_analytics.functions import scalars as S
@@ -130,13 +131,13 @@ def test_latest_per_key_tie_break(spark):  # W1, W2, T10
     df = spark.createDataFrame([(1, 10, D(2020, 1, 1), None), (1, 11, D(2020, 1, 1), D(2021, 1, 1)),
                                 (2, 20, D(2019, 1, 1), D(2019, 5, 1)), (2, 21, None, D(2019, 6, 1))],
                                "k int, id int, created date, e date")
-    latest = W.latest_per_key(df, ["k"], [F.col("created").desc()], [F.col("id").desc()])
+    latest = W.latest_per_key(df, ["k"], ["created", "id"])
     assert rows(latest, "k", "id") == [(1, 11), (2, 20)]
-    open_latest = W.latest_open_per_key(df, ["k"], "e", [F.col("id").desc()])
+    open_latest = W.latest_open_per_key(df, ["k"], "e", ["id"])
     assert rows(open_latest, "k", "id") == [(1, 10), (2, 21)]
     # an explicit last day ties with an open end; the higher id wins
     tied = spark.createDataFrame([(1, 10, None), (1, 11, D(9999, 12, 31)), (2, 5, D(9999, 12, 31)), (2, 6, None)], "k int, id int, e date")
-    assert rows(W.latest_open_per_key(tied, ["k"], "e", [F.col("id").desc()]), "k", "id") == [(1, 11), (2, 6)]
+    assert rows(W.latest_open_per_key(tied, ["k"], "e", ["id"]), "k", "id") == [(1, 11), (2, 6)]
 
 
 def test_number_after_filter(spark):  # W3, T13
@@ -175,40 +176,126 @@ def test_token_table(spark, spec, expected):  # S4
 
 def test_numbering_of_a_hot_key_with_nulls_and_large_ids(spark):  # W3 at scale
     # key 0 holds a third of the rows; NULL keys and NULL order values too; ids beyond 2^53
-    from pyspark.sql import Window
     df = spark.range(0, 30000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 100 == 1, F.lit(None))
          .otherwise(F.col("id") % 97).alias("k"),
         (F.col("id") % 2).alias("k2"),
         F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id") % 700).alias("o"),
         (F.col("id") + F.lit(9007199254740993)).alias("tie"))
-    for keys in (["k"], ["k", "k2"]):
-        for deep in (1, 2):
-            got = W.number_within(df, keys, ["o", "tie"], "rn", deep=deep).select("tie", "rn")
-            w = Window.partitionBy(*keys).orderBy(F.col("o").asc_nulls_first(), F.col("tie").asc_nulls_first())
-            want = df.withColumn("rn", F.row_number().over(w).cast("bigint")).select("tie", "rn")
-            assert got.count() == 30000 and dict(got.dtypes)["rn"] == "bigint"
-            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_validity_join_by_week_matches_plain(spark):  # J3/J4 with a hot key
-    left = spark.range(0, 3000).select((F.col("id") % 5).alias("k"), F.col("id").alias("lid"),
-                                       F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 200).cast("int")).alias("d"))
+    for keys, order in ((["k"], ["o", "tie"]), (["k", "k2"], ["o", "tie"]), (["k"], ["tie"]), (["k"], ["o", "k2", "tie"])):
+        got = W.number_within(df, keys, order, "rn").select("tie", "rn")
+        w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+        want = df.withColumn("rn", F.row_number().over(w).cast("bigint")).select("tie", "rn")
+        assert got.count() == 30000 and dict(got.dtypes)["rn"] == "bigint"
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_numbering_splits_a_hot_question(spark):  # W3
+    # one (survey, question) holds a third of the answers; its rows come in lists of at most 4096
+    df = spark.range(0, 60000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 911).alias("r"),
+                                      F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 13).alias("q"), F.col("id").alias("a"))
+    got = W.number_within(df, ["r"], ["q", "a"], "n")
+    w = Window.partitionBy("r").orderBy("q", "a")
+    want = df.withColumn("n", F.row_number().over(w).cast("bigint"))
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == 60000
+    spans = df.filter("r = 5 and q = 7").groupBy(F.shiftright("a", W.GROUP_BITS)).count()
+    assert spans.agg(F.max("count")).first()[0] <= 1 << W.GROUP_BITS and spans.count() > 10
+
+
+def test_children_of_a_hot_parent_come_in_bounded_lists(spark):  # J12
+    parents = spark.range(0, 5).withColumnRenamed("id", "p")
+    tags = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).alias("tp"), F.col("id").alias("tag"))
+    rights = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "x")], "rp long, right string")
+    lists = J.nested_children(tags, "tp", {"tag": F.col("tag")}, "rows")
+    assert lists.filter(F.size("rows") > 1024).count() == 0 and lists.agg(F.sum(F.size("rows"))).first()[0] == 9000
+    got = J.fan_out(parents, "p", [(tags, "tp", {"tag": F.col("tag")}), (rights, "rp", {"right": F.upper("right")})])
+    want = parents.join(tags, F.col("p") == F.col("tp"), "left").join(rights, F.col("p") == F.col("rp"), "left").select("p", "tag", F.upper("right").alias("right"))
+    assert got.columns == ["p", "tag", "right"]
+    assert got.count() == want.count() == 6004 and got.exceptAll(want).count() == 0
+
+
+def plain_validity(left, right, incl):
+    valid = (F.col("b") <= F.col("d")) & (F.col("e").isNull() | ((F.col("e") >= F.col("d")) if incl else (F.col("e") > F.col("d"))))
+    return left.join(right, (F.col("k") == F.col("rk")) & valid, "left").select("lid", "rid")
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Rows and versions where key 0 holds a third; NULL keys, missing begins, open and inverted intervals,
+    days before, inside and after the calendar."""
+    left = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id") % 7).alias("k"),
+        F.col("id").alias("lid"),
+        F.when(F.col("id") % 97 == 0, F.lit(D(1850, 3, 1))).when(F.col("id") % 89 == 0, F.lit(D(2300, 1, 1))).when(F.col("id") % 83 == 0, F.lit(None))
+         .otherwise(F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 200).cast("int"))).alias("d"))
     right = spark.range(0, 900).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 7).alias("rk"), F.col("id").alias("rid"),
-        F.when(F.col("id") % 31 != 0, F.date_add(F.lit(D(2023, 10, 1)), (F.col("id") % 400).cast("int"))).alias("b"),
-        F.when(F.col("id") % 5 == 0, F.lit(None))
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 41 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("rk"), F.col("id").alias("rid"),
+        F.when(F.col("id") % 61 == 0, F.lit(D(1800, 1, 1)))
+         .when(F.col("id") % 31 != 0, F.date_add(F.lit(D(2023, 10, 1)), (F.col("id") % 400).cast("int"))).alias("b"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).when(F.col("id") % 59 == 0, F.lit(D(2400, 1, 1))).when(F.col("id") % 53 == 0, F.lit(D(2023, 1, 1)))
          .otherwise(F.date_add(F.lit(D(2023, 10, 1)), (F.col("id") % 400 + F.col("id") % 40).cast("int"))).alias("e"))
-    on = F.col("k") == F.col("rk")
-    period = (D(2024, 1, 1), "2024-07-18")
-    for incl in (True, False):
-        weekly = T.validity_join(left.withColumn("w", T.time_bucket("d")), right, on, F.col("d"), "b", "e", incl, "left", period=period, bucket="w")
-        plain = T.validity_join(left, right, on, F.col("d"), "b", "e", incl, "left")
-        half = T.validity_join(left, right, on, F.col("d"), "b", "e", incl, "left", period=("2024-01-01", ""))
-        assert "_week" in weekly._jdf.queryExecution().optimizedPlan().toString()
-        for other in (weekly, half):
-            assert other.select("lid", "rid").count() == plain.count()
-            assert other.select("lid", "rid").exceptAll(plain.select("lid", "rid")).count() == 0
+    return left, right
+
+
+@pytest.mark.parametrize("incl", [True, False])
+@pytest.mark.parametrize("period", [None, ("2024-01-01", ""), ("", "2300-01-01")])
+def test_validity_join_by_nodes_matches_plain(hot, incl, period):  # J3, J4
+    left, right = hot
+    if period and period[0]:
+        left = left.filter(F.col("d") >= F.lit(D(2024, 1, 1)))
+    got = T.validity_join(left, right, "k", "rk", F.col("d"), "b", "e", incl, "left", period=period).select("lid", "rid")
+    want = plain_validity(left, right, incl)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("days", [0, 1, 30, 31, 200])
+def test_validity_join_in_a_closed_period(hot, days):
+    left, right = hot
+    last = D(2024, 1, 1) + dt.timedelta(days)
+    left = left.filter(F.col("d").between(D(2024, 1, 1), last))
+    got = T.validity_join(left, right, "k", "rk", F.col("d"), "b", "e", True, "left", period=("2024-01-01", last)).select("lid", "rid")
+    want = plain_validity(left, right, True)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_versions_are_copied_twice_a_level_at_most(spark, hot):
+    right = hot[1].filter(F.col("b").isNotNull())
+    for calendar in (T.Calendar(), T.Calendar(("2024-01-01", "2024-07-18"))):
+        tiled = calendar.tiled(right, F.col("b"), F.col("e"))
+        assert tiled.groupBy("rid").count().agg(F.max("count")).first()[0] <= 2 * calendar.levels
+        # each day of an interval stands under exactly one node
+        days = spark.range(0, 1 << calendar.levels).select((F.col("id") + (1 << calendar.levels)).alias("leaf"))
+        some = tiled.filter("rid % 60 = 7").alias("t").join(days, F.expr(
+            " or ".join(f"shiftright(leaf, {i}) = _tile" for i in range(calendar.levels + 1)))).groupBy("rid", "leaf").count()
+        assert some.filter("count > 1").count() == 0
+
+
+def test_a_hot_employee_is_spread_by_days(spark):  # J3, J4 with open ends
+    # one employee has half of the rows and of the versions, most of them open; a task holds few of them
+    left = spark.range(0, 40000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("lid"),
+                                        F.date_add(F.lit(D(2015, 1, 1)), (F.col("id") % 3000).cast("int")).alias("d"))
+    right = spark.range(0, 200).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("rk"), F.col("id").alias("rid"),
+                                       F.date_add(F.lit(D(2015, 1, 1)), (F.col("id") * 17).cast("int")).alias("b"),
+                                       F.when(F.col("id") % 8 == 0, F.date_add(F.lit(D(2015, 1, 1)), (F.col("id") * 17 + 400).cast("int"))).alias("e"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = T.validity_join(left, right, "k", "rk", F.col("d"), "b", "e", True, "left")
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("lid").alias("n")).collect()]
+        want = plain_validity(left, right, True)
+        assert joined.count() == want.count() and joined.select("lid", "rid").exceptAll(want).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 40000 and max(sizes) < 1.5 * 40000 / len(sizes)
+
+
+def test_containment_join_matches_plain(hot):  # J5, with inverted intervals on either side
+    inner = hot[1].select(F.col("rk").alias("k"), F.col("rid").alias("lid"), F.col("b").alias("d"), F.col("e").alias("f"))
+    outer = hot[1]
+    got = T.containment_join(inner, outer, "k", "rk", "d", "f", "b", "e").select("lid", "rid")
+    want = inner.join(outer, (F.col("k") == F.col("rk")) & (F.col("b") <= F.col("d")) & (F.col("e").isNull() | (F.col("e") >= F.col("f"))), "left").select("lid", "rid")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
 def test_sums_keep_four_decimals(spark):
