@@ -125,40 +125,51 @@ def dutch_date_text(col) -> Column:
     return date_text(col, "dd-MM-yyyy")
 
 
-# Numeric Dutch date layouts accepted by parse_dutch_date, in order.
-NUMERIC_DATE_FORMATS = ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy", "yyyy-M-d")
-# Dutch weekday names, as they may stand before a date.
+# Dutch weekday names, as they may stand before a date, and month names.
 WEEKDAYS = ("maandag", "dinsdag", "woensdag", "donderdag", "vrijdag", "zaterdag", "zondag",
             "ma", "di", "wo", "do", "vr", "za", "zo")
+MONTHS = ("januari", "februari", "maart", "april", "mei", "juni", "juli", "augustus",
+          "september", "oktober", "november", "december")
+SHORT_MONTHS = ("jan", "feb", "mrt", "apr", "mei", "jun", "jul", "aug", "sep", "okt", "nov", "dec")
 # A two-digit year up to this one is in this century, later ones in the last.
 LAST_SHORT_YEAR = 49
-MONTH_NAME_FORMATS = ("d MMMM yyyy", "d MMM yyyy")
 
-
-def parse_dutch_date(col) -> Column:
+_MONTH = rf"({'|'.join(dict.fromkeys(MONTHS + SHORT_MONTHS))})\.?"
+_YEAR = r"(\d{4}|\d{2})"
+# one alternative per order of the parts; at most one of them fills its groups
+DUTCH_DATE = (
+    rf"(?i)^(?:(?:{'|'.join(WEEKDAYS)})\.?,?\s+)?(?:"
+    r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"               # 1 year, 2 month, 3 day
+    rf"|(\d{{1,2}})([-/.])(\d{{1,2}})\5{_YEAR}"           # 4 day, 6 month, 7 year
+    r"|(\d{1,2})[-/](\d{1,2})"                           # 8 day, 9 month
+    rf"|(\d{{1,2}})[\s-]+{_MONTH}(?:[\s-]+{_YEAR})?"      # 10 day, 11 name, 12 year
+    rf"|{_MONTH}\s+(\d{{4}})"                             # 13 name, 14 year
+    r"|(\d{4})(\d{2})(\d{2})"                            # 15 year, 16 month, 17 day
+    r")(?:(?:\s+|T)\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?)?$")
+# year, month number, month name, day
+DUTCH_PARTS = "$1$7$12$14$15;$2$6$9$16;$11$13;$3$4$8$10$17"
+
+
+def parse_dutch_date(col, as_of=None) -> Column:
     """Dutch date text -> DATE, or NULL when nothing fits.
 
-    Numeric layouts (``3-1-2025``, ``03/01/2025``, ``3.1.2025``,
-    ``2025-01-03``) and month names in Dutch (``3 maart 2025``,
-    ``3 mrt 2025``), after a weekday name or not, with years of four digits
-    or two (``3-1-25``).  Month names go through the CSV date parser, which is
-    the built-in that honours a locale.
+    The text is an optional weekday, a date and an optional time (dropped).  The
+    date is day, month and year in this order, the month as a number or as a
+    Dutch name or short name, the parts apart by ``-``, ``/``, ``.`` or blanks;
+    or year, month, day (``2025-01-03``, ``20250103``); or a month and a year
+    (its first day).  A two-digit year falls in 1950-2049; a missing one is that
+    of ``as_of``, or the text gives NULL without it.
     """
     c = F.trim(lit_or_col(col).cast("string"))
-    c = F.trim(F.regexp_replace(c, rf"^(?i)({'|'.join(WEEKDAYS)})\.?,?\s+", ""))
-    short = F.regexp_extract(c, r"^\d{1,2}(?:[-/.]\d{1,2}[-/.]| \p{L}+\.? )(\d{2})$", 1)
-    century = F.when(short.try_cast("int") <= LAST_SHORT_YEAR, F.lit("20")).otherwise(F.lit("19"))
-    c = F.when(short != "", F.concat(F.substring(c, F.lit(1), F.length(c) - 2), century, short)).otherwise(c)
-    numeric = [F.try_to_date(c, fmt) for fmt in NUMERIC_DATE_FORMATS]
-    # Abbreviated Dutch months carry a dot in the locale data ('mrt.'); 'mei'
-    # is never abbreviated.  Add the dot when the user left it out.
-    dotted = F.regexp_replace(c, r"^(\d{1,2}) ((?i)(?!mei)[a-z]{3}) (\d{4})$", "$1 $2. $3")
-    named = [
-        F.from_csv(dotted, "d DATE", {"dateFormat": fmt, "locale": "nl-NL", "sep": "\u0001",
-                                      "mode": "PERMISSIVE"}).getField("d")
-        for fmt in MONTH_NAME_FORMATS
-    ]
-    return F.coalesce(*numeric, *named)
+    # unfilled groups are empty, so the parts stand at fixed places; a text that does not fit has no parts
+    parts = F.split(F.when(c.rlike(DUTCH_DATE), F.regexp_replace(c, DUTCH_DATE, DUTCH_PARTS)), ";")
+    year, month, name, day = (parts.getItem(i) for i in range(4))
+    names = F.create_map(*[F.lit(x) for i in range(12) for n in dict.fromkeys((MONTHS[i], SHORT_MONTHS[i])) for x in (n, str(i + 1))])
+    missing = F.lit(None).cast("string") if as_of is None else F.lit(str(as_of.year))
+    short = F.concat(F.when(year.try_cast("int") <= LAST_SHORT_YEAR, F.lit("20")).otherwise(F.lit("19")), year)
+    full = F.when(year == "", missing).when(F.length(year) == 2, short).otherwise(year)
+    number = F.when(name == "", month).otherwise(F.try_element_at(names, F.lower(name)))
+    return F.try_to_date(F.concat(full, F.lit("-"), number, F.lit("-"), F.when(day == "", F.lit("1")).otherwise(day)), "yyyy-M-d")
 
 
 def map_codes(col: str, pairs: dict[str, str], case_sensitive: bool = False) -> Column:

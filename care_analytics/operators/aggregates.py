@@ -10,15 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from care_analytics.operators.text import grouped
+
 
 def group_sum(df: DataFrame, keys, value: str, name: str) -> DataFrame:
     """``SUM(value)`` per key in the column's own type; a decimal keeps its
-    scale and sums to 38 digits."""
+    scale and sums to 38 digits.  Text keys are grouped by the text rule."""
     kind = df.select(value).schema[0].dataType
     total = F.sum(value)
     if isinstance(kind, DecimalType):
         total = total.cast(DecimalType(38, kind.scale))
-    return df.groupBy(*keys).agg(total.alias(name))
+    return grouped(df, list(keys), total.alias(name))
 
 
 def groups_with_many(df: DataFrame, key, item, min_count: int, name: str) -> DataFrame:

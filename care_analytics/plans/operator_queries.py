@@ -17,6 +17,7 @@ from care_analytics.operators import aggregates as A
 from care_analytics.operators import filters as FL
 from care_analytics.operators import joins as J
 from care_analytics.operators import temporal as T
+from care_analytics.operators import text as TX
 from care_analytics.operators import windows as W
 
 c = F.col
@@ -46,7 +47,39 @@ def project_rename(t):
 
 @register("sorted_multi_key", "SELECT objectId, lastName, firstName FROM fx_clients")
 def sorted_multi_key(t):
-    return t.clients.select("objectId", "lastName", "firstName").orderBy("lastName", "firstName", "objectId")
+    df = t.clients.select("objectId", "lastName", "firstName")
+    return df.orderBy(*TX.in_order(df, "lastName", "firstName", "objectId"))
+
+
+@register("sorted_text", "SELECT objectId, segment, city FROM fx_spellings")
+def sorted_text(t):
+    df = t.view("fx_spellings").select("objectId", "segment", "city")
+    return df.orderBy(*TX.in_order(df, "segment", "city"))
+
+
+@register("distinct_text", """
+SELECT s.segment, s.city FROM (
+  SELECT min({'segment': segment, 'city': city}) AS s FROM fx_spellings
+  GROUP BY rtrim(segment, ' ') COLLATE NOCASE, rtrim(city, ' ') COLLATE NOCASE)""")
+def distinct_text(t):
+    return TX.distinct_rows(t.view("fx_spellings").select("segment", "city"))
+
+
+@register("group_by_text", """
+SELECT min(segment) AS segment, nation, COUNT(*) AS n, CAST(SUM(balance) AS DECIMAL(38,2)) AS balance
+FROM fx_spellings GROUP BY rtrim(segment, ' ') COLLATE NOCASE, nation""")
+def group_by_text(t):
+    df = t.view("fx_spellings")
+    return TX.grouped(df, ["segment", "nation"], F.count(F.lit(1)).alias("n"), F.sum("balance").cast("decimal(38,2)").alias("balance"))
+
+
+@register("text_code_join", """
+SELECT a.objectId, b.code FROM fx_spellings a
+JOIN (SELECT DISTINCT rtrim(lower(segment), ' ') AS code FROM fx_spellings) b ON rtrim(a.segment, ' ') COLLATE NOCASE = b.code""")
+def text_code_join(t):
+    a = t.view("fx_spellings")
+    codes = TX.distinct_rows(a.select("segment")).select(F.lower(F.rtrim("segment")).alias("code"))
+    return a.join(codes, TX.as_text("segment") == TX.as_text("code")).select("objectId", "code")
 
 
 @register("distinct_pairs", """
@@ -601,3 +634,10 @@ def parse_dutch_date(t):
     out = sa.join(sq, c("_q") == c("sa.questionObjectId"))
     return out.select(c("sa.objectId").alias("objectId"), c("sa.text").alias("text"),
                       S.compact_date(S.parse_dutch_date("sa.text")).alias("datum"))
+
+
+@register("parse_dutch_layouts", """
+SELECT objectId, written, CASE WHEN parts THEN make_date(1998, month(d), day(d)) ELSE d END AS parsed FROM fx_written_dates""")
+def parse_dutch_layouts(t):
+    """Every layout that is accepted, the year taken from the reference date where it is missing."""
+    return t.view("fx_written_dates").select("objectId", "written", S.parse_dutch_date("written", D).alias("parsed"))

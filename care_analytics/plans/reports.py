@@ -18,6 +18,7 @@ from care_analytics.operators import aggregates as A
 from care_analytics.operators import filters as FL
 from care_analytics.operators import joins as J
 from care_analytics.operators import temporal as T
+from care_analytics.operators import text as TX
 from care_analytics.operators import windows as W
 from care_analytics.sources.catalog import Tables
 
@@ -68,7 +69,8 @@ def r01_clients_without_contact(t: Tables, enddate="2025", costcentre="1000-3000
     out = J.without_related(table_alle, related, c("clientId") == c("_cid"))
     # extra sort keys after the source's only refine its order; they let the
     # range partitioning of the sort split a value shared by many rows
-    return out.distinct().orderBy("clientId", "costcenterNo", "costcentreName")
+    out = TX.distinct_rows(out)
+    return out.orderBy(*TX.in_order(out, "clientId", "costcenterNo", "costcentreName"))
 
 
 # ---------------------------------------------------------------------------
@@ -215,7 +217,7 @@ def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFram
 def _costcentre_labels(t: Tables) -> DataFrame:
     """Cost centres with the id (``_label``) of the first one of the same number
     and name; none where both are missing."""
-    alike = Window.partitionBy(J.text_key("identificationNo"), J.text_key("name"))
+    alike = Window.partitionBy(TX.as_text("identificationNo"), TX.as_text("name"))
     label = F.when(c("identificationNo").isNotNull() | c("name").isNotNull(), F.min("objectId").over(alike))
     return t.costcenters.withColumn("_label", label)
 
@@ -449,7 +451,7 @@ def r09_current_locations(t: Tables, as_of) -> DataFrame:
     df = (cl.join(ca, c("ca.clientObjectId") == c("c.objectId"))
           .join(la, c("la.clientObjectId") == c("c.objectId"))
           .join(loc, c("l.objectId") == c("la.locationObjectId")))
-    return df.select(
+    df = df.select(
         c("c.objectId").alias("client_id"),
         c("c.identificationNo").alias("clientnummer"),
         c("c.givenName").alias("roepnaam"),
@@ -466,8 +468,9 @@ def r09_current_locations(t: Tables, as_of) -> DataFrame:
         c("la.endDate").alias("locatie_eind"),
         c("ca.dateBegin").alias("zorg_begin"),
         c("ca.dateEnd").alias("zorg_eind"),
-    ).orderBy("locatie_naam", "achternaam", "voornaam", "client_id", "locatie_id",
-              "zorg_begin", "locatie_begin")
+    )
+    return df.orderBy(*TX.in_order(df, "locatie_naam", "achternaam", "voornaam", "client_id", "locatie_id",
+                                   "zorg_begin", "locatie_begin"))
 
 
 # ---------------------------------------------------------------------------
@@ -488,7 +491,8 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
     # The output is DISTINCT over a few columns of each side, so each side is
     # reduced to distinct values of those columns before the per-client join.
     lg = (in_period(leg, "").filter(patterns.like(c("legitimatie"), legitimation))
-          .select("clientno", "clientObjectId", "client", "geboren", "legitimatie").distinct().alias("l"))
+          .select("clientno", "clientObjectId", "client", "geboren", "legitimatie"))
+    lg = TX.distinct_rows(lg).alias("l")
     ca = (FL.where(t.care_allocations, T.overlaps("dateBegin", "dateEnd", start, end, end_inclusive=False))
           .select("clientObjectId", "dateBegin", "dateEnd").distinct().alias("ca"))
     # lists are built for the reported clients only
@@ -511,7 +515,7 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
                           {"aantal_producten": 0, "producten": ""})
     df = J.attach_summary(df, trajectories, c("_tc") == c("l.clientObjectId"),
                           {"aantal_actieve_jeugdtrajecten": 0, "actieve_jeugdtrajecten": ""})
-    return df.select(
+    df = df.select(
         c("l.clientno").alias("clientno"),
         c("l.clientObjectId").alias("clientObjectId"),
         c("l.client").alias("client"),
@@ -523,7 +527,9 @@ def r10_youth_act_clients(t: Tables, start, end, legitimation="%JW%") -> DataFra
         c("producten"),
         c("aantal_actieve_jeugdtrajecten").cast("bigint").alias("aantal_actieve_jeugdtrajecten"),
         c("actieve_jeugdtrajecten"),
-    ).distinct().orderBy("client", "clientObjectId", "startdatum_in_zorg", "einddatum_in_zorg")
+    )
+    out = TX.distinct_rows(df)
+    return out.orderBy(*TX.in_order(out, "client", "clientObjectId", "startdatum_in_zorg", "einddatum_in_zorg"))
 
 
 # ---------------------------------------------------------------------------
@@ -700,6 +706,5 @@ def r15_presence_logs(t: Tables, start, end) -> DataFrame:
 # Template: select, filter on a non-NULL column, sort
 # ---------------------------------------------------------------------------
 def starter_query(df: DataFrame, first: str, second: str) -> DataFrame:
-    return (df.filter(c(first).isNotNull())
-            .select(c(first).alias("kolom_1"), c(second).alias("kolom_2"))
-            .orderBy("kolom_1", "kolom_2"))
+    out = df.filter(c(first).isNotNull()).select(c(first).alias("kolom_1"), c(second).alias("kolom_2"))
+    return out.orderBy(*TX.in_order(out, "kolom_1", "kolom_2"))

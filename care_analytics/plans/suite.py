@@ -43,6 +43,19 @@ REPORTS = {
     "starter_query": (lambda t: R.starter_query(t.locations, "name", "identificationNo"), O.STARTER),
 }
 
+# Sort keys of the sorted queries, as the source has them (output columns).
+ORDERS = {
+    "r01_clients_without_contact": ["clientId"],
+    "r06_multi_client_events": ["afspraak_start", "eventObjectId"],
+    "r08_recent_guardians": ["updatedAt"],
+    "r09_current_locations": ["locatie_naam", "achternaam", "voornaam"],
+    "r10_youth_act_clients": ["client"],
+    "r12_open_location_after_care": ["legitimatie_eind"],
+    "starter_query": ["kolom_1", "kolom_2"],
+    "sorted_multi_key": ["lastName", "firstName"],
+    "sorted_text": ["segment", "city"],
+}
+
 
 def all_queries() -> dict:
     from care_analytics.plans import operator_queries as OQ

@@ -163,7 +163,7 @@ VIEWS: dict[str, str] = {
     "fx_expertise_profile_assignments": """SELECT event_id AS objectId, user_id AS employeeObjectId,
         event_id % 25 AS expertiseProfileObjectId, CAST(ts AS DATE) - 3 AS startTime,
         CASE WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 12 AS INT) END AS endTime
-        FROM {events} WHERE event_type = 'purchase' AND event_id % 3 = 0""",
+        FROM {events} WHERE event_type = 'purchase'""",
     "fx_contracts": """SELECT c_custkey AS objectId, c_custkey AS employeeObjectId, c_nationkey AS contractTypeObjectId,
         DATE '2023-01-01' + CAST(c_custkey % 380 AS INT) AS beginDate,
         CASE WHEN c_custkey % 3 = 0 THEN DATE '2024-01-20' END AS endDate FROM {customer}""",
@@ -186,6 +186,25 @@ VIEWS: dict[str, str] = {
     "fx_document_rights": """SELECT doc_id AS documentObjectId, doc_id % 25 AS educationObjectId FROM {documents} WHERE doc_id % 3 <> 0""",
     "fx_activities": """SELECT DISTINCT event_type AS objectId, concat('A ', event_type) AS description,
         substr(event_type,1,3) AS identificationNo FROM {events} WHERE event_type <> 'view'""",
+    # spellings of one text: case and trailing blanks differ
+    "fx_spellings": """SELECT c_custkey AS objectId, c_nationkey AS nation, CAST(c_acctbal AS DECIMAL(18,2)) AS balance,
+        CASE c_custkey % 4 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN concat(lower(c_mktsegment), '  ') WHEN 2 THEN concat(substr(c_mktsegment,1,1), lower(substr(c_mktsegment,2))) END AS segment,
+        CASE WHEN c_custkey % 3 = 0 THEN concat('Plaats ', CAST(c_custkey % 40 AS STRING)) ELSE concat('PLAATS ', CAST(c_custkey % 40 AS STRING), ' ') END AS city FROM {customer}""",
+    # dates as people write them; ``parts``: without a year
+    "fx_written_dates": """SELECT line_id AS objectId, ship_d AS d, line_id % 12 IN (8, 9) AS parts,
+        CASE line_id % 12 WHEN 0 THEN concat(CAST(day(ship_d) AS STRING), ' ', split_part('januari,februari,maart,april,mei,juni,juli,augustus,september,oktober,november,december', ',', CAST(month(ship_d) AS INT)), ' ', CAST(year(ship_d) AS STRING))
+          WHEN 1 THEN concat('Maandag, ', CAST(day(ship_d) AS STRING), '  ', split_part('JAN,feb,mrt.,Apr,mei,jun,jul,aug.,sep,okt,nov,dec', ',', CAST(month(ship_d) AS INT)), ' ', CAST(year(ship_d) AS STRING))
+          WHEN 2 THEN concat(CAST(day(ship_d) AS STRING), '-', CAST(month(ship_d) AS STRING), '-', substr(CAST(year(ship_d) AS STRING), 3))
+          WHEN 3 THEN replace(CAST(ship_d AS STRING), '-', '')
+          WHEN 4 THEN concat(CAST(ship_d AS STRING), 'T13:45:01')
+          WHEN 5 THEN concat(CAST(day(ship_d) AS STRING), '/', CAST(month(ship_d) AS STRING), '/', CAST(year(ship_d) AS STRING), ' 9:05')
+          WHEN 6 THEN concat(' zo. ', CAST(day(ship_d) AS STRING), '.', CAST(month(ship_d) AS STRING), '.', CAST(year(ship_d) AS STRING), ' ')
+          WHEN 7 THEN concat(CAST(year(ship_d) AS STRING), '/', CAST(month(ship_d) AS STRING), '/', CAST(day(ship_d) AS STRING))
+          WHEN 8 THEN concat(CAST(day(ship_d) AS STRING), ' ', split_part('januari,februari,maart,april,mei,juni,juli,augustus,september,oktober,november,december', ',', CAST(month(ship_d) AS INT)))
+          WHEN 9 THEN concat(CAST(day(ship_d) AS STRING), '-', CAST(month(ship_d) AS STRING))
+          WHEN 10 THEN concat(CAST(day(ship_d) AS STRING), '-', split_part('jan,feb,mrt,apr,mei,jun,jul,aug,sep,okt,nov,dec', ',', CAST(month(ship_d) AS INT)), '-', substr(CAST(year(ship_d) AS STRING), 3), ' 23:59:59.5')
+          ELSE concat('di ', CAST(ship_d AS STRING)) END AS written FROM {fx_line}
+        WHERE NOT (line_id % 12 IN (8, 9) AND month(ship_d) = 2 AND day(ship_d) = 29)""",
     "fx_pool_types": """SELECT n_nationkey AS code, n_name AS description FROM {nation} WHERE n_nationkey % 2 = 0""",
 }
 

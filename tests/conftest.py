@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 def spark():
     from care_analytics.session import local_session
     session = local_session(cores="*", shuffle_partitions=8, app="care-analytics-tests")
+    # plan tests look for table names in the locations of scans
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
 

@@ -11,6 +11,7 @@ from care_analytics.operators import aggregates as A
 from care_analytics.operators import filters as FL
 from care_analytics.operators import joins as J
 from care_analytics.operators import temporal as T
+from care_analytics.operators import text as TX
 from care_analytics.operators import windows as W
 
 D = dt.date
@@ -113,12 +114,29 @@ def test_labels_and_maps(spark):  # X12, X13, X15
 
 
 def test_parse_dutch_date(spark):  # X23
-    cases = {"3-1-2025": D(2025, 1, 3), "03/01/2025": D(2025, 1, 3), "2025-01-03": D(2025, 1, 3),
-             "3 maart 2025": D(2025, 3, 3), "3 mrt 2025": D(2025, 3, 3), "12 mei 2024": D(2024, 5, 12),
-             "3-1-25": D(2025, 1, 3), "zondag 5 januari 2025": D(2025, 1, 5), "za 4/1/97": D(1997, 1, 4), "3 mrt 25": D(2025, 3, 3), "31-02-2025": None, "geen datum": None}
-    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    cases = {"3-1-2025": D(2025, 1, 3), "03/01/2025": D(2025, 1, 3), "2025-01-03": D(2025, 1, 3), "2025/1/3": D(2025, 1, 3), "3.1.2025": D(2025, 1, 3),
+             "3 maart 2025": D(2025, 3, 3), "3 mrt 2025": D(2025, 3, 3), "5 mrt. 2025": D(2025, 3, 5), "12 mei 2024": D(2024, 5, 12), "12-Mei-24": D(2024, 5, 12),
+             "3-1-25": D(2025, 1, 3), "zondag 5 januari 2025": D(2025, 1, 5), "Zondag, 5  JANUARI 2025 ": D(2025, 1, 5), "za 4/1/97": D(1997, 1, 4), "3 mrt 25": D(2025, 3, 3),
+             "20250105": D(2025, 1, 5), "05-01-2025 13:45": D(2025, 1, 5), "5 januari 2025 9:05:30": D(2025, 1, 5), "2025-01-05T13:45:01.123": D(2025, 1, 5), "maart 2025": D(2025, 3, 1),
+             "29-2-2024": D(2024, 2, 29), "29-2-2025": None, "31-02-2025": None, "20251301": None, "32 januari 2025": None, "5-13-2025": None, "3-1.2025": None, "5 brumaire 2025": None,
+             "geen datum": None, "": None, None: None, "2025": None, "3;1;2025": None, "13:45": None, "05-01-2025 13": None}
+    without_year = {"5 januari": 1998, "5-1": 1998, "vr 5/1": 1998, "5 jan. 8:00": 1998}
+    df = spark.createDataFrame([(k,) for k in [*cases, *without_year]], "t string")
     got = {r[0]: r[1] for r in df.select("t", S.parse_dutch_date("t")).collect()}
-    assert got == cases
+    assert got == {**cases, **dict.fromkeys(without_year)}
+    got = {r[0]: r[1] for r in df.select("t", S.parse_dutch_date("t", D(1998, 9, 1))).collect()}
+    assert got == {**cases, **dict.fromkeys(without_year, D(1998, 1, 5))}
+
+
+def test_text_rule(spark):  # T2 in P5, A4, A5, O1-O3
+    df = spark.createDataFrame([("Ab ", 1), ("ab", 2), ("AB", 1), ("b", 4), (None, 5), ("é", 6), ("É ", 6), ("", 8), ("  ", 8)], "s string, n int")
+    assert rows(TX.distinct_rows(df.select("s"))) == [(None,), ("",), ("AB",), ("b",), ("É ",)]
+    assert rows(TX.distinct_rows(df)) == [(None, 5), ("", 8), ("AB", 1), ("ab", 2), ("b", 4), ("É ", 6)]
+    assert rows(TX.grouped(df, ["s"], F.sum("n").alias("n"))) == [(None, 5), ("", 16), ("AB", 4), ("b", 4), ("É ", 12)]
+    assert [r[0] for r in df.orderBy(*TX.in_order(df, "s")).collect()] == [None, "", "  ", "AB", "Ab ", "ab", "b", "É ", "é"]
+    assert rows(A.group_sum(df, ["s"], "n", "t")) == [(None, 5), ("", 16), ("AB", 4), ("b", 4), ("É ", 12)]
+    pairs = spark.createDataFrame([("b", "X"), ("B", "a"), ("B ", "x")], "p string, q string")
+    assert rows(TX.distinct_rows(pairs)) == [("B", "a"), ("B ", "x")]  # the spelling of one row
 
 
 def test_truncate_and_date_texts(spark):  # X8, X21, X22

@@ -15,7 +15,8 @@ def duck(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
-    from oracle_check import rows_multiset
+    from oracle_check import in_order, rows_multiset, runs
+    from care_analytics.plans.suite import ORDERS
     from care_analytics.sources import fixtures
     from care_analytics.sources.catalog import Tables
 
@@ -23,12 +24,15 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
     df = build(Tables.from_driver(spark, sf_dir))
     s_rows = [tuple(r) for r in df.collect()]
     assert oracle is not None
-    cur = duck.execute(fixtures.oracle_prefix(oracle))
+    sql = fixtures.oracle_prefix(oracle)
+    cur = duck.execute(in_order(sql, ORDERS[name]) if name in ORDERS else sql)
     d_cols = [d[0] for d in cur.description]
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert rows_multiset(df.columns, s_rows) == rows_multiset(d_cols, d_rows)
+    if name in ORDERS:
+        assert runs(df.columns, s_rows, ORDERS[name]) == runs(d_cols, d_rows, ORDERS[name])
 
 
 def test_entry_smoke(spark):

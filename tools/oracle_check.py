@@ -4,7 +4,9 @@ Usage: python tools/oracle_check.py [sf_dir] [name ...]
 
 Compares row count, column names and the multiset of rows (columns sorted
 by name, values normalised: floats to 9 significant digits, decimals and
-dates as text).
+dates as text).  Queries that sort are compared in order: DuckDB sorts its rows
+by the same keys (text without case and trailing blanks, NULL first), the
+sequence of keys must agree, and rows of equal keys are compared as a set.
 """
 
 from __future__ import annotations
@@ -49,6 +51,26 @@ def rows_multiset(columns, rows):
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+def in_order(sql: str, keys: list[str]) -> str:
+    """``sql`` sorted by ``keys`` as the source dialect sorts."""
+    def key(k: str) -> str:
+        return f"CASE WHEN typeof(\"{k}\") = 'VARCHAR' THEN lower(rtrim(\"{k}\"::VARCHAR, ' ')) END NULLS FIRST, CASE WHEN typeof(\"{k}\") <> 'VARCHAR' THEN \"{k}\" END NULLS FIRST"
+    return f"SELECT * FROM ({sql}) ORDER BY {', '.join(map(key, keys))}"
+
+
+def runs(columns, rows, keys: list[str]):
+    """Runs of rows with equal sort keys: (key, multiset of rows), one after the other."""
+    at = [columns.index(k) for k in keys]
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = []
+    for row in rows:
+        key = tuple(row[i].rstrip(" ").lower() if isinstance(row[i], str) else norm(row[i]) for i in at)
+        if not out or out[-1][0] != key:
+            out.append((key, Counter()))
+        out[-1][1][tuple(norm(row[i]) for i in order)] += 1
+    return out
+
+
 def duck_connection(sf_dir: str):
     con = duckdb.connect()
     for name in fixtures.DRIVER_TABLES:
@@ -57,7 +79,7 @@ def duck_connection(sf_dir: str):
 
 
 def check(spark, sf_dir: str, names=None, verbose=True):
-    from care_analytics.plans.suite import all_queries
+    from care_analytics.plans.suite import ORDERS, all_queries
     from care_analytics.sources.catalog import Tables
     queries = all_queries()
     con = duck_connection(sf_dir)
@@ -76,12 +98,15 @@ def check(spark, sf_dir: str, names=None, verbose=True):
                 if verbose:
                     print(f"{name:40s} rows-only {len(s_rows)}", flush=True)
                 continue
-            cur = con.execute(fixtures.oracle_prefix(oracle))
+            sql = fixtures.oracle_prefix(oracle)
+            cur = con.execute(in_order(sql, ORDERS[name]) if name in ORDERS else sql)
             d_cols = [d[0] for d in cur.description]
             d_rows = cur.fetchall()
             ok_cols = sorted(s_cols) == sorted(d_cols)
             ok_n = len(s_rows) == len(d_rows)
             ok_v = ok_cols and rows_multiset(s_cols, s_rows) == rows_multiset(d_cols, d_rows)
+            if ok_v and name in ORDERS:
+                ok_v = runs(s_cols, s_rows, ORDERS[name]) == runs(d_cols, d_rows, ORDERS[name])
             status = "OK" if (ok_cols and ok_n and ok_v) else "MISMATCH"
             results[name] = (status, len(s_rows), len(d_rows))
             if verbose:
