@@ -1,7 +1,9 @@
 """Quality, top-k, chat, lattice hashing, sharding and the pipeline."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -10,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from care_analytics.llm import chat, queries, sharding
+from care_analytics.llm import chat, queries, sharding, topk
 from care_analytics.llm.lattice import embedding_links, nearest_point, neighbours
 from care_analytics.llm.quality import good_documents, isotonic, quality_scores
 from care_analytics.llm.topk import Tree, top_k
@@ -29,7 +31,7 @@ def same(frame, sql, **views):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_against_sql(spark, name):
-    same(queries.QUERIES[name](spark, SF), queries.ORACLE_SQL[name], **{t: f"{SF}/{t}.parquet" for t in ("documents", "embeddings", "conversations")})
+    same(queries.QUERIES[name](spark, SF), queries.ORACLE_SQL[name], **{t: f"{SF}/{t}.parquet" for t in ("documents", "benchmark", "embeddings", "conversations")})
 
 
 TURNS = [(1, 0, "user", "a|<[\\l"), (1, 1, "user", None), (1, 2, "assistant", "x\n<|end|>\n"), (1, 2, "assistant", "x\n<|end|>\n"), (1, 3, "tool", "q"),
@@ -194,3 +196,52 @@ def test_pipeline_stage_by_stage(spark, docs):
     sizes = {p["doc_id"]: p["doc_tokens"] for p in pieces}
     assert set(sizes) == set(after) and check_packing(pieces, sizes.values(), 1024) == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "repeated_passages", "packing"]
+
+
+def best_rows(rows, k, scale=64.0):
+    """Every query row's k best rows of other ids, in whole numbers."""
+    whole = [(i, [math.floor(x * scale) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, q in {(i, tuple(v)) for i, v in whole if i % 20 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in whole if j != i and len(v) == len(q))
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scores[:k], 1)]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("far", [1.0, 4e7, 1e12])
+def test_top_k_over_many_shards(spark, monkeypatch, far):
+    # neighbours, equal rows, lengths 3 and 5, one id with two vectors; components beyond 32 bits and sums beyond 64
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(topk, "NEXT", 2)
+    monkeypatch.setattr(topk, "BOXES", 4)
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(9, 5)) * 3
+    rows = [(i, [float(x) for x in centres[i % 9] + r.normal(size=5) / 5]) for i in range(600)]
+    rows += [(1000 + i, [float(x) for x in r.normal(size=3)]) for i in range(150)] + [(20, [1.0, 2.0, 3.0])] + [(2001 + i, [0.5] * 5) for i in range(150)]
+    rows[1] = (1, [0.25 / 64, far / 64, 0.0, 0.0, 1.0])
+    rows[40] = (40, [1.0, 0.5, 0.0, -1.0, 0.0])
+    rows += [(3000, None), (3001, []), (None, [1.0] * 5), (3002, [1.0, None, 0.0, 0.0, 0.0]), (3003, [float("nan")] * 5), (3004, [float("inf")] * 5)]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, rank int").repartition(3)
+    got = topk.top_k(frame, F.col("vec_id") % 20 == 0, 6)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert Counter(map(tuple, got.collect())) == best_rows(rows, 6)
+
+
+def test_top_k_of_one_id_with_two_lengths(spark):
+    for seed in range(3):
+        r = np.random.default_rng(seed)
+        rows = [(20, [1.0, 2.0]), (20, [1.0, 2.0, 3.0])] + [(100 + i, [float(x) for x in r.normal(size=2 + i % 2)]) for i in range(60)]
+        got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 20, 10).collect()
+        assert Counter(x for x in map(tuple, got)) == Counter({x: n for x, n in best_rows(rows, 10).items() if x[0] == 20}) and len(got) == 20
+
+
+def test_top_k_beyond_64_bits(spark):
+    def run(rows):
+        return topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 2).collect()
+
+    # sums pass 64 bits on the way, results do not
+    assert Counter(map(tuple, run([(20, [2.0 ** 52, 2.0 ** 52, 1.0]), (1, [1.0, -1.0, 3.0]), (2, [-1.0, 1.0, 2.0])]))) == best_rows([(20, [2.0 ** 52, 2.0 ** 52, 1.0]), (1, [1.0, -1.0, 3.0]), (2, [-1.0, 1.0, 2.0])], 2)
+    for rows in ([(20, [2.0 ** 40]), (1, [2.0 ** 40])], [(20, [1.0]), (1, [2.0 ** 60])]):
+        with pytest.raises(Exception, match="64 bits|too large"):
+            run(rows)

@@ -1,4 +1,4 @@
-"""Ranked search, source divergence and license scans against brute force and DuckDB."""
+"""Ranked search, source divergence and license scans against brute force."""
 
 import itertools
 import math
@@ -6,14 +6,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
-import duckdb
 import numpy as np
 import pytest
 
 from care_analytics.llm import divergence, licenses, ranked
 from care_analytics.llm.common import prepare
-from care_analytics.llm.queries import ORACLE_SQL, QUERIES
-from tests.llm.conftest import ODD, SF
+from tests.llm.conftest import ODD
 
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -24,17 +22,6 @@ def found(pattern, text):
     return pattern.findall((text or "").translate(ASCII_LOWER))
 
 
-@pytest.mark.parametrize("name", ["op11_ranked_search", "op12_source_divergence", "op13_license_scan"])
-def test_query_equals_its_sql(spark, name):
-    con = duckdb.connect()
-    for table in ("documents", "benchmark"):
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
-    cursor = con.execute(ORACLE_SQL[name])
-    columns = [d[0] for d in cursor.description]
-    got = QUERIES[name](spark, SF).select(*columns).collect()
-    assert got and Counter(map(tuple, got)) == Counter(cursor.fetchall())
-
-
 # ranked search -----------------------------------------------------------
 def searched(docs, items, k):
     words = [(i, found(ALNUM, t)) for i, t in docs]
