@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the last day, as which an open end counts.
 LAST_DAY = "9999-12-31"
-# A group of a running number spans 2^12 values of the last order column.
-GROUP_BITS = 12
+# A group of a running number spans 2^16 values of the last order column.
+GROUP_BITS = 16
 
 
 def _cols(cs) -> list[Column]:
@@ -41,38 +41,37 @@ def number_within(df: DataFrame, keys: list[str], order: list[str], name: str) -
 
     The last order column is a whole number that tells rows apart (an id).  Rows
     are shuffled once, to groups of one key, the leading order values and a span
-    of 2^12 ids -- at most so many rows, however hot a key or a (key, value)
-    pair is.  A group is sorted as one array; the sizes of the groups before it
-    come from running sums over sizes, first of the leading order values of a
-    key, then of the spans of one such value.  The sizes are taken from the
-    shuffled groups, so the input is read once.
+    of 2^16 ids -- at most so many rows, however hot a key or a (key, value)
+    pair is -- and numbered there.  The sizes of the groups before it come from
+    running sums over sizes, first of the leading order values of a key, then of
+    the spans of one such value.  Rows travel packed, so that sizes are taken
+    from the same shuffle and the input is read once.
     """
     lead, last = order[:-1], order[-1]
-    span = F.shiftright(F.col(last), GROUP_BITS)
-    sorted_by = F.struct(F.col(last).alias("_by"), F.struct(*df.columns).alias("_row"))
     part = [*keys, *lead]
-    groups = (df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in part], span.alias("_span"))
-              .agg(F.collect_list(sorted_by).alias("_rows")))
-    sizes = groups.select(*[F.col(f"_g_{k}").alias(f"_s_{k}") for k in part], F.col("_span").alias("_s_span"), F.size("_rows").cast("long").alias("_n"))
-
-    def before(value: str, within: list[str], by: list[str]) -> Column:
-        w = (Window.partitionBy(*[f"_s_{k}" for k in within]).orderBy(*[F.col(b).asc_nulls_first() for b in by])
-             .rowsBetween(Window.unboundedPreceding, -1))
-        return F.coalesce(F.sum(value).over(w), F.lit(0))
-
-    offsets = sizes.withColumn("_off", before("_n", part, ["_s_span"]))
-    same = F.col("_span").eqNullSafe(F.col("_s_span"))
-    for k in part:
-        same = same & F.col(f"_g_{k}").eqNullSafe(F.col(f"_s_{k}"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def listed(prefix: str, names: list[str]) -> str:
+        return ", ".join(f"`{prefix}{n}`" for n in names)
+
+    def same(a: str, b: str, names: list[str]) -> str:
+        return " AND ".join(f"`{a}{n}` <=> `{b}{n}`" for n in names)
+
+    def before(within: str, by: str) -> str:
+        return (f"coalesce(sum(_n) OVER ({f'PARTITION BY {within}' if within else ''} ORDER BY {by} "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
+
+    packed = df.selectExpr(*[f"`{k}` AS `_g_{k}`" for k in part], f"shiftright(`{last}`, {GROUP_BITS}) AS _g_",
+                           f"array(struct({listed('', df.columns)})) AS _row")
+    in_group = listed("_g_", [*part, ""])
+    groups = packed.repartition(tasks, *[f"_g_{k}" for k in part], "_g_").selectExpr("*", "inline(_row)").drop("_row")
+    numbered = groups.selectExpr("*", f"row_number() OVER (PARTITION BY {in_group} ORDER BY `{last}`) AS _at")
+    sizes = (groups.groupBy(*[f"_g_{k}" for k in part], "_g_").agg(F.count(F.lit(1)).alias("_n"))
+             .selectExpr(*[f"`_g_{k}` AS `_s_{k}`" for k in [*part, ""]], "_n"))
+    offsets = sizes.selectExpr(*[f"`_s_{k}`" for k in [*part, ""]], f"{before(listed('_s_', part), '_s_')} AS _off")
     if lead:
-        totals = sizes.groupBy(*[f"_s_{k}" for k in part]).agg(F.sum("_n").alias("_n"))
-        values = (totals.withColumn("_lead_off", before("_n", keys, [f"_s_{k}" for k in lead]))
-                  .select(*[F.col(f"_s_{k}").alias(f"_t_{k}") for k in part], "_lead_off"))
-        there = F.lit(True)
-        for k in part:
-            there = there & F.col(f"_s_{k}").eqNullSafe(F.col(f"_t_{k}"))
-        offsets = offsets.join(values, there).withColumn("_off", F.col("_off") + F.col("_lead_off"))
-    offsets = offsets.select(*[f"_s_{k}" for k in part], "_s_span", "_off")
-    return (groups.join(offsets, same)
-            .select("_off", F.posexplode(F.sort_array("_rows")).alias("_at", "_item"))
-            .select("_item._row.*", (F.col("_off") + F.col("_at") + 1).alias(name)))
+        values = (sizes.groupBy(*[f"_s_{k}" for k in part]).agg(F.sum("_n").alias("_n"))
+                  .selectExpr(*[f"`_s_{k}` AS `_t_{k}`" for k in part], f"{before(listed('_s_', keys), listed('_s_', lead))} AS _lead"))
+        offsets = offsets.join(values, F.expr(same("_s_", "_t_", part))).selectExpr(*[f"`_s_{k}`" for k in [*part, ""]], "_off + _lead AS _off")
+    return (numbered.join(offsets, F.expr(same("_g_", "_s_", [*part, ""])))
+            .selectExpr(*[f"`{n}`" for n in df.columns], f"cast(_off + _at AS bigint) AS `{name}`"))

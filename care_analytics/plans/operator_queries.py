@@ -260,7 +260,7 @@ FROM fx_shift_assignments msa LEFT JOIN fx_team_assignments ta ON ta.employeeObj
   AND ta.beginDate <= msa.date AND (ta.endDate IS NULL OR ta.endDate >= msa.date)""")
 def validity_join_inclusive(t):
     msa, ta = t.moves_shift_assignments.alias("msa"), t.team_assignments.alias("ta")
-    out = T.validity_join(msa, ta, "msa.employee_id", "ta.employeeObjectId", c("msa.date"),
+    out = T.validity_join(msa, ta, "msa.employee_id", "ta.employeeObjectId", "msa.date",
                           "ta.beginDate", "ta.endDate", end_inclusive=True)
     return out.select(c("msa.objectId").alias("objectId"), c("ta.objectId").alias("team_assignment_id"),
                       c("ta.teamObjectId").alias("teamObjectId"))
@@ -272,7 +272,7 @@ FROM fx_shift_assignments msa LEFT JOIN fx_shifts ms ON ms.timeline_id = msa.tim
   AND ms.valid_from <= msa.date AND (ms.valid_to IS NULL OR ms.valid_to > msa.date)""")
 def validity_join_half_open(t):
     msa, ms = t.moves_shift_assignments.alias("msa"), t.moves_shifts.alias("ms")
-    out = T.validity_join(msa, ms, "msa.timeline_shift_id", "ms.timeline_id", c("msa.date"),
+    out = T.validity_join(msa, ms, "msa.timeline_shift_id", "ms.timeline_id", "msa.date",
                           "ms.valid_from", "ms.valid_to", end_inclusive=False)
     return out.select(c("msa.objectId").alias("objectId"), c("ms.objectId").alias("shift_id"),
                       c("ms.description").alias("description"))

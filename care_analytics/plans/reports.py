@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from care_analytics.functions import params as P
 from care_analytics.functions import patterns
@@ -95,7 +96,7 @@ def r02_rostered_shifts(t: Tables, start, end) -> DataFrame:
     co = t.contracts.alias("co")
     ct = t.contract_types.alias("ct")
 
-    at = c("msa.date")
+    at = "msa.date"
     period = (start, end)
     calendar = T.Calendar(period)
     worked = msa.join(me, c("me.objectId") == c("msa.employee_id"), "inner")
@@ -223,24 +224,24 @@ def _costcentre_labels(t: Tables) -> DataFrame:
 
 
 def _costcentre_chain(t: Tables, assignments: DataFrame, key: str, unit: str, link: str) -> DataFrame:
-    """The cost centres of each assignment interval of a person, with their
-    number (a missing one counts): master data, found before any survey."""
+    """The cost centres of each assignment interval of a person (one row without
+    any): master data, found before any survey."""
     cca = t.costcenter_assignments.alias("cca")
     cc = _costcentre_labels(t).alias("cc")
-    own = assignments.withColumnsRenamed({"beginDate": "_begin", "endDate": "_end"})
-    df = T.containment_join(own, cca, unit, f"cca.{link}", "_begin", "_end", "cca.beginDate", "cca.endDate")
-    df = T.containment_join(df, cc, "cca.costcenterObjectId", "cc.objectId",
-                            "cca.beginDate", "cca.endDate", "cc.beginDate", "cc.endDate")
-    return (df.groupBy(c(key).alias("_person"), c("_begin").alias("_from"), c("_end").alias("_to"), c("cc._label").alias("_label"))
-            .agg(F.count(F.lit(1)).alias("_n")))
+    # a unit has one cost centre at a time and a cost centre is one row: lookups,
+    # with containment as a further test
+    within = "{o}.beginDate <= {i}.beginDate AND ({o}.endDate IS NULL OR {o}.endDate >= {i}.endDate)"
+    df = J.lookup(assignments.alias("own"), cca, F.expr(f"cca.{link} = own.{unit} AND {within.format(o='cca', i='own')}"))
+    df = J.lookup(df, cc, F.expr(f"cc.objectId = cca.costcenterObjectId AND {within.format(o='cc', i='cca')}"))
+    return df.select(c(f"own.{key}").alias("_person"), c("own.beginDate").alias("_from"), c("own.endDate").alias("_to"), "_label")
 
 
 def _costcentres_at(results: DataFrame, person: str, chain: DataFrame, end_inclusive: bool, side: str) -> DataFrame:
-    """Number of cost centres per (result, cost centre) of a person at filling-in time."""
-    sr = results.select(c("objectId").alias("_rid"), c(person).alias("_who"), c("createdAt").alias("_at"))
-    df = T.validity_join(sr, chain, "_who", "_person", c("_at"), "_from", "_to", end_inclusive)
-    return (df.groupBy("_rid", c("_label").alias(f"_{side}_label"))
-            .agg(F.sum(F.coalesce(c("_n"), F.lit(1))).alias(f"_n_{side}")))
+    """Number of cost centres per (person, moment, cost centre), for the moments
+    at which surveys were filled in."""
+    found = T.versions_at(results, chain, person, "_person", "_moment", "_from", "_to", end_inclusive)
+    return (found.groupBy(c("_valid_key").alias(f"_{side}_who"), c("_valid_at").alias(f"_{side}_at"), c("_label").alias(f"_{side}_label"))
+            .agg(F.count(F.lit(1)).alias(f"_n_{side}")))
 
 
 def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) -> DataFrame:
@@ -256,15 +257,18 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     s = t.surveys.alias("s")
     base = sr.join(s, c("s.objectId") == c("sr.surveyObjectId"), "left")
     title = FL.like_any("s.title", vragenlijst, trim=True)
-    base = FL.where(base, title)
-    # without a title filter the chains need no survey join
-    results = (base if title is not None else t.survey_results.alias("sr")).select(
-        "sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "sr.createdAt")
-
-    answers = _answer_summary(t, restrict_to=results if title is not None else None)
     ta = t.team_assignments.select("employeeObjectId", "teamObjectId", "beginDate", "endDate")
     la = FL.where(t.location_assignments, FL.ci_eq("locationType", "main")).select(
         "clientObjectId", "locationObjectId", "beginDate", "endDate")
+    # against dates a moment only counts as midnight or later in the day
+    dated = all(isinstance(f.dataType, DateType) for x in (ta, la) for f in x.schema if f.name in ("beginDate", "endDate"))
+    moment = F.expr(T.half_day("sr.createdAt") if dated else "sr.createdAt").alias("_moment")
+    base = FL.where(base, title).select("*", moment)
+    # without a title filter the chains need no survey join
+    results = (base if title is not None else t.survey_results.alias("sr").select("*", moment)).select(
+        "sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "_moment")
+
+    answers = _answer_summary(t, restrict_to=results if title is not None else None)
     # the chains hang on the assignments alone; surveys only look up their date
     emp_cc = _costcentres_at(results, "employeeObjectId", _costcentre_chain(
         t, ta, "employeeObjectId", "teamObjectId", "clusterObjectId"), True, "m")
@@ -274,13 +278,13 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     labels = _costcentre_labels(t).groupBy("_label").agg(
         F.min("identificationNo").alias("_no"), F.min("name").alias("_name")).filter(c("_label").isNotNull())
 
-    # every per-result branch is aggregated first and joins on the result id
-    # (one partitioning); people are looked up once per result
+    # every branch is aggregated first: answers per result, cost centres per
+    # person and moment; people are looked up once per result
     df = (base.join(t.clients.alias("cl"), c("cl.objectId") == c("sr.clientObjectId"), "left")
           .join(t.employees.alias("e"), c("e.objectId") == c("sr.employeeObjectId"), "left")
           .join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
-          .join(emp_cc, c("sr.objectId") == emp_cc["_rid"], "left").drop("_rid")
-          .join(cli_cc, c("sr.objectId") == cli_cc["_rid"], "left").drop("_rid")
+          .join(emp_cc, (c("sr.employeeObjectId") == c("_m_who")) & (c("_moment") == c("_m_at")), "left")
+          .join(cli_cc, (c("sr.clientObjectId") == c("_c_who")) & (c("_moment") == c("_c_at")), "left")
           .join(labels.alias("ccm"), c("ccm._label") == c("_m_label"), "left")
           .join(labels.alias("ccc"), c("ccc._label") == c("_c_label"), "left"))
 
