@@ -88,3 +88,50 @@ def materialize(tables: Tables, names, out_root: str, mode: str = "overwrite",
     for name in names:
         df = tables[name] if files is None else tables[name].repartition(files)
         df.write.mode(mode).parquet(os.path.join(out_root, name))
+
+
+# Layout of stored tables: the key whose rows stand in one bucket, and the columns
+# that rows are sorted by in a file.  Client- and employee-keyed tables share their
+# buckets, so joins and latest rows per client need no shuffle; sorting by the end
+# lets a period skip the row groups that ended before it.
+LAYOUT: dict[str, tuple[str, tuple[str, ...]]] = {
+    "clients": ("objectId", ("objectId",)),
+    "care_allocations": ("clientObjectId", ("dateEnd", "dateBegin")),
+    "location_assignments": ("clientObjectId", ("endDate", "beginDate")),
+    "relations": ("clientObjectId", ("updatedAt",)),
+    "legitimaties": ("clientObjectId", ("tot", "van")),
+    "cbsbj_jeugdhulps": ("clientObjectId", ("datumBeeindiging", "datumAanvang")),
+    "employees": ("objectId", ("objectId",)),
+    "contracts": ("employeeObjectId", ("endDate", "beginDate")),
+    "team_assignments": ("employeeObjectId", ("endDate", "beginDate")),
+    "expertise_profile_assignments": ("employeeObjectId", ("endTime", "startTime")),
+    "expenses": ("employeeObjectId", ("expenseDate",)),
+    "presence_logs": ("employeeId", ("startDate",)),
+    "moves_shift_assignments": ("employee_id", ("date",)),
+    "survey_results": ("objectId", ("objectId",)),
+    "survey_answers": ("surveyResultObjectId", ("surveyResultObjectId", "objectId")),
+    "documents": ("objectId", ("objectId",)),
+    "document_expertise_groups": ("documentObjectId", ("documentObjectId",)),
+    "document_rights": ("documentObjectId", ("documentObjectId",)),
+    "document_tags": ("documentObjectId", ("documentObjectId",)),
+}
+
+
+def store(tables: Tables, names, root: str, database: str, buckets: int, **options) -> Tables:
+    """Write reference tables under ``{root}/{name}`` as catalog tables of ``database``
+    with the buckets and the order of :data:`LAYOUT`, and return them.
+
+    ``buckets`` should give files of some hundred megabytes in the largest table.
+    ``options`` go to the Parquet writer.
+    """
+    tables.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in names:
+        df, place = tables[name], {"path": os.path.join(root, name), **options}
+        if name in LAYOUT:
+            key, order = LAYOUT[name]
+            # each bucket is one file
+            writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*order)
+        else:
+            writer = df.write
+        writer.options(**place).mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+    return Tables.from_catalog(tables.spark, database)

@@ -106,6 +106,79 @@ def test_period_reaches_the_employee_tables(tables):
         assert "2024-01-31" in scan and "2024-01-01" in scan, column
 
 
+@pytest.fixture
+def large(spark):
+    """Settings under which every table counts as large: no broadcast, Bloom filters whatever a scan's size."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield
+    for key in changed:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("r06_multi_client_events", "eventObjectId.*inviteeObjectId"),  # of agenda_invitations
+    ("r10_youth_act_clients", "product_van.*legitimatie|product.*product_van"),  # of legitimaties
+    ("r07_pharmacies_latest_address", "careProviderObjectId.*addressObjectId"),  # of care_provider_addresses
+    ("r03_expense_totals", "expenseDate"),  # of expenses
+])
+def test_bloom_filters_stand_at_the_large_scans(tables, large, name, columns):
+    filters = [x for x in plan_text(REPORTS[name][0](tables)).splitlines() if "Filter" in x and "might_contain" in x]
+    assert any(re.search(columns, x) for x in filters), filters
+
+
+def test_no_shuffle_above_the_product_of_bridges(tables, large):
+    # all shuffles of R14 lie below the lists' expansion
+    text = plan_text(REPORTS["r14_confidential_documents"][0](tables))
+    above = text[:text.rindex("Generate inline")]
+    assert "Exchange" not in above and text.count("Generate inline") == 3
+
+
+def test_numbering_reads_its_input_once(tables):
+    df = REPORTS["r05_survey_answers"][0](tables)
+    df.collect()
+    final = plan_text(df)
+    final = final[:final.index("Initial Plan")] if "Initial Plan" in final else final
+    assert final.count("/survey_answers") == 1 and "ReusedExchange" in final
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tables, tmp_path_factory):
+    from care_analytics.sources import fixtures
+    from care_analytics.sources.catalog import store
+    out = store(tables, fixtures.REFERENCE_TABLES, str(tmp_path_factory.mktemp("laid")), "care_layout", 4, **{"parquet.block.size": "2048", "parquet.page.size.row.check.min": "10"})
+    yield out
+    spark.sql("DROP DATABASE care_layout CASCADE")
+
+
+def shuffles(df) -> int:
+    return plan_text(df).count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("name,most", [("r01_clients_without_contact", None), ("r09_current_locations", None),
+                                       ("r10_youth_act_clients", None), ("r12_open_location_after_care", None), ("r14_confidential_documents", None)])
+def test_stored_layout_saves_shuffles(tables, stored, large, name, most):
+    plain, laid = REPORTS[name][0](tables), REPORTS[name][0](stored)
+    assert shuffles(laid) < shuffles(plain)
+    assert sorted(map(tuple, laid.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def scanned(df) -> int:
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_period_skips_row_groups_of_the_stored_layout(tables, stored):
+    from care_analytics.operators import temporal as T
+    for name, begin, end in (("care_allocations", "dateBegin", "dateEnd"), ("location_assignments", "beginDate", "endDate")):
+        period = T.overlaps(begin, end, "1999-06-01", "1999-06-30")
+        laid, plain = stored[name].filter(period), tables[name].filter(period)
+        assert laid.count() == plain.count()
+        assert scanned(laid) < 0.8 * scanned(plain), name
+
+
 def test_early_reductions(tables):
     assert "REPARTITION" not in plan_text(REPORTS["r04_survey_overview"][0](tables))
     r06 = plan_text(REPORTS["r06_multi_client_events"][0](tables))
