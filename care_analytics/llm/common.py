@@ -76,6 +76,15 @@ def dropped(*tables: DataFrame) -> None:
         jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
 
 
+def release(result: DataFrame) -> None:
+    """Delete the tables that an operator left for its lazy ``result`` (``_care_made``), once it is written."""
+    for kind, made in getattr(result, "_care_made", ()):
+        if kind == "table":
+            result.sparkSession.sql(f"DROP TABLE IF EXISTS {made}")
+        else:
+            dropped(made)
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,14 +16,16 @@ rows every score is 0.5; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from care_analytics.llm.common import BLOCK_BYTES, block_cuts, prepare, text_bytes, written
+from care_analytics.llm.common import BLOCK_BYTES, block_cuts, free_name, prepare, shuffle_tasks, text_bytes, written
 from care_analytics.llm.prints import mixed, prints
 from care_analytics.llm.words import numbers, spans
 
@@ -72,7 +74,9 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     stops = np.bincount(of, np.isin(data[ends - 1], (33, 46, 63)), n)
     # lines as numbers of their bytes
     line_end = np.flatnonzero(kind == 6)
-    cuts = np.union1d(line_end + 1, offsets)
+    cut = np.zeros(len(data) + 1, bool)
+    cut[line_end + 1] = cut[offsets] = True
+    cuts = np.flatnonzero(cut)
     a, b = cuts[:-1], cuts[1:]
     line_of = np.searchsorted(offsets, a, side="right") - 1
     filled = b - a > 1
@@ -86,20 +90,26 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         stops / many, np.where(np.bincount(line_of[filled], minlength=n) > 1, repeated, 0) if len(line) else repeated])
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id and ``features`` (array of doubles) of every row."""
+def with_features(docs: DataFrame, name: str = "features") -> DataFrame:
+    """``docs`` with the statistics of every text as an array of doubles."""
     prepare(docs.sparkSession)
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(text))
             for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
                 low = int(offsets[a])
                 x = statistics(data[low:int(offsets[b])], offsets[a:b + 1] - low)
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), rows], ["doc_id", "features"])
+                yield batch.slice(a, b - a).append_column(name, rows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, features array<double>")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]))
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id and ``features`` of every row."""
+    return with_features(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", "features")
 
 
 class Model:
@@ -150,15 +160,25 @@ def fit(labelled: DataFrame, cosines: int = COSINES, ridge: float = RIDGE) -> Mo
             if batch.num_rows:
                 x = _matrix(batch, 0)
                 total += np.concatenate([x.sum(0), (x * x).sum(0), [len(x)]])
-        yield pa.RecordBatch.from_pydict({"k": np.arange(len(total)), "v": total})
+        if total[-1]:
+            yield pa.RecordBatch.from_pydict({"v": [total.tobytes()]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for x in batch.column(0):
+                part = np.frombuffer(x.as_buffer())
+                total = part.copy() if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"v": [total.tobytes()]})
 
     def summed(df: DataFrame, run) -> np.ndarray:
-        # partition sums meet entry by entry: a fixed number of rows whatever the input
-        rows = df.mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-        out = np.zeros(max((r["k"] for r in rows), default=-1) + 1)
-        for r in rows:
-            out[r["k"]] = r["v"]
-        return out
+        # each partition sends its sums as one row; about sqrt(partitions) tasks add those, one task the rest
+        parts = df.mapInArrow(run, "v binary").withColumn("k", F.spark_partition_id())
+        for groups in (max(1, math.isqrt(shuffle_tasks(df.sparkSession))), 1):
+            parts = parts.repartition(groups, "k").select("v").mapInArrow(add, "v binary").withColumn("k", F.spark_partition_id())
+        rows = parts.collect()
+        return np.frombuffer(rows[0]["v"]) if rows else np.zeros(0)
 
     base = labelled.where("not curve").select("features", "label")
     m = summed(base, moments)
@@ -178,10 +198,9 @@ def fit(labelled: DataFrame, cosines: int = COSINES, ridge: float = RIDGE) -> Mo
                 z = model.inputs(_matrix(batch, 0))
                 total += z.T @ np.column_stack([z, batch.column(1).to_numpy(zero_copy_only=False)])
         if total.any():
-            yield pa.RecordBatch.from_pydict({"k": np.arange(total.size), "v": total.ravel()})
+            yield pa.RecordBatch.from_pydict({"v": [total.tobytes()]})
 
-    # few partitions: each sends p * (p + 1) sums
-    ab = summed(base.coalesce(8), normal).reshape(p, p + 1)
+    ab = summed(base, normal).reshape(p, p + 1)
     model.weights = np.linalg.solve(ab[:, :p] + ridge * np.eye(p), ab[:, p])
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,11 +212,11 @@ def fit(labelled: DataFrame, cosines: int = COSINES, ridge: float = RIDGE) -> Mo
                 for i, w in enumerate((np.ones(len(k)), batch.column(1).to_numpy(zero_copy_only=False), raw)):
                     sums[i] += np.bincount(k, w, BINS)
         if sums.any():
-            yield pa.RecordBatch.from_pydict({"k": np.arange(sums.size), "v": sums.ravel()})
+            yield pa.RecordBatch.from_pydict({"v": [sums.tobytes()]})
 
-    bins = summed(labelled.where("curve").select("features", "label").coalesce(8), binned)
+    bins = summed(labelled.where("curve").select("features", "label"), binned)
     if not len(bins):
-        bins = summed(base.coalesce(8), binned)
+        bins = summed(base, binned)
     n, y, x = bins.reshape(3, BINS)
     used = n > 0
     model.curve = isotonic(x[used] / n[used], y[used] / n[used], n[used])
@@ -235,19 +254,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: int | None = 1)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, held_out: int | None = 1) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is at least ``least``; texts are scored where they are read."""
-    model = trained(features(docs), labels, held_out)
-    text = docs.columns.index("text")
+    """The rows of ``docs``, all columns, whose score is at least ``least``.
+
+    The texts are read once: the rows are written with their statistics, from which
+    the model learns and the scores are made."""
+    name = free_name(docs.columns, "features")
+    rows = written(with_features(docs, name), "featured")
+    model = trained(rows.select("doc_id", F.col(name).alias("features")), labels, held_out)
+    if model is None:
+        return rows.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not model:
-                yield batch
-                continue
-            data, offsets = text_bytes(batch.column(text))
-            for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
-                low = int(offsets[a])
-                score = model.score(statistics(data[low:int(offsets[b])], offsets[a:b + 1] - low))
-                yield batch.slice(a, b - a).filter(pa.array(score >= least))
+            if batch.num_rows:
+                at = batch.schema.get_field_index(name)
+                yield batch.filter(pa.array(model.score(_matrix(batch, at)) >= least)).drop_columns([name])
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

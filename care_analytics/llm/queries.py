@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from care_analytics.llm import chat, divergence, licenses, ranked, sharding
-from care_analytics.llm.common import prepare, tables
+from care_analytics.llm.common import prepare, release, tables, written
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 1 << 20
 
 
 def tokenizer_path() -> str:
@@ -26,7 +26,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from care_analytics.llm.suffix_dedup import remove_repeats
     docs = tables(prepare(spark), sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, 400).select("doc_id", "removed.n_bytes", "removed.n_removed", "removed.n_spans", "removed.kept_sha256")
+    cut = remove_repeats(docs, 400)
+    out = written(cut.select("doc_id", "removed.n_bytes", "removed.n_removed", "removed.n_spans", "removed.kept_sha256"), "repeats")
+    release(cut)
+    return out
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from care_analytics.llm.common import prepare, written
+from care_analytics.llm.common import free_name, prepare, written
 
 BITS, FINER = 60, 4
 
@@ -62,21 +62,23 @@ def directory(sizes: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
 
 
 def sharded(docs: DataFrame, limit: int = 64 << 20) -> DataFrame:
-    """``docs`` with n_bytes, shard_id (its prefix, in bits), shard_depth, shard_bytes, shard_docs and oversized."""
+    """``docs`` with n_bytes, shard_id (its prefix, in bits), shard_depth, shard_bytes, shard_docs and oversized;
+    a name that ``docs`` has already gets an underscore."""
     prepare(docs.sparkSession)
     added = ("n_bytes", "shard_id", "shard_depth", "shard_bytes", "shard_docs", "oversized")
-    rows = docs.drop(*added).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    n_bytes, *names = (free_name(docs.columns, c) for c in added)
+    rows = docs.withColumn(n_bytes, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     kept = [F.col(f"`{c}`") for c in rows.columns]
     rows = rows.select(F.struct(*kept).alias("row"), hash_bits().alias("h"))
     shard = None
-    for k, (deep, cells) in enumerate(directory(rows.select("h", "row.n_bytes"), limit)):
+    for k, (deep, cells) in enumerate(directory(rows.select("h", F.col("row").getField(n_bytes).alias("n_bytes")), limit)):
         cells = cells.select("cell", F.struct("depth", "prefix", "shard_bytes", "shard_docs").alias(f"shard{k}"))
         rows = rows.withColumn("at", prefix("h", deep)).join(cells, F.col("at") == F.col("cell"), "left").drop("at", "cell")
         shard = F.col(f"shard{k}") if shard is None else F.coalesce(shard, F.col(f"shard{k}"))
     depth = F.col("shard.depth")
-    return rows.withColumn("shard", shard).select(
-        "row.*", F.when(depth == 0, F.lit("")).otherwise(F.lpad(F.bin("shard.prefix"), depth, F.lit("0"))).alias("shard_id"),
-        depth.alias("shard_depth"), "shard.shard_bytes", "shard.shard_docs", (F.col("shard.shard_bytes") > limit).alias("oversized"))
+    found = (F.when(depth == 0, F.lit("")).otherwise(F.lpad(F.bin("shard.prefix"), depth, F.lit("0"))), depth,
+             F.col("shard.shard_bytes"), F.col("shard.shard_docs"), F.col("shard.shard_bytes") > limit)
+    return rows.withColumn("shard", shard).select("row.*", *(c.alias(name) for c, name in zip(found, names)))
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = 64 << 20) -> None:

@@ -1,30 +1,35 @@
-"""Removal of repeated byte strings by blockwise suffix sorting over a difference cover.
+"""Removal of repeated byte strings by blockwise comparison over a difference cover.
 
 A byte is removed when a string of ``length`` bytes that covers it also starts
 anywhere else in the corpus (same document included, overlaps count); all
 strings are judged on the input.
 
-A difference cover D modulo v holds, for any two positions, a shift k < v that
-takes both to sample positions.  So two equal strings of ``length`` bytes hold
-two equal strings of ``length - v + 1`` bytes at sample positions, and only the
-samples (a small part of all suffixes) have to be ranked against each other:
-
-1. Rank the samples: suffixes at sample positions go, by the leading bits of
-   their key, to buckets; one bucket at a time is sorted; a sample whose key is
-   alone has a rank of its own, and no suffix within v before it can tie.
+What is asked is whether a string occurs again, not which suffix comes first, so
+windows are grouped by fingerprint and no suffix is put in lexicographic order:
+buckets are leading bits of a fingerprint, one bucket is sorted (by fingerprint) at
+a time, and where a suffix array has ranks there is only equal or not.  The rest is
+the method of a difference cover D modulo v, which holds, for any two positions, a
+shift k < v that takes both to sample positions.  So two equal strings of ``length``
+bytes hold two equal strings of ``length - v + 1`` bytes at sample positions, and
+only the samples (a small part of all suffixes) have to be compared with each other:
+
+1. Samples: windows at sample positions go, by the leading bits of their
+   fingerprint, to buckets; a sample whose window is alone is settled, and no
+   suffix within v before it can be repeated.
 2. Long ties: a sample with all of its v - 1 bytes before and ``length`` bytes
    after it repeated settles v suffixes at once.  The other tied samples are
    *edges* (near the ends of documents and of copied passages).
-3. A settled sample whose rank an edge shares is also compared with it; of each
+3. A settled sample whose window an edge shares is also compared with it; of each
    group of equal long ties one member does so for all.
 4. The suffixes near edges and near those members go to buckets by their own
-   keys, again one bucket sorted at a time.
+   fingerprints, again one bucket at a time.
 
-Keys are polynomial fingerprints of the compared bytes, 64 bits for the ranks
-(which only choose candidates) and 96 bits for what decides.  Within a block of
-documents equal keys are merged before the shuffle, so a passage that every
-document repeats costs one key a block.  Only keys and bits are shuffled; the
-texts stay in a table bucketed by block and are read again in each pass.
+Fingerprints are polynomial, 64 bits where they only choose candidates and 96 bits
+where they decide.  Within a block of documents equal ones are merged before the
+shuffle, so a passage that every document repeats costs one key a block.  Only
+fingerprints and bits are shuffled; the texts stay in a table bucketed by block and
+are read again in each pass.  ``release`` deletes that table and the passes' answers
+once the result is written.
 
 Defined cases: null and empty texts lose nothing (0 bytes, 0 spans); texts
 shorter than ``length`` are never touched; repeated rows and equal texts remove
@@ -213,12 +218,14 @@ def bucket_bits(keys: DataFrame, repeated: bool = True) -> DataFrame:
     return written(keys.repartition(shuffle_tasks(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(sort, BITS), "bits")
 
 
-def block_table(spark: SparkSession, blocks: DataFrame, buckets: int) -> tuple[DataFrame, str]:
-    """Blocks as a table bucketed by block, so that joins on the block never shuffle the texts."""
-    name = f"care_blocks_{uuid.uuid4().hex}"
-    (blocks.write.format("parquet").bucketBy(buckets, "block_id")
-     .option("path", new_folder(spark, "blocks")).option("compression", "zstd").saveAsTable(name))
-    return spark.table(name), name
+def block_table(spark: SparkSession, blocks: DataFrame, buckets: int) -> tuple[DataFrame, str, DataFrame]:
+    """Blocks as a table bucketed by block, so that joins on the block never shuffle the texts; its name, and
+    its folder (as ``dropped`` takes it)."""
+    name, path = f"care_blocks_{uuid.uuid4().hex}", new_folder(spark, "blocks")
+    (blocks.write.format("parquet").bucketBy(buckets, "block_id").option("path", path).option("compression", "zstd").saveAsTable(name))
+    folder = spark.createDataFrame([], "x int")
+    folder._care_path = path
+    return spark.table(name), name, folder
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame:
@@ -226,7 +233,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> Da
     and a struct ``removed``: n_bytes, n_removed, n_spans, kept_sha256 and the exact byte spans."""
     spark = prepare(docs.sparkSession)
     v, cover = difference_cover(length // 2)
-    blocks, name = block_table(spark, pack_blocks(docs, text), shuffle_tasks(spark))
+    blocks, name, folder = block_table(spark, pack_blocks(docs, text), shuffle_tasks(spark))
     n_blocks = max(1, blocks.count())
     keys = n_blocks * BLOCK_BYTES * len(cover) / v
     bits = max(0, math.ceil(math.log2(max(keys / BUCKET_KEYS, min(keys / 4096, shuffle_tasks(spark))))))
@@ -287,7 +294,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> Da
 
     field = free_name(docs.columns, "removed")
     schema = T.StructType([*docs.schema.fields, T.StructField(field, REMOVED)])
-    return with_bits(ranks, ties, edges, opens).mapInArrow(cut, schema)
+    out = with_bits(ranks, ties, edges, opens).mapInArrow(cut, schema)
+    out._care_made = [("table", name), ("folder", folder), *(("folder", x) for x in (ranks, ties, edges, opens))]
+    return out
 
 
 def cut_texts(s: BlockSuffixes, gone: np.ndarray, text: str, field: str) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from care_analytics.llm import chat, queries, sharding, topk
+from care_analytics.llm import chat, quality, queries, sharding, topk
 from care_analytics.llm.lattice import embedding_links, nearest_point, neighbours
 from care_analytics.llm.quality import good_documents, isotonic, quality_scores
 from care_analytics.llm.topk import Tree, top_k
@@ -65,11 +65,12 @@ def test_shards_fit(spark, docs, limit):
 
 def test_shards_of_odd_rows(odd, none):
     got = sharding.sharded(odd.withColumn("shard_id", F.lit(9)), 2000).collect()
-    assert len(got) == 12 and {c: 1 for c in got[0].asDict()}.keys() >= {"n_tokens", "shard_id", "oversized"}
+    assert len(got) == 12 and {c: 1 for c in got[0].asDict()}.keys() >= {"n_tokens", "shard_id", "shard_id_", "oversized"}
+    assert all(r["shard_id"] == 9 for r in got)  # the caller's column stays
     total = {}
     for r in got:
-        total[r["shard_id"]] = total.get(r["shard_id"], 0) + r["n_bytes"]
-    assert all(total[r["shard_id"]] == r["shard_bytes"] for r in got)
+        total[r["shard_id_"]] = total.get(r["shard_id_"], 0) + r["n_bytes"]
+    assert all(total[r["shard_id_"]] == r["shard_bytes"] for r in got)
     ids = sorted(total)
     assert not any(b.startswith(a) for a, b in zip(ids, ids[1:]))  # prefix-free
     assert sharding.sharded(none, 10).count() == 0
@@ -146,6 +147,23 @@ def test_held_out_labels_are_not_learned(spark, docs):
     assert scores[0] == pytest.approx(scores[1])
 
 
+def test_weights_equal_a_direct_solve(spark):
+    # partition-summed normal equations against one least-squares problem over all rows
+    r = np.random.default_rng(5)
+    x = np.column_stack([r.normal(size=(500, len(quality.FEATURES) - 1)) * 3 + 1, np.zeros(500)])
+    label, curve = (x[:, 0] + np.sin(x[:, 1]) > 1).astype(float), np.arange(500) % 3 == 0
+    frame = spark.createDataFrame([(row.tolist(), float(y), bool(c)) for row, y, c in zip(x, label, curve)], "features array<double>, label double, curve boolean").repartition(7)
+    model = quality.fit(frame, cosines=32)
+    z, y = model.inputs(x[~curve]), label[~curve]
+    own = x[~curve]
+    assert np.allclose(model.mean, own.mean(0)) and np.allclose(model.spread, np.where(own.std(0) > 1e-9, own.std(0), 1))
+    direct = np.linalg.lstsq(np.vstack([z, np.sqrt(quality.RIDGE) * np.eye(z.shape[1])]), np.append(y, np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(model.weights, direct, atol=1e-6)
+    # the curve rises and keeps the mean of the rows that shape it
+    raw = model.inputs(x[curve]) @ direct
+    assert (np.diff(model.curve[1]) >= 0).all() and abs(model.score(x[curve]).mean() - label[curve].mean()) < 0.1 and np.corrcoef(raw, label[curve])[0, 1] > 0.5
+
+
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, None), (None, 1), (4, 0), (10, 1)], "doc_id long, quality int")
     assert len(quality_scores(odd, labels).collect()) == 12
