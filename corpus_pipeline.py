@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from care_analytics.llm.common import prepare, tables, written
+from care_analytics.llm.common import prepare, release, tables, written
 from care_analytics.llm.minhash import without_near_duplicates
 from care_analytics.llm.packing import pack
 from care_analytics.llm.quality import good_documents
@@ -23,26 +23,44 @@ PASSAGE_BYTES = 200
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject (score at least 0.5)."""
+    """Documents that the classifier does not reject (score at least 0.5).
+
+    Null text counts as empty and is scored like any text; a null ``doc_id`` has no
+    label; repeated rows get one score and stay or go together; without labels all
+    rows stay; an empty table stays empty; other columns, ``features`` too, stay."""
     return good_documents(docs, tables(prepare(spark), sf_dir, "labels"), held_out=None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more).
+
+    The smallest ``doc_id`` stays, of repeated rows one; documents without words (null,
+    empty, blank) are no duplicates of each other and stay; a null ``doc_id`` stays only
+    where its group has no other; an empty table stays empty; other columns stay."""
     prepare(spark)
     return without_near_duplicates(docs, words=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that other documents repeat; ``n_chars`` follows the text."""
+    """Documents without the passages that other documents repeat; ``n_chars`` follows the text.
+
+    Null and empty texts stay as they are; repeated rows and a passage repeated within
+    one document go too; a text that is one passage becomes empty and its row stays; an
+    empty table stays empty; other columns, ``removed`` too, stay."""
     prepare(spark)
     cut = remove_repeats(docs, PASSAGE_BYTES)
-    cut = cut.drop(cut.columns[-1])
-    return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
+    out = cut.drop(cut.columns[-1])
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    out._care_made = cut._care_made
+    return out
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the encoded documents in sequences of 1024 tokens."""
+    """Pieces of the encoded documents in sequences of 1024 tokens.
+
+    Null text is empty (its end id alone is packed); a null ``doc_id`` stays; repeated
+    rows are packed each; an empty table gives no pieces; other columns are ignored."""
     return pack(docs.select("doc_id", "text"), tokenizer_path())
 
 
@@ -55,5 +73,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(prepare(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        staged = stage(spark, docs, sf_dir)
+        docs = written(staged, f"stage-{name}")
+        release(staged)
     return STAGES[-1][1](spark, docs, sf_dir)
