@@ -37,6 +37,11 @@ def test_suffix_dedup_whole_texts(docs, texts):
     assert digest(remove_repeats(docs, 400)) == repeats(texts, 400)
 
 
+def test_suffix_dedup_across_blocks(docs, texts):
+    # each partition is a block of its own at least
+    assert digest(remove_repeats(docs.repartition(20, "doc_id"), 400)) == repeats(texts, 400)
+
+
 @pytest.mark.parametrize("length", [1, 3, 13, 30, 61])
 def test_suffix_dedup_short_strings(spark, length):
     # runs, overlaps within a document, copies cut at both ends, characters of several bytes
@@ -174,3 +179,16 @@ def test_components(spark):
     links = [(5, 4), (4, 3), (3, 9), (20, 21), (21, 20), (7, 7), (30, 29)] + [(100 + k, 101 + k) for k in range(40)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {3: 3, 4: 3, 5: 3, 9: 3, 20: 20, 21: 20, 29: 29, 30: 29} | {k: 100 for k in range(100, 141)}
+
+
+def test_recall_just_above_the_threshold(spark):
+    # 1500 pairs at similarity 0.801 (177 of 221 shingles): about one in 6,000 may be missed
+    rows = []
+    for k in range(1500):
+        words = [f"w{k}x{j}" for j in range(222)]
+        rows += [(2 * k, " ".join(words[:200])), (2 * k + 1, " ".join(words[:178] + words[200:]))]
+    assert 0.8 <= 177 / 221 < 0.802
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+    linked = got.where("doc_id % 2 = 1 and component_id = doc_id - 1").count()
+    print("linked", linked, "of 1500")
+    assert linked >= 1498 and got.where("component_id > doc_id or component_id < doc_id - 1").count() == 0
