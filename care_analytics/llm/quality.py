@@ -23,9 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from care_analytics.llm.common import BLOCK_BYTES, block_cuts, free_name, prepare, shuffle_tasks, text_bytes, written
+from care_analytics.llm.common import BLOCK_BYTES, block_cuts, prepare, shuffle_tasks, text_bytes, written
 from care_analytics.llm.prints import mixed, prints
 from care_analytics.llm.words import numbers, spans
 
@@ -90,26 +89,20 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         stops / many, np.where(np.bincount(line_of[filled], minlength=n) > 1, repeated, 0) if len(line) else repeated])
 
 
-def with_features(docs: DataFrame, name: str = "features") -> DataFrame:
-    """``docs`` with the statistics of every text as an array of doubles."""
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id and ``features`` (array of doubles) of every row."""
     prepare(docs.sparkSession)
-    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(text))
+            data, offsets = text_bytes(batch.column(1))
             for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
                 low = int(offsets[a])
                 x = statistics(data[low:int(offsets[b])], offsets[a:b + 1] - low)
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield batch.slice(a, b - a).append_column(name, rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), rows], ["doc_id", "features"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]))
-
-
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id and ``features`` of every row."""
-    return with_features(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", "features")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, features array<double>")
 
 
 class Model:
@@ -254,20 +247,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: int | None = 1)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, held_out: int | None = 1) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is at least ``least``.
-
-    The texts are read once: the rows are written with their statistics, from which
-    the model learns and the scores are made."""
-    name = free_name(docs.columns, "features")
-    rows = written(with_features(docs, name), "featured")
-    model = trained(rows.select("doc_id", F.col(name).alias("features")), labels, held_out)
-    if model is None:
-        return rows.drop(name)
+    """The rows of ``docs``, all columns, whose score is at least ``least``; texts are scored where they are
+    read, so no copy of them is written."""
+    model = trained(features(docs), labels, held_out)
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                at = batch.schema.get_field_index(name)
-                yield batch.filter(pa.array(model.score(_matrix(batch, at)) >= least)).drop_columns([name])
+            if not model:
+                yield batch
+                continue
+            data, offsets = text_bytes(batch.column(text))
+            for a, b in block_cuts(np.diff(offsets), BLOCK_BYTES):
+                low = int(offsets[a])
+                score = model.score(statistics(data[low:int(offsets[b])], offsets[a:b + 1] - low))
+                yield batch.slice(a, b - a).filter(pa.array(score >= least))
 
-    return rows.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
