@@ -20,9 +20,11 @@ def spans(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> t
     starts, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
     # a text's end also ends a word
     inner = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
-    joined = np.unique(inner[(ink[inner] == 1) & (ink[inner + 1] == 1)])
+    joined = inner[(ink[inner] == 1) & (ink[inner + 1] == 1)]
     if len(joined):
-        starts, ends = np.union1d(starts, joined), np.union1d(ends, joined)
+        # all three ascend, and no joined place is among the others: merged without a sort
+        joined = joined[np.append(True, joined[1:] != joined[:-1])]
+        starts, ends = (np.insert(x, np.searchsorted(x, joined), joined) for x in (starts, ends))
     return starts, ends, np.searchsorted(starts, offsets)
 
 

@@ -216,3 +216,23 @@ def test_a_template_is_found_at_every_offset():
         number[at:at + 9] = template
         first = np.array([0, 5, 5, 60]) if at >= 5 else np.array([0, 60])
         assert any(o == 9 for _, _, o in licenses.block_matches(number, first, template, len(words), 8)), at
+
+
+def test_word_spans_merge_text_ends_without_a_pass_over_all_words(monkeypatch):
+    from care_analytics.llm import words
+    rng = np.random.default_rng(5)
+    seen = []
+    for name in ("unique", "union1d"):
+        def counted(*arrays, _of=getattr(np, name), **more):
+            seen.append(max(len(a) for a in arrays))
+            return _of(*arrays, **more)
+        monkeypatch.setattr(words.np, name, counted)
+    for size, texts in ((0, 3), (1, 1), (50, 30), (4000, 60), (4000, 1)):
+        data = rng.choice(np.frombuffer(b"abc  ", np.uint8), size)
+        offsets = np.concatenate([[0], np.sort(rng.integers(0, size + 1, texts - 1)), [size]]).astype(np.int64)
+        starts, ends, first = words.spans(data, offsets)
+        found = [[(a + m.start(), a + m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data[a:b].tobytes())]
+                 for a, b in itertools.pairwise(offsets.tolist())]
+        assert list(zip(starts.tolist(), ends.tolist())) == [x for f in found for x in f]
+        assert first.tolist() == [0, *itertools.accumulate(map(len, found))]
+        assert all(n <= texts for n in seen)
