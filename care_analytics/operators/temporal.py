@@ -230,14 +230,15 @@ def half_day(at: str) -> str:
 def versions_at(rows: DataFrame, right: DataFrame, key: str, right_key: str, at: str, begin: str, end: str,
                 end_inclusive: bool = True) -> DataFrame:
     """The different (``_valid_key``, ``_valid_at``) pairs of ``rows`` with the right
-    versions valid then (inner), found by calendar blocks as in :func:`validity_join`."""
+    versions valid then (inner), found by calendar blocks as in :func:`validity_join`; ``_valid_block``
+    is the one in which a version was found."""
     calendar = Calendar()
     k, m, rk, b, e = map(sql_name, (key, at, right_key, begin, end))
     pairs = rows.where(f"{k} IS NOT NULL AND {m} IS NOT NULL").selectExpr(f"{k} AS _valid_key", f"{m} AS _valid_at").distinct()
     asked = pairs.selectExpr("*", f"explode({calendar.path('_valid_at')}) AS _valid_block")
     blocks = calendar.covered(right.where(f"{rk} IS NOT NULL AND {b} IS NOT NULL"), b, e)
     valid = f"{b} <= _valid_at AND ({e} IS NULL OR {e} {'>=' if end_inclusive else '>'} _valid_at)"
-    return asked.join(blocks, F.expr(f"_valid_key = {rk} AND _valid_block = _block AND {valid}")).drop("_block", "_valid_block")
+    return asked.join(blocks, F.expr(f"_valid_key = {rk} AND _valid_block = _block AND {valid}")).drop("_block")
 
 
 def containment_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, inner_begin: str, inner_end: str,

@@ -239,11 +239,17 @@ def _costcentre_chain(t: Tables, assignments: DataFrame, key: str, unit: str, li
 
 
 def _costcentres_at(results: DataFrame, person: str, chain: DataFrame, end_inclusive: bool, side: str) -> DataFrame:
-    """Number of cost centres per (person, moment, cost centre), for the moments
-    at which surveys were filled in."""
+    """Per (person, moment) at which surveys were filled in: the cost centres with
+    their number, as one list, so that results are joined without being multiplied."""
     found = T.versions_at(results, chain, person, "_person", "_moment", "_from", "_to", end_inclusive)
-    return (found.groupBy(c("_valid_key").alias(f"_{side}_who"), c("_valid_at").alias(f"_{side}_at"), c("_label").alias(f"_{side}_label"))
-            .agg(F.count(F.lit(1)).alias(f"_n_{side}")))
+    # counted per block first, where the versions were found; a list has one entry a cost
+    # centre and block, at most one a level
+    counted = found.groupBy("_valid_key", "_valid_block", "_valid_at", "_label").agg(F.count(F.lit(1)).alias("_n"))
+    lists = (counted.groupBy(c("_valid_key").alias(f"_{side}_who"), c("_valid_at").alias(f"_{side}_at"))
+             .agg(F.collect_list(F.struct("_label", "_n")).alias("_all")))
+    return lists.select(f"_{side}_who", f"_{side}_at", F.expr(
+        "transform(array_distinct(transform(_all, x -> x._label)), l -> named_struct("
+        f"'_{side}_label', l, '_n_{side}', aggregate(filter(_all, x -> x._label <=> l), 0L, (n, x) -> n + x._n)))").alias(f"_{side}_centres"))
 
 
 def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) -> DataFrame:
@@ -255,20 +261,19 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
     materialised: each branch is counted per survey result and the counts
     are multiplied.  ``dedupe=True`` gives the plain score sum instead.
     """
-    sr = t.survey_results.alias("sr")
-    s = t.surveys.alias("s")
-    base = sr.join(s, c("s.objectId") == c("sr.surveyObjectId"), "left")
-    title = FL.like_any("s.title", vragenlijst, trim=True)
+    title = FL.like_any("title", vragenlijst, trim=True)
+    s = FL.where(t.surveys, title).alias("s")
     ta = t.team_assignments.select("employeeObjectId", "teamObjectId", "beginDate", "endDate")
     la = FL.where(t.location_assignments, FL.ci_eq("locationType", "main")).select(
         "clientObjectId", "locationObjectId", "beginDate", "endDate")
     # against dates a moment only counts as midnight or later in the day
     dated = all(isinstance(f.dataType, DateType) for x in (ta, la) for f in x.schema if f.name in ("beginDate", "endDate"))
-    moment = F.expr(T.half_day("sr.createdAt") if dated else "sr.createdAt").alias("_moment")
-    base = FL.where(base, title).select("*", moment)
-    # without a title filter the chains need no survey join
-    results = (base if title is not None else t.survey_results.alias("sr").select("*", moment)).select(
-        "sr.objectId", "sr.employeeObjectId", "sr.clientObjectId", "_moment")
+    moment = F.expr(T.half_day("createdAt") if dated else "createdAt").alias("_moment")
+    # results travel as keys, moments and status; texts come once all else is found
+    sr = t.survey_results.select("objectId", "surveyObjectId", "clientObjectId", "employeeObjectId", "createdAt", "completedAt", "status", moment)
+    if title is not None:
+        sr = J.with_related(sr.alias("all"), s.select(c("objectId").alias("_sel")), c("surveyObjectId") == c("_sel"))
+    results = sr.alias("sr")
 
     answers = _answer_summary(t, restrict_to=results if title is not None else None)
     # the chains hang on the assignments alone; surveys only look up their date
@@ -281,12 +286,15 @@ def r04_survey_overview(t: Tables, vragenlijst="%1.2%", dedupe: bool = False) ->
         F.min("identificationNo").alias("_no"), F.min("name").alias("_name")).filter(c("_label").isNotNull())
 
     # every branch is aggregated first: answers per result, cost centres per
-    # person and moment; people are looked up once per result
-    df = (base.join(t.clients.alias("cl"), c("cl.objectId") == c("sr.clientObjectId"), "left")
-          .join(t.employees.alias("e"), c("e.objectId") == c("sr.employeeObjectId"), "left")
-          .join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
+    # person and moment; people and texts are looked up once per result, the longest
+    # last, and only then has a result a row per pair of cost centres
+    df = (results.join(answers, c("sr.objectId") == answers["_rid"], "left").drop("_rid")
           .join(emp_cc, (c("sr.employeeObjectId") == c("_m_who")) & (c("_moment") == c("_m_at")), "left")
           .join(cli_cc, (c("sr.clientObjectId") == c("_c_who")) & (c("_moment") == c("_c_at")), "left")
+          .join(t.employees.alias("e"), c("e.objectId") == c("sr.employeeObjectId"), "left")
+          .join(t.clients.alias("cl"), c("cl.objectId") == c("sr.clientObjectId"), "left")
+          .join(s, c("s.objectId") == c("sr.surveyObjectId"), "left" if title is None else "inner")
+          .select("*", F.inline_outer("_m_centres")).select("*", F.inline_outer("_c_centres"))
           .join(labels.alias("ccm"), c("ccm._label") == c("_m_label"), "left")
           .join(labels.alias("ccc"), c("ccc._label") == c("_c_label"), "left"))
 

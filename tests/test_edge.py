@@ -170,6 +170,20 @@ def test_joined_list_semantics(spark):  # A3
     assert got == [(1, "a | b | b", 4), (2, None, 1), (3, "z", 1)]
 
 
+def test_cost_centres_at_a_moment_are_one_list(spark):  # R04
+    from care_analytics.plans.reports import _costcentres_at
+    chain = spark.createDataFrame(
+        [(1, D(2020, 1, 1), None, 7), (1, D(2020, 1, 1), D(2020, 1, 9), 7), (1, D(2019, 1, 1), D(2020, 12, 31), 7),
+         (1, D(2020, 1, 2), None, 8), (1, D(2020, 1, 2), D(2020, 1, 7), None), (1, D(2018, 1, 1), None, None),
+         (1, D(2020, 2, 1), None, 9), (2, D(2020, 2, 1), None, 9), (None, D(2020, 1, 1), None, 9)],
+        "_person long, _from date, _to date, _label long")
+    results = spark.createDataFrame([(1, D(2020, 1, 5)), (1, D(2020, 1, 5)), (1, D(2017, 1, 5)), (2, D(2020, 1, 5)), (2, D(2021, 1, 5)),
+                                     (None, D(2020, 1, 5)), (1, None)], "who long, at date").selectExpr("who", "cast(at AS timestamp_ntz) AS _moment")
+    found = _costcentres_at(results, "who", chain, True, "m").collect()
+    got = {(r["_m_who"], r["_m_at"].date()): {x["_m_label"]: x["_n_m"] for x in r["_m_centres"]} for r in found}
+    assert len(found) == 2 and got == {(1, D(2020, 1, 5)): {7: 3, 8: 1, None: 2}, (2, D(2021, 1, 5)): {9: 1}}
+
+
 def test_sum_over_fanout_matches_joined_sum(spark):  # A6, T6
     values = spark.createDataFrame([(1, 5), (1, 7), (2, None), (3, 4)], "k int, v int")
     branch = spark.createDataFrame([(1,), (1,), (3,)], "k int")

@@ -190,3 +190,20 @@ def test_early_reductions(tables):
     assert "LeftSemi" in plan_text(REPORTS["r03_expense_totals"][0](tables))
     r12 = plan_text(REPORTS["r12_open_location_after_care"][0](tables))
     assert re.search(r"endDate#\d+ >= 9999-12-31", r12)
+
+
+def test_survey_texts_are_moved_last(spark, tables, large):
+    def moved(node):
+        own = [node.output().mkString(",")] if node.nodeName() == "Exchange" else []
+        children = node.children()
+        return own + [x for i in range(children.length()) for x in moved(children.apply(i))]
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = moved(REPORTS["r04_survey_overview"][0](tables)._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the surveys themselves and the lookups of the two cost centre labels, which are small tables
+    assert sum("description#" in x for x in rows) == 3
+    # results meet answers and cost centres as keys and moments
+    assert not any("_moment#" in x and re.search("title#|name#|identificationNo#", x) for x in rows)
