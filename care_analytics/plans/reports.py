@@ -200,7 +200,8 @@ def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFram
     if restrict_to is not None:
         sa = J.with_related(sa, restrict_to.select(c("objectId").alias("_sel")),
                             c("surveyResultObjectId") == c("_sel"))
-    sa = sa.alias("sa")
+    # whether there is a text is all that is moved of it
+    sa = sa.select("surveyResultObjectId", "answerDefinitionObjectId", "questionObjectId", c("text").isNotNull().alias("_answered")).alias("sa")
     sad = t.survey_answer_definitions.alias("sad")
     is_date = patterns.like(c("text"), "%Datum%")
     # the source's LIKE on this label has no wildcard: an equality
@@ -208,7 +209,7 @@ def _answer_summary(t: Tables, restrict_to: DataFrame | None = None) -> DataFram
     flagged = (t.survey_questions.select("objectId", "text")
                .filter(is_date | is_time)
                .select(c("objectId").alias("_qid"), is_date.alias("_is_date"), is_time.alias("_is_time")))
-    answered = sa["text"].isNotNull()
+    answered = c("sa._answered")
     return (sa.join(sad, c("sad.objectId") == c("sa.answerDefinitionObjectId"), "left")
             .join(flagged, c("_qid") == c("sa.questionObjectId"), "left")
             .groupBy(c("sa.surveyResultObjectId").alias("_rid"))

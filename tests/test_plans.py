@@ -207,3 +207,5 @@ def test_survey_texts_are_moved_last(spark, tables, large):
     assert sum("description#" in x for x in rows) == 3
     # results meet answers and cost centres as keys and moments
     assert not any("_moment#" in x and re.search("title#|name#|identificationNo#", x) for x in rows)
+    # of an answer's text only whether there is one
+    assert any("questionObjectId#" in x for x in rows) and not any("questionObjectId#" in x and re.search(r"\btext#", x) for x in rows)
