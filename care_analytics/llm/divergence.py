@@ -1,13 +1,14 @@
 """Source divergence audit: how far the sources of a language differ in their terms.
 
-Terms are counted by length-bucketed packing.  In a chunk of documents a term of
-up to eight bytes becomes one 64-bit word, of up to sixteen two words; each of the
-two buckets is put in order by a radix sort over 16-bit digits and its runs are
-counted.  Longer terms go to buckets by the power of two above their length, which
-are sorted by bytes.  The sorts are stable and the chunk's documents stand in order
-of their group, so a run splits into groups and documents by plain comparisons.
-
-Only counts per (group, term) leave a chunk, and Spark sums them before the shuffle,
+Terms are counted by length-bucketed packing.  A chunk of documents is put in order of
+their group and counted a part at a time.  In a part a term of up to eight bytes
+becomes one 64-bit word, of up to sixteen two words; each of the two buckets is put in
+order by a radix sort over 16-bit digits and its runs are counted.  Longer terms go to
+buckets by the power of two above their length, which are sorted by bytes.  The sorts
+are stable and the part's documents stand in order of their group, so a run splits
+into groups and documents by plain comparisons.
+
+Only counts per (group, term) leave a part, and Spark sums them before the shuffle,
 so neither a hot source nor a common term gathers rows.  The sum over all kept terms
 for a pair of sources is taken over the terms that either of them has; the terms that
 neither has contribute one value each.  So no (source, term) pair without a count is
@@ -33,10 +34,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from care_analytics.llm.common import dropped, prepare, text_bytes, written
+from care_analytics.llm.common import block_cuts, dropped, prepare, text_bytes, written
 from care_analytics.llm.terms import NO_LETTER, as_strings, terms
 
-CHUNK_BYTES = 16 << 20
+# a chunk's texts are held once or twice, a part takes some 20 times its bytes while it is sorted
+CHUNK_BYTES = 32 << 20
+PART_BYTES = 4 << 20
+# what a document counts beside its text
+ROW_BYTES = 64
+# counts leave by so many rows
+OUT_ROWS = 1 << 15
 PAIR_ROWS = 1 << 18
 COUNTS = "lang string, source string, term string, n long, docs long"
 # the leading k bytes of a word
@@ -97,15 +104,10 @@ def term_runs(data: np.ndarray, bounds: np.ndarray, group: np.ndarray, doc: np.n
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def chunk_counts(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """Counts of a chunk of (lang, source, text) rows."""
-    table = pa.Table.from_batches(held).combine_chunks()
-    lang, source = (table.column(k).chunk(0).dictionary_encode() for k in (0, 1))
-    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-    order = np.argsort(group, kind="stable")
-    group = group[order]
-    data, bounds, first = terms(table.column(2).chunk(0).take(pa.array(order)), NO_LETTER)
-    doc = np.repeat(np.arange(len(order)), np.diff(first))
+def part_counts(lang: pa.DictionaryArray, source: pa.DictionaryArray, text: pa.Array, group: np.ndarray) -> pa.RecordBatch:
+    """Counts of documents in order of their group."""
+    data, bounds, first = terms(text, NO_LETTER)
+    doc = np.repeat(np.arange(len(group)), np.diff(first))
     index, n, docs = term_runs(data, bounds, group[doc], doc)
     of = group[doc[index]] if len(index) else np.zeros(0, np.int64)
     width = max(1, len(source.dictionary))
@@ -115,18 +117,38 @@ def chunk_counts(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         ["lang", "source", "term", "n", "docs"])
 
 
+def chunk_counts(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a chunk of (lang, source, text) rows, which ``held`` gives up.  A part of its documents in order of their
+    group is sorted at a time: no run goes beyond its group, so only a group that is cut has a term twice."""
+    table = pa.Table.from_batches(held).combine_chunks()
+    held.clear()
+    lang, source = (table.column(k).chunk(0).dictionary_encode() for k in (0, 1))
+    text = table.column(2).chunk(0)
+    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    order = np.argsort(group, kind="stable")
+    for a, b in block_cuts(document_costs(text)[order], PART_BYTES):
+        counts = part_counts(lang, source, text.take(pa.array(order[a:b])), group[order[a:b]])
+        for at in range(0, counts.num_rows, OUT_ROWS):
+            yield counts.slice(at, OUT_ROWS)
+
+
+def document_costs(text: pa.Array) -> np.ndarray:
+    return np.diff(text_bytes(text)[1]) + ROW_BYTES
+
+
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        size += len(text_bytes(batch.column(2))[0])
-        if size >= CHUNK_BYTES:
-            yield chunk_counts(held)
-            held, size = [], 0
+        costs = document_costs(batch.column(2))
+        for a, b in block_cuts(costs, CHUNK_BYTES):
+            more = int(costs[a:b].sum())
+            if held and size + more > CHUNK_BYTES:
+                yield from chunk_counts(held)
+                size = 0
+            held.append(batch.slice(a, b - a))
+            size += more
     if held:
-        yield chunk_counts(held)
+        yield from chunk_counts(held)
 
 
 def share(n: Column, total: Column) -> Column:

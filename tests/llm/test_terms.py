@@ -4,9 +4,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from care_analytics.llm import divergence, licenses, ranked
@@ -159,6 +161,48 @@ def test_runs_of_terms():
     assert {(words[i], int(group[i])): (a, b) for i, a, b in zip(index.tolist(), n.tolist(), docs.tolist())} == expected
 
 
+def test_chunks_are_sorted_in_small_parts(monkeypatch):
+    r = random.Random(9)
+    words = ["".join(r.choices("abcdefgh", k=r.randrange(1, 20))) for _ in range(4000)]
+
+    def batch(n):
+        rows = [(r.choice(["en", "fr"]), r.choice(["s1", "s2", "s3", ""]), " ".join(r.choices(words, k=r.randrange(200)))) for _ in range(n)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["lang", "source", "text"])
+
+    def summed(batches):
+        n, docs = Counter(), Counter()
+        for out in divergence.count_terms(iter(batches)):
+            for row in out.to_pylist():
+                key = row["lang"], row["source"], row["term"]
+                n[key] += row["n"]
+                docs[key] += row["docs"]
+        return n, docs
+
+    batches = [batch(300), batch(1), batch(200)]
+    n, docs = Counter(), Counter()
+    for b in batches:
+        for row in b.to_pylist():
+            own = Counter(row["text"].split())
+            n.update({(row["lang"], row["source"], w): k for w, k in own.items()})
+            docs.update((row["lang"], row["source"], w) for w in own)
+    assert summed(batches) == (n, docs)
+    for chunk, part, out_rows in ((50_000, 3000, 7), (1, 1, 1), (1 << 20, 20_000, 1000)):
+        for name, value in (("CHUNK_BYTES", chunk), ("PART_BYTES", part), ("OUT_ROWS", out_rows)):
+            monkeypatch.setattr(divergence, name, value)
+        assert summed(batches) == (n, docs)
+    monkeypatch.undo()
+
+    # the sort takes room for a part, not for the chunk
+    batches = [batch(1000) for _ in range(20)]
+    tracemalloc.start()
+    for out in divergence.count_terms(iter(batches)):
+        assert out.num_rows <= 1 << 15
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.nbytes for b in batches) > 18 << 20
+    assert peak < 64 << 20
+
+
 def test_shares_beyond_64_bits(spark):
     rows = spark.createDataFrame([(10**13, 3 * 10**13), (0, 7), (0, 0)], "n long, total long")
     from pyspark.sql import functions as F
